@@ -18,7 +18,7 @@ _NEWEST = "ORDER BY kafka_timestamp DESC NULLS LAST, kafka_topic, kafka_partitio
 
 
 def _with(ctes: dict[str, str], select: str) -> str:
-    body = ",\n".join(f"{name} AS ({sql})" for name, sql in ctes.items())
+    body = ",\n".join(f"{name} AS MATERIALIZED ({sql})" for name, sql in ctes.items())
     return f"WITH {body}\n{select}"
 
 

@@ -281,10 +281,7 @@ def fact_own_sun_moon(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _message_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Notices as a file stream over ``events``; the glob lets it be a file or a folder."""
-    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    rows = spark.readStream.schema(schema).parquet(f"{sf_dir}/events*.parquet")
-    return synthetic.notices_from(rows)
+    return synthetic.notices_from(synthetic.events_stream(spark, sf_dir))
 
 
 def stream_silver(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -87,21 +87,35 @@ FROM {notices}
 """
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
+_EVENT_COLUMNS = ("event_id", "ts", "user_id", "event_type")
+
+
+def _few_splits(table: DataFrame) -> bool:
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    return table.rdd.getNumPartitions() < cores
+
+
+def _spread(table: DataFrame, few: bool) -> DataFrame:
     """Use all cores on input stored in too few splits.
 
     Parsing is CPU-bound, and a small file is one split. A table with at least
     as many splits as the cluster has cores is left as it is: no shuffle.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.isStreaming or df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, key)
+    if not few:
+        return table
+    return table.repartition(table.sparkSession.sparkContext.defaultParallelism, "event_id")
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = spark.read.parquet(f"{sf_dir}/events.parquet")
-    return spread(table.select("event_id", "ts", "user_id", "event_type"), "event_id")
+    table = spark.read.parquet(f"{sf_dir}/events.parquet").select(*_EVENT_COLUMNS)
+    return _spread(table, _few_splits(table))
+
+
+def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """File stream over ``events``; the glob lets it be one file or a folder."""
+    stored = spark.read.parquet(f"{sf_dir}/events.parquet").select(*_EVENT_COLUMNS)
+    rows = spark.readStream.schema(stored.schema).parquet(f"{sf_dir}/events*.parquet")
+    return _spread(rows, _few_splits(stored))
 
 
 def notices_from(table: DataFrame) -> DataFrame:
