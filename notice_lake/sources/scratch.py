@@ -4,28 +4,34 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
 
+def _configured(spark: SparkSession) -> str | None:
+    return spark.conf.get("spark.checkpoint.dir", None)
+
+
+@cache
+def _local_folder(application_id: str) -> str:
+    return tempfile.mkdtemp(prefix="notice-lake-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only a local session may go without: there a temporary folder is shared by
-    construction, and is set as the session's value for later calls.
+    Only a local session may go without: there one machine runs everything, and a
+    temporary folder, one per application, serves as well.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir"
-    )
+    folder = _configured(spark)
     if folder:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="notice-lake-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _local_folder(spark.sparkContext.applicationId)
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
-    """A fresh folder name under the shared folder, never used before."""
+    """A folder name under the shared folder that was never used before."""
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"

@@ -1,0 +1,122 @@
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from notice_lake import schemas
+from notice_lake.operators.layers import DIMENSIONS, bronze, dimension, fact, silver
+from notice_lake.sources import scratch, synthetic, tables
+from notice_lake.sources.kafka import kafka_options, oauth_options
+
+
+def test_options_of_a_secured_topic():
+    security = oauth_options("id", "secret", "https://example.org/token")
+    options = kafka_options("broker:9092", subscribe="topic", security=security)
+    assert options == {
+        "kafka.bootstrap.servers": "broker:9092",
+        "subscribe": "topic",
+        "startingOffsets": "earliest",
+        "failOnDataLoss": "false",
+        "kafka.security.protocol": "SASL_SSL",
+        "kafka.sasl.mechanism": "OAUTHBEARER",
+        "kafka.sasl.jaas.config": "org.apache.kafka.common.security.oauthbearer."
+        'OAuthBearerLoginModule required clientId="id" clientSecret="secret";',
+        "kafka.sasl.login.callback.handler.class": "org.apache.kafka.common.security.oauthbearer."
+        "OAuthBearerLoginCallbackHandler",
+        "kafka.sasl.oauthbearer.token.endpoint.url": "https://example.org/token",
+    }
+
+
+def test_other_topic_choices_and_limits():
+    options = kafka_options(
+        "b:1", subscribe_pattern="n.*", starting_offsets="latest", fail_on_data_loss=True,
+        max_offsets_per_trigger=10, min_partitions=4,
+    )
+    assert options["subscribePattern"] == "n.*"
+    assert options["failOnDataLoss"] == "true"
+    assert (options["maxOffsetsPerTrigger"], options["minPartitions"]) == ("10", "4")
+    assert kafka_options("b:1", assign='{"t":[0]}')["assign"] == '{"t":[0]}'
+
+
+@pytest.mark.parametrize("choice", [{}, {"subscribe": "a", "assign": "b"}])
+def test_exactly_one_topic_choice(choice):
+    with pytest.raises(ValueError):
+        kafka_options("b:1", **choice)
+
+
+def test_credentials_that_cannot_be_quoted():
+    with pytest.raises(ValueError):
+        oauth_options('i"d', "secret", "url")
+    prefixed = oauth_options("id", "secret", "url", class_prefix="shaded.")
+    assert prefixed["kafka.sasl.jaas.config"].startswith("shaded.org.apache.kafka")
+
+
+def test_layers_meet_their_contracts(spark):
+    source = spark.createDataFrame([], schemas.KAFKA_SOURCE)
+    raw = bronze(source)
+    assert tables.conform(raw, schemas.BRONZE).columns == schemas.BRONZE.names
+    parsed = silver(raw)
+    assert tables.conform(parsed, schemas.SILVER).columns == parsed.columns
+    assert tables.conform(fact(parsed), schemas.FACT_NOTICES).columns == fact(parsed).columns
+    for name in DIMENSIONS:
+        built = dimension(parsed, name)
+        assert tables.conform(built, schemas.GOLD[name].schema).columns == built.columns
+
+
+def test_contract_breaches(spark):
+    with pytest.raises(TypeError, match="timing_sk: expected int, found bigint"):
+        tables.conform(spark.range(1).selectExpr("id AS timing_sk"), schemas.DIM_EVENT_TIMING)
+    rows = spark.sql("SELECT CAST(NULL AS INT) AS k")
+    required = T.StructType([T.StructField("k", T.IntegerType(), False)])
+    with pytest.raises(Exception, match="NULL in required column k"):
+        tables.conform(rows, required).collect()
+    assert tables.conform(rows, required, enforce_not_null=False).count() == 1
+
+
+def test_every_layer_keeps_every_message(spark, sf_dir):
+    messages = synthetic.notices(spark, sf_dir)
+    parsed = silver(messages)
+    assert messages.count() == parsed.count() == fact(parsed).count() == 1000
+
+
+def test_dimensions_do_not_depend_on_input_order(spark, sf_dir):
+    parsed = silver(synthetic.notices(spark, sf_dir))
+    shuffled = parsed.orderBy(F.xxhash64("kafka_offset", "kafka_partition").desc())
+    for name in DIMENSIONS:
+        assert dimension(parsed, name).exceptAll(dimension(shuffled, name)).isEmpty()
+
+
+def test_layer_schemas_and_comments(spark):
+    tables.create_layers(spark)
+    tables.create_layers(spark)
+    try:
+        found = {r.namespace for r in spark.sql("SHOW SCHEMAS").collect()}
+        assert set(tables.LAYERS) <= found
+        name = "gold.dim_event_timing"
+        tables.create_table(spark, name, schemas.DIM_EVENT_TIMING, comment=tables.TABLES[name])
+        detail = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE EXTENDED {name}").collect()}
+        assert detail["Comment"] == tables.TABLES[name]
+        assert spark.table(name).schema.names == schemas.DIM_EVENT_TIMING.names
+    finally:
+        for layer in tables.LAYERS:
+            spark.sql(f"DROP SCHEMA IF EXISTS {layer} CASCADE")
+
+
+def test_scratch_is_the_folder_the_session_names(spark):
+    folder = spark.conf.get("spark.checkpoint.dir")
+    first, second = scratch.new_folder(spark, "x"), scratch.new_folder(spark, "x")
+    assert first.startswith(f"{folder}/x-") and first != second
+
+
+def test_scratch_of_a_local_session_without_a_folder(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(scratch, "_configured", lambda _: None)
+    monkeypatch.setattr(scratch.tempfile, "mkdtemp", lambda prefix: str(tmp_path))
+    scratch._local_folder.cache_clear()
+    assert scratch.shared_folder(spark) == scratch.shared_folder(spark) == str(tmp_path)
+    scratch._local_folder.cache_clear()
+
+
+def test_spread_only_touches_input_with_few_splits(spark, sf_dir):
+    assert synthetic.events(spark, sf_dir).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    wide = spark.range(0, 100, 1, 16).selectExpr("id AS event_id")
+    assert not synthetic._few_splits(wide)
+    assert synthetic._spread(wide, False) is wide
