@@ -24,7 +24,14 @@ from notice_lake.operators.layers import (
 )
 from notice_lake.operators.typed import sky_separation, typed_notice
 from notice_lake.plans import reports
-from notice_lake.schemas import DELIVERY_KEY, SPATIAL_KEY, SUN_MOON_KEY, TIMING_KEY
+from notice_lake.schemas import (
+    ARRIVAL_ORDER,
+    DELIVERY_COLUMNS,
+    DELIVERY_KEY,
+    SPATIAL_KEY,
+    SUN_MOON_KEY,
+    TIMING_KEY,
+)
 from notice_lake.sources import synthetic
 from notice_lake.sources.scratch import new_folder
 from notice_lake.streaming.fan_out import read_output, start_fan_out
@@ -42,6 +49,25 @@ def _notices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver(synthetic.notices(spark, sf_dir))
 
 
+# Notice fields behind the attributes of each dimension.
+_TIMING = (*TIMING_KEY, "NOTICE_DATE")
+_SPATIAL = (*SPATIAL_KEY, *SUN_MOON_KEY, "ECL_COORDS")
+_SUN_MOON = (*SUN_MOON_KEY, "MOON_ILLUM")
+
+
+def _stored(messages: DataFrame, *fields: str) -> DataFrame:
+    """Silver columns written to the shared folder, for queries that read them repeatedly.
+
+    The parse runs once, each reader scans only its columns, and a lost executor
+    re-reads files. Every call writes a copy of its own, of the named fields only.
+    """
+    spark = messages.sparkSession
+    parsed = silver(messages).select(*DELIVERY_COLUMNS, *dict.fromkeys(fields))
+    path = f"{new_folder(spark, 'notices')}/silver"
+    parsed.write.parquet(path)
+    return spark.read.schema(parsed.schema).parquet(path)
+
+
 def _fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fact(_notices(spark, sf_dir), algo=WIDE)
 
@@ -131,23 +157,31 @@ def layer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fact_with_timing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parsed = _notices(spark, sf_dir)
+    messages = synthetic.notices(spark, sf_dir)
+    parsed = _stored(messages, *_TIMING, "TRIGGER_NUM", "RECORD_NUM", "GRB_ERROR", "LOC_ALGORITHM")
+    columns = [
+        "trigger_num", "record_num", *ARRIVAL_ORDER, "timing_sk", "grb_error_deg", "loc_algorithm",
+    ]
     return reports.fact_with_timing(
-        fact(parsed, algo=WIDE), dimension(parsed, "dim_event_timing", algo=WIDE)
+        fact(parsed, algo=WIDE, columns=columns), dimension(parsed, "dim_event_timing", algo=WIDE)
     )
 
 
 def recent_bursts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parsed = _notices(spark, sf_dir)
+    messages = synthetic.notices(spark, sf_dir)
+    parsed = _stored(messages, *_SPATIAL, "TRIGGER_NUM", "GRB_ERROR", "LOC_URL")
+    columns = ["trigger_num", *ARRIVAL_ORDER, "spatial_sk", "grb_error_deg", "location_url"]
     return reports.recent_bursts(
-        fact(parsed, algo=WIDE), dimension(parsed, "dim_spatial_coords", algo=WIDE)
+        fact(parsed, algo=WIDE, columns=columns), dimension(parsed, "dim_spatial_coords", algo=WIDE)
     )
 
 
 def burst_sun_moon_context(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parsed = _notices(spark, sf_dir)
+    messages = synthetic.notices(spark, sf_dir)
+    parsed = _stored(messages, *_SPATIAL, *_SUN_MOON, "TRIGGER_NUM", "SUN_DIST", "MOON_DIST")
+    columns = ["trigger_num", *ARRIVAL_ORDER, "spatial_sk", "sun_dist_deg", "moon_dist_deg"]
     return reports.burst_sun_moon_context(
-        fact(parsed, algo=WIDE),
+        fact(parsed, algo=WIDE, columns=columns),
         dimension(parsed, "dim_spatial_coords", algo=WIDE),
         dimension(parsed, "dim_sun_moon_coords", algo=WIDE),
     )
@@ -163,15 +197,17 @@ def parsed_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _unreduced_dimensions(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Dimension rows as they come, one per notice: what a lost dedup would publish."""
-    parsed = _notices(spark, sf_dir)
+    parsed = _stored(synthetic.notices(spark, sf_dir), *_TIMING, *_SPATIAL, *_SUN_MOON)
     return {name: rows(parsed, algo=WIDE) for name, (rows, _) in DIMENSIONS.items()}
 
 
 def _torn_gold(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """A fact of all messages beside dimensions built from the damaged feed."""
-    damaged = silver(synthetic.damaged(spark, sf_dir))
+    damaged = _stored(synthetic.damaged(spark, sf_dir), *_TIMING, *_SPATIAL, *_SUN_MOON)
     tables = {name: dimension(damaged, name, algo=WIDE) for name in DIMENSIONS}
-    return tables | {"fact_notices": _fact(spark, sf_dir)}
+    whole = _stored(synthetic.notices(spark, sf_dir), *TIMING_KEY, *SPATIAL_KEY)
+    keys = fact(whole, algo=WIDE, columns=["timing_sk", "spatial_sk"])
+    return tables | {"fact_notices": keys}
 
 
 def pk_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -272,8 +308,9 @@ def sky_separations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fact_own_sun_moon(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each notice's own Sun/Moon key beside the one its position was first seen with."""
-    parsed = _notices(spark, sf_dir)
-    own = fact(parsed, algo=WIDE, with_sun_moon=True)
+    parsed = _stored(synthetic.notices(spark, sf_dir), *_SPATIAL)
+    columns = [*DELIVERY_KEY, "spatial_sk", "sun_moon_sk"]
+    own = fact(parsed, algo=WIDE, with_sun_moon=True, columns=columns)
     first = dimension(parsed, "dim_spatial_coords", algo=WIDE)
     return own.join(
         first.select("spatial_sk", F.col("sun_moon_sk").alias("first_sun_moon_sk")), "spatial_sk"

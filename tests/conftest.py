@@ -21,7 +21,9 @@ def spark(tmp_path_factory):
         .appName("notice-lake-tests")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.sql.shuffle.partitions", "2")
+        # Many short queries: compile fast rather than well.
+        .config("spark.driver.extraJavaOptions", "-XX:TieredStopAtLevel=1")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "4g")
         .config("spark.checkpoint.dir", str(folder / "shared"))
