@@ -26,7 +26,7 @@ from notice_lake.sources import synthetic
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
-RUNS = int(os.environ.get("BENCH_RUNS", "3"))
+RUNS = int(os.environ.get("BENCH_RUNS", "2"))
 
 # One query per kind of work: parse, cast, first-seen, reports, joins, checks, stream.
 HEADLINE = (
