@@ -2,9 +2,13 @@
 
 import compare
 import pytest
+from messages import executed_of
 
 import __spark_entry__ as entry_points
 
+# No Python workers, no pairing of everything with everything.
+NOT_WANTED = ("EvalPython", "InPandas", "InArrow", "CartesianProduct", "BroadcastNestedLoopJoin")
+
 QUERIES = entry_points.queries()
 ORACLE = entry_points.oracle_sql()
 
@@ -24,6 +28,9 @@ def test_query_equals_sql(spark, duck, sf_dir, name):
     found = compare.spark_bag(df)
     assert found == expected
     assert found
+    plan = executed_of(df)
+    for operator in NOT_WANTED:
+        assert operator not in plan
 
 
 def test_every_sql_has_a_query():

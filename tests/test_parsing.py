@@ -13,6 +13,19 @@ def parse(spark, text, **options):
     return silver(message_table(spark, [text]), **options).first()
 
 
+@pytest.fixture(scope="module")
+def parse_all(spark):
+    """Parse many texts in one job: rows of silver and fact per text."""
+
+    def run(texts):
+        messages = message_table(spark, texts)
+        parsed = silver(messages, issues=True).orderBy("kafka_offset").collect()
+        measured = fact(silver(messages)).orderBy("kafka_offset").collect()
+        return dict(zip(texts, zip(parsed, measured)))
+
+    return run
+
+
 def parse_bounded(spark, text):
     return silver_bounded(message_table(spark, [text])).first()
 
@@ -21,39 +34,40 @@ def comments(n, text="i"):
     return "TITLE: t" + f"\nCOMMENTS: {text}" * n
 
 
-@pytest.mark.parametrize(
-    "text, expected",
-    [
-        ("TITLE: t\nCOMMENTS: a\nCOMMENTS: b", {"TITLE": "t", "COMMENTS": "a b"}),
-        (comments(32), {"COMMENTS": " ".join("i" * 32)}),
-        (comments(33), {"COMMENTS": " ".join("i" * 33)}),
-        ("TITLE: t\nCOMMENTS: a\nCOMMENTS:\nLC_URL: u", {"COMMENTS": "a", "LC_URL": "u"}),
-        ("TITLE: t\nCOMMENTS: a\nCOMMENTS:\nCOMMENTS: b", {"COMMENTS": "a b"}),
-        ("TITLE: t\nCOMMENTS:\nCOMMENTS:  \nCOMMENTS: b", {"COMMENTS": "b"}),
-        ("COMMENTS: a\nCOMMENTS: b", {"COMMENTS": "a b"}),
-        ("TITLE: t\nCOMMENTS: a \n more\nCOMMENTS: b", {"COMMENTS": "a   more b"}),
-        ("TITLE: t\nCOMMENTS:", {"COMMENTS": ""}),
-        ("TITLE: t\nGRB_RA: 1\nTITLE: u", {"TITLE": "t", "GRB_RA": "1"}),
-        ("GRB_TIME: 12:30:00 UT", {"GRB_TIME": "12:30:00 UT"}),
-        ("GRB_RA: 1\n   2", {"GRB_RA": "1    2"}),
-        ("GRB_RA: 1\nGRB_INTEN2: 5", {"GRB_RA": "1 GRB_INTEN2: 5"}),
-        ("TITLE: t\n GRB_RA: 1", {"TITLE": "t  GRB_RA: 1", "GRB_RA": None}),
-        ("TITLE: t\nFOO: x", {"TITLE": "t"}),
-        ("TITLE: t\nGRB_ERROR:", {"GRB_ERROR": ""}),
-        ("TITLE: t\r\nGRB_RA: 1\r", {"TITLE": "t", "GRB_RA": "1"}),
-        ("TITLE: a\rb\r\nGRB_RA: 1", {"TITLE": "a\rb", "GRB_RA": "1"}),
-        ("\n\nTITLE: t", {"TITLE": "t"}),
-        (f"TITLE:{NBSP}t{NBSP}u", {"TITLE": "t u"}),
-        ("TITLE", {"TITLE": None}),
-        ("TITLE: t\n\tx", {"TITLE": "t \tx"}),
-        ("", {"TITLE": None}),
-    ],
-)
-def test_edge_texts(spark, text, expected):
-    row = parse(spark, text)
-    assert {name: row[name] for name in expected} == expected
-    absent = [n for n in NOTICE_FIELDS if f"{n}:" not in text]
-    assert all(row[n] is None for n in absent)
+EDGE_TEXTS = [
+    ("TITLE: t\nCOMMENTS: a\nCOMMENTS: b", {"TITLE": "t", "COMMENTS": "a b"}),
+    (comments(32), {"COMMENTS": " ".join("i" * 32)}),
+    (comments(33), {"COMMENTS": " ".join("i" * 33)}),
+    ("TITLE: t\nCOMMENTS: a\nCOMMENTS:\nLC_URL: u", {"COMMENTS": "a", "LC_URL": "u"}),
+    ("TITLE: t\nCOMMENTS: a\nCOMMENTS:\nCOMMENTS: b", {"COMMENTS": "a b"}),
+    ("TITLE: t\nCOMMENTS:\nCOMMENTS:  \nCOMMENTS: b", {"COMMENTS": "b"}),
+    ("COMMENTS: a\nCOMMENTS: b", {"COMMENTS": "a b"}),
+    ("TITLE: t\nCOMMENTS: a \n more\nCOMMENTS: b", {"COMMENTS": "a   more b"}),
+    ("TITLE: t\nCOMMENTS:", {"COMMENTS": ""}),
+    ("TITLE: t\nGRB_RA: 1\nTITLE: u", {"TITLE": "t", "GRB_RA": "1"}),
+    ("GRB_TIME: 12:30:00 UT", {"GRB_TIME": "12:30:00 UT"}),
+    ("GRB_RA: 1\n   2", {"GRB_RA": "1    2"}),
+    ("GRB_RA: 1\nGRB_INTEN2: 5", {"GRB_RA": "1 GRB_INTEN2: 5"}),
+    ("TITLE: t\n GRB_RA: 1", {"TITLE": "t  GRB_RA: 1", "GRB_RA": None}),
+    ("TITLE: t\nFOO: x", {"TITLE": "t"}),
+    ("TITLE: t\nGRB_ERROR:", {"GRB_ERROR": ""}),
+    ("TITLE: t\r\nGRB_RA: 1\r", {"TITLE": "t", "GRB_RA": "1"}),
+    ("TITLE: a\rb\r\nGRB_RA: 1", {"TITLE": "a\rb", "GRB_RA": "1"}),
+    ("\n\nTITLE: t", {"TITLE": "t"}),
+    (f"TITLE:{NBSP}t{NBSP}u", {"TITLE": "t u"}),
+    ("TITLE", {"TITLE": None}),
+    ("TITLE: t\n\tx", {"TITLE": "t \tx"}),
+    ("", {"TITLE": None}),
+]
+
+
+def test_edge_texts(parse_all):
+    rows = parse_all([text for text, _ in EDGE_TEXTS])
+    for text, expected in EDGE_TEXTS:
+        row = rows[text][0]
+        assert {name: row[name] for name in expected} == expected, text
+        absent = [n for n in NOTICE_FIELDS if f"{n}:" not in text]
+        assert all(row[n] is None for n in absent), text
 
 
 def test_null_payload_gives_null_fields_and_is_flagged(spark):
@@ -62,20 +76,18 @@ def test_null_payload_gives_null_fields_and_is_flagged(spark):
     assert row.parse_issue == "null payload"
 
 
-@pytest.mark.parametrize(
-    "text, issue",
-    [
-        ("TITLE: t\nCOMMENTS: a\nCOMMENTS: b", None),
-        ("COMMENTS: a\nCOMMENTS: b", None),
-        ("TITLE: t\nGRB_RA: 1\nTITLE: u", "repeated label"),
-        ("TITLE: t\nCOMMENTS: a\nGRB_RA: 1\nCOMMENTS: b", "repeated label"),
-        ("no label at all", "no known label"),
-        ("FOO: x", "no known label"),
-        ("", "no known label"),
-    ],
-)
-def test_issues(spark, text, issue):
-    assert parse(spark, text, issues=True).parse_issue == issue
+def test_issues(parse_all):
+    issues = {
+        "TITLE: t\nCOMMENTS: a\nCOMMENTS: b": None,
+        "COMMENTS: a\nCOMMENTS: b": None,
+        "TITLE: t\nGRB_RA: 1\nTITLE: u": "repeated label",
+        "TITLE: t\nCOMMENTS: a\nGRB_RA: 1\nCOMMENTS: b": "repeated label",
+        "no label at all": "no known label",
+        "FOO: x": "no known label",
+        "": "no known label",
+    }
+    rows = parse_all(list(issues))
+    assert {text: row.parse_issue for text, (row, _) in rows.items()} == issues
 
 
 def test_very_long_runs_and_texts_are_taken_whole(spark):
@@ -147,22 +159,20 @@ def test_both_forms_agree_on_regular_notices(spark, sf_dir):
     assert silver(table).exceptAll(silver_bounded(table)).isEmpty()
 
 
-@pytest.mark.parametrize(
-    "error, degrees",
-    [
-        ("3.1 [deg]", 3.1), ("3.1\t[deg]", 3.1), ("  7 x", 7.0), ("-2.5", -2.5), ("1e2 x", 100.0),
-        ("12.5d x", 12.5), ("n/a", None), ("", None), ("3.1[deg]", None), (None, None),
-    ],
-)
-def test_measurements(spark, error, degrees):
-    text = "TITLE: t" if error is None else f"TITLE: t\nGRB_ERROR: {error}"
-    assert fact(silver(message_table(spark, [text]))).first().grb_error_deg == degrees
+def test_measurements(parse_all):
+    degrees = {
+        "3.1 [deg]": 3.1, "3.1\t[deg]": 3.1, "  7 x": 7.0, "-2.5": -2.5, "1e2 x": 100.0,
+        "12.5d x": 12.5, "n/a": None, "": None, "3.1[deg]": None,
+    }
+    rows = parse_all([f"TITLE: t\nGRB_ERROR: {error}" for error in degrees])
+    assert [row.grb_error_deg for _, row in rows.values()] == list(degrees.values())
+    assert parse_all(["TITLE: t"])["TITLE: t"][1].grb_error_deg is None
 
 
-@pytest.mark.parametrize("number, value", [("12", 12), ("12.7", None), ("x", None), ("", None)])
-def test_record_number(spark, number, value):
-    row = fact(silver(message_table(spark, [f"RECORD_NUM: {number}"]))).first()
-    assert row.record_num == value
+def test_record_number(parse_all):
+    numbers = {"12": 12, "12.7": None, "x": None, "": None}
+    rows = parse_all([f"RECORD_NUM: {number}" for number in numbers])
+    assert [row.record_num for _, row in rows.values()] == list(numbers.values())
 
 
 def test_text_helpers(spark):

@@ -1,4 +1,4 @@
-"""What the plans look like: scans, shuffles, skew, and no Python workers."""
+"""What the plans look like: scans, shuffles and skew."""
 
 import re
 
@@ -10,13 +10,9 @@ from notice_lake.operators import checks, sequences
 from notice_lake.operators.first_seen import first_seen
 from notice_lake.operators.layers import dimension, fact, silver
 from notice_lake.plans import reports
-from notice_lake.registry.queries import QUERIES
 from notice_lake.schemas import ARRIVAL_ORDER
 from notice_lake.sources.synthetic import damaged, notices
 
-STREAMS = [name for name in QUERIES if name.startswith("stream_")]
-
-
 @pytest.fixture(scope="module")
 def stored(spark, sf_dir, tmp_path_factory):
     """Stored layers, as reports meet them."""
@@ -146,13 +142,6 @@ def test_reference_checks_count_before_they_join(stored, session_conf):
     assert plan.index("Join") < plan.index("partial_count")
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(STREAMS)))
-def test_no_python_workers_and_no_cross_joins(spark, sf_dir, name):
-    plan = executed_of(QUERIES[name](spark, sf_dir))
-    for operator in ("EvalPython", "InPandas", "InArrow", "CartesianProduct", "BroadcastNestedLoopJoin"):
-        assert operator not in plan
-
-
 def test_reports_equal_plain_sql_on_the_same_tables(spark, stored):
     """An analyst's SQL over the stored layers gives what the report functions give."""
     for name in ("fact", "timing", "spatial", "sun_moon"):
