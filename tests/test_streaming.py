@@ -89,12 +89,15 @@ def test_new_checkpoint_reprocesses_from_the_start(spark, inbox, tmp_path):
         assert same_rows(spark.read.parquet(out), silver(inbox.batch(spark)))
 
 
-def test_state_store_dimension_remembers_keys_over_a_restart(spark, inbox, tmp_path, session_conf):
+@pytest.mark.parametrize("salts", [1, 16])
+def test_state_store_dimension_remembers_keys_over_a_restart(
+    spark, inbox, tmp_path, session_conf, salts
+):
     session_conf("spark.sql.streaming.stateStore.providerClass", hops.ROCKSDB_PROVIDER)
     out, checkpoint = str(tmp_path / "dim"), str(tmp_path / "c")
     for name in ("round1", "round2"):
         inbox.deliver(name)
-        rows = stream_dimension(silver(inbox.stream(spark)), "dim_spatial_coords", algo=ALGO)
+        rows = stream_dimension(silver(inbox.stream(spark)), "dim_spatial_coords", algo=ALGO, salts=salts)
         run(hops.append_to_files(rows, out, checkpoint))
     found = spark.read.parquet(out).select("spatial_sk")
     expected = dimension(silver(inbox.batch(spark)), "dim_spatial_coords", algo=ALGO)
