@@ -1 +1,8 @@
 """Operators for preparing training data; nothing else in the library imports them."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions of this package travel to the executors whole, so the package need not be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from notice_lake.llm.mixing import mix_sources
 from notice_lake.llm.packing import pack
 from notice_lake.llm.quality_rules import quality
+from notice_lake.llm.suffix_dedup import remove_repeats
 from notice_lake.llm.url_filter import filter_urls
 
 
@@ -16,6 +17,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(_table(spark, sf_dir, "documents")).drop("spans", "kept_text")
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(_table(spark, sf_dir, "documents"))
 
@@ -36,7 +41,7 @@ def op7_length_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op2_quality_rules, op4_url_filter, op6_source_mix, op7_length_packing)
+    for f in (op1_suffix_dedup, op2_quality_rules, op4_url_filter, op6_source_mix, op7_length_packing)
 }
 
 #: Words of a text, as SQL.
