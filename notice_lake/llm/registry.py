@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from notice_lake.llm.mixing import mix_sources
+from notice_lake.llm.ngram_join import near_duplicates
 from notice_lake.llm.packing import pack
 from notice_lake.llm.quality_rules import quality
 from notice_lake.llm.suffix_dedup import remove_repeats
@@ -25,6 +26,10 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(_table(spark, sf_dir, "documents"))
 
 
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(_table(spark, sf_dir, "pages"))
 
@@ -41,7 +46,14 @@ def op7_length_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_suffix_dedup, op2_quality_rules, op4_url_filter, op6_source_mix, op7_length_packing)
+    for f in (
+        op1_suffix_dedup,
+        op2_quality_rules,
+        op3_ngram_join,
+        op4_url_filter,
+        op6_source_mix,
+        op7_length_packing,
+    )
 }
 
 #: Words of a text, as SQL.
@@ -79,4 +91,28 @@ SELECT doc_id, size, source_size, target, (
 FROM queue
 """
 
-ORACLE: dict[str, str] = {"op6_source_mix": _MIX}
+_LOWERED = (
+    "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+)
+
+_NGRAMS = f"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all({_LOWERED}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, CASE WHEN len(w) < 5 THEN array_to_string(w, ' ')
+    ELSE array_to_string(w[i:i + 4], ' ') END AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, least(len(w), 1)) + 1)) AS i FROM words)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+links AS (
+  SELECT x.doc_id AS a, y.doc_id AS b FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id <> y.doc_id
+  JOIN sizes n ON n.doc_id = x.doc_id JOIN sizes m ON m.doc_id = y.doc_id
+  GROUP BY x.doc_id, y.doc_id HAVING 100 * count(*) >= 75 * (any_value(n.n) + any_value(m.n) - count(*))),
+reached AS (
+  SELECT doc_id AS node, doc_id AS other FROM documents
+  UNION SELECT r.node, l.b FROM reached r JOIN links l ON l.a = r.other)
+SELECT d.doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, min(r.other) AS component_id
+FROM documents d JOIN reached r ON r.node = d.doc_id LEFT JOIN sizes n ON n.doc_id = d.doc_id
+GROUP BY d.doc_id
+"""
+
+ORACLE: dict[str, str] = {"op3_ngram_join": _NGRAMS, "op6_source_mix": _MIX}
