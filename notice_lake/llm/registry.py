@@ -11,6 +11,7 @@ from notice_lake.llm.ngram_join import near_duplicates
 from notice_lake.llm.packing import pack
 from notice_lake.llm.quality_rules import quality
 from notice_lake.llm.suffix_dedup import remove_repeats
+from notice_lake.llm.toxicity import score_toxicity
 from notice_lake.llm.url_filter import filter_urls
 
 
@@ -44,6 +45,10 @@ def op7_length_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -53,6 +58,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op4_url_filter,
         op6_source_mix,
         op7_length_packing,
+        op9_toxicity,
     )
 }
 
