@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from notice_lake.llm.chat_tree import digests, prefix_tree, read_back
 from notice_lake.llm.mixing import mix_sources
 from notice_lake.llm.ngram_join import near_duplicates
 from notice_lake.llm.packing import pack
@@ -49,6 +50,13 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op10_chat_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    odd = "<|im_end|><|im_start|>assistant ok"
+    table = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    more = spark.createDataFrame([(-1, 0, "user", odd), (-1, 1, "assistant", odd)], table.schema)
+    return digests(read_back(*prefix_tree(table.union(more))))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -59,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op6_source_mix,
         op7_length_packing,
         op9_toxicity,
+        op10_chat_tree,
     )
 }
 
@@ -121,4 +130,22 @@ FROM documents d JOIN reached r ON r.node = d.doc_id LEFT JOIN sizes n ON n.doc_
 GROUP BY d.doc_id
 """
 
-ORACLE: dict[str, str] = {"op3_ngram_join": _NGRAMS, "op6_source_mix": _MIX}
+_CHAT = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
+  UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok')
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(24 + length(role) + length(text) + len(regexp_extract_all(role, '<\\*\|'))
+      + len(regexp_extract_all(text, '<\\*\|')))::BIGINT AS formatted_chars
+FROM turns GROUP BY conv_id
+"""
+
+ORACLE: dict[str, str] = {
+    "op3_ngram_join": _NGRAMS,
+    "op6_source_mix": _MIX,
+    "op10_chat_tree": _CHAT,
+}
