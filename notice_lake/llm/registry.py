@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from notice_lake.llm.chat_tree import digests, prefix_tree, read_back
+from notice_lake.llm.lattice import near_vectors
 from notice_lake.llm.mixing import mix_sources
 from notice_lake.llm.ngram_join import near_duplicates
 from notice_lake.llm.packing import pack
@@ -36,6 +37,10 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(_table(spark, sf_dir, "pages"))
 
 
+def op5_lattice_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(_table(spark, sf_dir, "embeddings")).drop("label")
+
+
 def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(_table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken"
@@ -64,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_quality_rules,
         op3_ngram_join,
         op4_url_filter,
+        op5_lattice_hash,
         op6_source_mix,
         op7_length_packing,
         op9_toxicity,
@@ -144,7 +150,23 @@ SELECT conv_id, count(*) AS n_turns,
 FROM turns GROUP BY conv_id
 """
 
+_VECTORS = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings WHERE label IS NOT NULL),
+links AS (
+  SELECT x.vec_id AS a, y.vec_id AS b FROM v x JOIN v y ON x.label = y.label AND x.vec_id <> y.vec_id
+  WHERE list_cosine_similarity(x.e, y.e) >= 0.98),
+reached AS (
+  SELECT vec_id AS node, vec_id AS other FROM embeddings
+  UNION SELECT r.node, l.b FROM reached r JOIN links l ON l.a = r.other),
+groups AS (SELECT node, min(other) AS component_id FROM reached GROUP BY node),
+degrees AS (SELECT a, count(*) AS n_links FROM links GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN groups ON node = vec_id LEFT JOIN degrees ON a = vec_id
+"""
+
 ORACLE: dict[str, str] = {
+    "op5_lattice_hash": _VECTORS,
     "op3_ngram_join": _NGRAMS,
     "op6_source_mix": _MIX,
     "op10_chat_tree": _CHAT,
