@@ -15,6 +15,7 @@ from notice_lake.llm.quality_rules import quality
 from notice_lake.llm.suffix_dedup import remove_repeats
 from notice_lake.llm.toxicity import score_toxicity
 from notice_lake.llm.url_filter import filter_urls
+from notice_lake.llm.wrapper import extract
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -51,6 +52,10 @@ def op7_length_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"))
 
 
+def op8_wrapper_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(_table(spark, sf_dir, "pages"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -72,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op5_lattice_hash,
         op6_source_mix,
         op7_length_packing,
+        op8_wrapper_text,
         op9_toxicity,
         op10_chat_tree,
     )
