@@ -20,7 +20,8 @@ class NgramJoin:
     """``words`` of a shingle; ``percent``: least intersection in hundredths of the union.
 
     ``counted``: how many of four shingles take part in the count of documents by shingle.
-    ``bits`` of the signature that bounds an overlap from above.
+    ``bits`` of the signature that bounds an overlap from above. ``rounds`` of comparing each
+    document with ``leaders`` others, before all candidates that are still apart are compared.
     """
 
     words: int = 5
@@ -28,6 +29,8 @@ class NgramJoin:
     block_bytes: int = 3_000_000
     counted: int = 3
     bits: int = 1024
+    rounds: int = 4
+    leaders: int = 3
 
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -230,9 +233,10 @@ def near_duplicates(
     1. Blocks of documents count shingles by exchanging digests through buckets.
     2. Each document gets the prefix of its set in order of that count. Documents with a prefix that
        only they have can have no links and go no further. Equal sets go on as one.
-    3. Sets that share a prefix shingle are candidates, in tiles of similar size. Each is first compared with
-       one leader (the smallest id of the shingle and size band that it meets most); links found
-       merge documents. All candidates that are still apart are then compared within the tiles.
+    3. Sets that share a prefix shingle are candidates, in tiles of similar size. In a few rounds each is
+       compared with the leaders that it meets most (two per tile, other ones in each round) and that
+       it is not connected with; links found connect documents. All candidates that are still apart are
+       then compared within the tiles.
     4. A candidate must have room for the needed overlap after the places of the shared shingle, and
        by the signatures' bit counts; then the sets are intersected exactly.
 
@@ -291,41 +295,65 @@ def _links(sets: DataFrame, join: NgramJoin) -> DataFrame:
         .select("rep", "n", "band", F.col("p.prefix").alias("shingle"), F.col("p.place").alias("place")),
         "ngram-places",
     )
+    found = None
+    named = places.withColumn("part", F.col("rep"))
+    for number in range(join.rounds):
+        more = stored(verified(stored(_met(named, number, join), "ngram-met"), sets, join), "ngram-first")
+        if more.isEmpty():
+            break
+        found = more if found is None else found.union(more)
+        parts = components(found)
+        named = stored(
+            places.join(parts, places.rep == parts.node, "left")
+            .select("shingle", "rep", "n", "band", "place", F.coalesce("component", "rep").alias("part")),
+            "ngram-named",
+        )
+    pairs = stored(_apart(named, sets, join), "ngram-pairs")
+    rest = verified(pairs, sets, join)
+    return rest if found is None else found.union(rest)
+
+
+def _met(named: DataFrame, number: int, join: NgramJoin) -> DataFrame:
+    """Each document with the leaders it meets most, of those it is not connected with."""
+    order = F.struct(F.xxhash64("rep", F.lit(number)).alias("h"), "rep", "part", "n")
+    tiles = named.groupBy("shingle", "band").agg(
+        F.min(order).alias("low"), F.max(order).alias("high"), F.min("part").alias("p"), F.max("part").alias("q")
+    )
     leaders = stored(
-        places.groupBy("shingle", "band").agg(F.min("rep").alias("leader"), F.count("*").alias("n")).where("n > 1"),
+        tiles.where("p <> q").select("shingle", "band", F.explode(F.array("low", "high")).alias("x"))
+        .select("shingle", "band", F.col("x.rep").alias("leader"), F.col("x.part").alias("of"), F.col("x.n").alias("size")).distinct(),
         "ngram-leaders",
     )
+    similar = 100 * F.least("n", "size") >= join.percent * F.greatest("n", "size")
     met = (
-        places.join(leaders.select("shingle", "band", "leader"), ["shingle", "band"]).where("leader < rep")
-        .groupBy("rep", "leader").agg(F.count("*").alias("n"))
-        .groupBy("rep").agg(F.max_by("leader", F.struct("n", -F.col("leader"))).alias("leader"))
+        named.join(leaders, ["shingle", "band"]).where((F.col("part") != F.col("of")) & similar)
+        .groupBy("rep", "leader").agg(F.count("*").alias("times"))
+        .groupBy("rep").agg(F.array_sort(F.collect_list(F.struct((-F.col("times")).alias("k"), "leader"))).alias("all"))
     )
-    first = stored(verified(stored(met.select(F.col("leader").alias("a"), F.col("rep").alias("b")), "ngram-met"), sets, join), "ngram-first")
-    groups = components(first)
-    named = stored(
-        places.join(groups, places.rep == groups.node, "left")
-        .select("shingle", "rep", "n", "band", "place", F.coalesce("component", "rep").alias("part")),
-        "ngram-named",
-    )
-    apart = named.groupBy("shingle").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high")
-    apart = stored(apart.select("shingle"), "ngram-apart")
-    rest = named.join(apart, "shingle")
+    most = F.slice(F.transform("all", lambda x: x.leader), 1, join.leaders)
+    pairs = met.select("rep", F.explode(most).alias("leader"))
+    return pairs.select(F.least("rep", "leader").alias("a"), F.greatest("rep", "leader").alias("b")).distinct()
+
+
+def _apart(named: DataFrame, sets: DataFrame, join: NgramJoin) -> DataFrame:
+    """All candidates that are not connected and that sizes, places and signatures allow."""
+    shingles_apart = named.groupBy("shingle").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high")
+    rest = named.join(stored(shingles_apart.select("shingle"), "ngram-apart"), "shingle")
+    rest = stored(rest.join(sets.select("rep", "bitmap"), "rep"), "ngram-rest")
     # A set of size band k meets those of its own band and of the next one.
-    left = rest.select("shingle", "rep", "n", "place", "part", "band")
-    right = rest.select("shingle", "rep", "n", "place", "part", F.explode(F.array(F.col("band"), F.col("band") - 1)).alias("band"), F.col("band").alias("own"))
-    x, y = left.alias("x"), right.alias("y")
+    right = rest.withColumn("own", F.col("band")).withColumn("band", F.explode(F.array(F.col("band"), F.col("band") - 1)))
+    x, y = rest.alias("x"), right.alias("y")
+    need = _room(F.col("x.n"), F.col("y.n"), join)
     # Where this is the first prefix shingle that both have, the overlap lies from here on in both.
     left_room = F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place"))
-    pairs = (
-        x.join(
-            y,
-            (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.band") == F.col("y.band"))
-            & (F.col("x.part") != F.col("y.part"))
-            & ((F.col("y.own") > F.col("x.band")) | (F.col("x.rep") < F.col("y.rep")))
-            & (F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * join.percent)
-            & (left_room >= _room(F.col("x.n"), F.col("y.n"), join)),
-        )
-        .select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
+    pairs = x.join(
+        y,
+        (F.col("x.shingle") == F.col("y.shingle"))
+        & (F.col("x.band") == F.col("y.band"))
+        & (F.col("x.part") != F.col("y.part"))
+        & ((F.col("y.own") > F.col("x.band")) | (F.col("x.rep") < F.col("y.rep")))
+        & (F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * join.percent)
+        & (left_room >= need)
+        & (F.least(_bound("x", "y"), _bound("y", "x")) >= need),
     )
-    second = verified(stored(pairs, "ngram-pairs"), sets, join)
-    return first.union(second)
+    return pairs.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
