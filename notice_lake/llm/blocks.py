@@ -3,7 +3,7 @@
 Spark deals documents to blocks by a hash and hands a task one block at a time. Inside a
 block everything is array work on the texts' UTF-8 bytes. Blocks exchange digests through
 buckets: a block sends each bucket its digests as one packed value, in an order that the
-block can work out again, so the answer is one bit per digest.
+block can work out again, so the answer is two bits per digest.
 """
 
 from __future__ import annotations
@@ -69,11 +69,12 @@ def mixed(values: np.ndarray) -> np.ndarray:
 
 
 def _powers_of(which: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of a base modulo 2^64, and of its inverse; kept for the next block of the task."""
+    """Powers of a base modulo 2^64 (the first) or 2^32, and of its inverse; kept for the next block."""
     if which not in _powers or len(_powers[which][0]) < n:
         both = []
         for base in (_BASE[which], pow(_BASE[which], -1, 2**64)):
-            p = np.full(n, base, np.uint64)
+            kind = (np.uint64, np.uint32)[which]
+            p = np.full(n, base & np.iinfo(kind).max, kind)
             p[:1] = 1
             both.append(np.multiply.accumulate(p))
         _powers[which] = (both[0], both[1])
@@ -83,10 +84,10 @@ def _powers_of(which: int, n: int) -> tuple[np.ndarray, np.ndarray]:
 class Rolling:
     """64-bit digests of any stretches of an array of bytes."""
 
-    def __init__(self, data: np.ndarray, which: int = 0):
-        up, self._down = _powers_of(which, len(data) + 1)
+    def __init__(self, data: np.ndarray):
+        up, self._down = _powers_of(0, len(data) + 1)
         self._sums = np.zeros(len(data) + 1, np.uint64)
-        values = _CODES[which][data]
+        values = _CODES[0][data]
         values *= up[: len(data)]
         np.cumsum(values, out=self._sums[1:])
 
@@ -96,99 +97,124 @@ class Rolling:
         return mixed(values)
 
 
-def repeated(*keys: np.ndarray) -> np.ndarray:
-    """Which entries occur more than once: those whose neighbour in the order of the first key is equal in all."""
-    order = np.argsort(keys[0])
-    same = np.ones(max(len(order) - 1, 0), bool)
-    for k in keys:
-        k = k[order]
-        same &= k[1:] == k[:-1]
-    found = np.zeros(len(order), bool)
-    found[order[1:]] |= same
-    found[order[:-1]] |= same
-    return found
+def short_digests(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """32-bit digests, independent of those of ``Rolling``."""
+    up, down = _powers_of(1, len(data) + 1)
+    sums = np.zeros(len(data) + 1, np.uint32)
+    values = _CODES[1].astype(np.uint32)[data]
+    values *= up[: len(data)]
+    np.cumsum(values, out=sums[1:])
+    values = sums[end] - sums[start]
+    values *= down[start]
+    values ^= values >> np.uint32(16)
+    values *= np.uint32(0x85EBCA6B)
+    return values ^ (values >> np.uint32(13))
+
+
+def share_of(digest: np.ndarray, buckets: int) -> np.ndarray:
+    """The bucket of each 32-bit digest: equal ranges of digests."""
+    bucket = (digest.astype(np.uint64) * np.uint64(buckets)) >> np.uint64(32)
+    return bucket.astype(np.uint16 if buckets <= 1 << 16 else np.int32)
 
 
 class Outbox:
-    """What a block sends to the buckets of one exchange."""
-
-    def __init__(self, bucket: np.ndarray, value: np.ndarray, often: np.ndarray):
-        """``often``: found more than once in the block itself; sent once, and needs no answer."""
-        self.often = often
-        self._alone = np.flatnonzero(~often)
-        self._alone = self._alone[np.argsort(bucket[self._alone], kind="stable")]
-        self._bucket, self._value = bucket, value
-
-    def rows(self, block: int) -> pa.Table:
-        bucket = self._bucket[self._alone]
-        value = self._value[self._alone]
-        often = np.flatnonzero(self.often)
-        often = often[np.lexsort((self._value[often], self._bucket[often]))]
-        again = (np.diff(self._value[often]) == 0) & (np.diff(self._bucket[often]) == 0)
-        often = often[np.concatenate([[True], ~again])[: len(often)]]
-        often_bucket, often_value = self._bucket[often], self._value[often]
-        buckets = np.union1d(bucket, often_bucket)
-        cut = lambda keys, values: [
-            values[a:b].tobytes()
-            for a, b in zip(np.searchsorted(keys, buckets), np.searchsorted(keys, buckets, "right"), strict=True)
-        ]
+    """Digests of a block for one exchange. Each is sent once, however often the block has it."""
+
+    def __init__(self, bucket: np.ndarray, value: np.ndarray, known: np.ndarray | None = None):
+        """``known``: entries that are known to occur more than once."""
+        order = np.argsort(value, kind="stable")
+        ranked, ranked_bucket = value[order], bucket[order]
+        new = np.ones(len(order), bool)
+        new[1:] = (ranked[1:] != ranked[:-1]) | (ranked_bucket[1:] != ranked_bucket[:-1])
+        group = np.cumsum(new) - 1
+        first = np.flatnonzero(new)
+        often = np.diff(np.append(first, len(order))) > 1
+        if known is not None and len(first):
+            often |= np.logical_or.reduceat(known[order], first)
+        by_bucket = np.argsort(ranked_bucket[first], kind="stable")
+        place = np.empty(len(first), np.int64)
+        place[by_bucket] = np.arange(len(first))
+        #: Of each entry, its place among what is sent.
+        self.place = np.empty(len(order), np.int64)
+        self.place[order] = place[group]
+        #: Of each sent digest, the first entry that has it, and whether it occurs more than once.
+        self.first, self.often = order[first][by_bucket], often[by_bucket]
+        self.bucket, self.value = bucket[self.first], value[self.first]
+
+    def _cuts(self) -> tuple[np.ndarray, np.ndarray]:
+        cuts = np.flatnonzero(np.diff(self.bucket.astype(np.int64), prepend=-1))
+        return self.bucket[cuts], np.append(cuts, len(self.bucket))
+
+    def rows(self, block: int, kind: type) -> pa.Table:
+        buckets, cuts = self._cuts()
+        value = self.value.astype(kind)
+        pieces = list(zip(cuts[:-1], cuts[1:], strict=True))
         return pa.table(
             {
                 "bucket": pa.array(buckets, pa.int32()),
                 "block": pa.array(np.full(len(buckets), block), pa.int32()),
-                "alone": pa.array(cut(bucket, value), pa.binary()),
-                "often": pa.array(cut(often_bucket, often_value), pa.binary()),
+                "value": pa.array([value[a:b].tobytes() for a, b in pieces], pa.binary()),
+                "often": pa.array([np.packbits(self.often[a:b]).tobytes() for a, b in pieces], pa.binary()),
             }
         )
 
-    def answered(self, answers: pa.Table) -> np.ndarray:
-        """Which digests occur more than once anywhere."""
-        found = self.often.copy()
-        bucket = self._bucket[self._alone]
-        for b, bits in zip(answers["bucket"].to_pylist(), answers["bits"].to_pylist(), strict=True):
-            a, e = np.searchsorted(bucket, b), np.searchsorted(bucket, b, "right")
-            mask = np.unpackbits(np.frombuffer(bits, np.uint8), count=e - a).view(bool)
-            found[self._alone[a:e][mask]] = True
-        return found
-
-
-SENT = "bucket int, block int, alone binary, often binary"
-ANSWER = "bucket int, block int, bits binary"
-
-
-def answer(kind: type):
-    """For one bucket: sorts what all blocks sent, and tells each which of its digests have an equal neighbour."""
-
-    def of_bucket(sent: pa.Table) -> pa.Table:
-        alone = sent["alone"].to_pylist()
-        values = np.frombuffer(b"".join(alone), kind)
-        often = np.unique(np.frombuffer(b"".join(sent["often"].to_pylist()), kind))
-        order = np.argsort(values, kind="stable")
-        ranked = values[order]
-        same = ranked[1:] == ranked[:-1]
-        hit = np.zeros(len(values), bool)
-        hit[order[1:]] |= same
-        hit[order[:-1]] |= same
-        if len(often):
-            at = np.minimum(np.searchsorted(often, values), len(often) - 1)
-            hit |= often[at] == values
-        ends = np.cumsum([0] + [len(x) // np.dtype(kind).itemsize for x in alone])
-        rows = [
-            (block, np.packbits(hit[a:b]).tobytes())
-            for block, a, b in zip(sent["block"].to_pylist(), ends[:-1], ends[1:], strict=True)
-            if hit[a:b].any()
-        ]
-        bucket = sent["bucket"][0].as_py()
-        return pa.table(
-            {
-                "bucket": pa.array([bucket] * len(rows), pa.int32()),
-                "block": pa.array([r[0] for r in rows], pa.int32()),
-                "bits": pa.array([r[1] for r in rows], pa.binary()),
-            }
-        )
-
-    return of_bucket
+    def answered(self, answers: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        """Of each sent digest, whether it occurs more than once anywhere, and whether this block leads it."""
+        shared, lead = self.often.copy(), np.ones(len(self.often), bool)
+        buckets, cuts = self._cuts()
+        at = dict(zip(buckets.tolist(), zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True), strict=True))
+        for b, yes, first in zip(*(answers[c].to_pylist() for c in ("bucket", "shared", "lead")), strict=True):
+            a, e = at[b]
+            shared[a:e] |= np.unpackbits(np.frombuffer(yes, np.uint8), count=e - a).view(bool)
+            lead[a:e] = np.unpackbits(np.frombuffer(first, np.uint8), count=e - a).view(bool)
+        return shared, lead
+
+
+SENT = "bucket int, block int, value binary, often binary"
+ANSWER = "bucket int, block int, shared binary, lead binary"
+
+
+def answer(sent: pa.Table, kind: type) -> pa.Table:
+    """For one bucket: sorts what all blocks sent, and compares neighbours.
+
+    Tells each block which of its digests occur more than once, and which of these no block
+    with a smaller number has.
+    """
+    sent = sent.sort_by("block")
+    size = np.dtype(kind).itemsize
+    pieces = sent["value"].to_pylist()
+    values = np.frombuffer(b"".join(pieces), kind)
+    counts = [len(x) // size for x in pieces]
+    often = [np.unpackbits(np.frombuffer(o, np.uint8), count=n) for o, n in zip(sent["often"].to_pylist(), counts, strict=True)]
+    order = np.argsort(values, kind="stable")
+    ranked = values[order]
+    new = np.ones(len(order), bool)
+    new[1:] = ranked[1:] != ranked[:-1]
+    first = np.flatnonzero(new)
+    total = np.diff(np.append(first, len(order)))
+    if len(first):
+        total = total + np.add.reduceat(np.concatenate(often)[order].astype(np.int64), first)
+    shared, lead = np.empty(len(order), bool), np.empty(len(order), bool)
+    shared[order] = np.repeat(total > 1, np.diff(np.append(first, len(order))))
+    lead[order] = new
+    ends = np.cumsum([0, *counts])
+    rows = [
+        (block, np.packbits(shared[a:b]).tobytes(), np.packbits(lead[a:b]).tobytes())
+        for block, a, b in zip(sent["block"].to_pylist(), ends[:-1], ends[1:], strict=True)
+        if shared[a:b].any()
+    ]
+    return pa.table(
+        {
+            "bucket": pa.array([sent["bucket"][0].as_py()] * len(rows), pa.int32()),
+            "block": pa.array([r[0] for r in rows], pa.int32()),
+            "shared": pa.array([r[1] for r in rows], pa.binary()),
+            "lead": pa.array([r[2] for r in rows], pa.binary()),
+        }
+    )
 
 
 def ask(sent: DataFrame, kind: type) -> DataFrame:
-    return sent.groupBy("bucket").applyInArrow(answer(kind), ANSWER)
+    def of_bucket(rows: pa.Table) -> pa.Table:
+        return answer(rows, kind)
+
+    return sent.groupBy("bucket").applyInArrow(of_bucket, ANSWER)

@@ -21,8 +21,9 @@ from notice_lake.llm.blocks import (
     ask,
     block_of,
     in_blocks,
-    repeated,
     row_key,
+    share_of,
+    short_digests,
 )
 from notice_lake.llm.common import stored
 
@@ -51,56 +52,106 @@ def difference_cover(length: int) -> tuple[int, np.ndarray]:
     return 24 * r * r + 36 * r + 13, np.cumsum([0, *steps])
 
 
+def _spread(starts: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whole numbers from each start on, so many; and of each the index of its start."""
+    of = np.repeat(np.arange(len(starts)), counts)
+    return starts[of] + np.arange(len(of)) - np.repeat(np.cumsum(counts) - counts, counts), of
+
+
+def _mask(size: int, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Which of ``size`` places lie in an interval; intervals in order of their begin."""
+    some = end > begin
+    begin, end = begin[some], end[some]
+    far = np.maximum.accumulate(end)
+    new = np.ones(len(begin), bool)
+    new[1:] = begin[1:] > far[:-1]
+    change = np.zeros(size + 1, np.int8)
+    change[begin[new]] = 1
+    change[far[np.append(np.flatnonzero(new)[1:] - 1, len(far) - 1)] if len(far) else far] = -1
+    return np.cumsum(change[:-1], dtype=np.int8).view(bool)
+
+
 class _Block:
     """The repeat search in one block, up to the step whose answers are there."""
 
-    def __init__(self, rows: pa.Table, copies: pa.Table, dedup: SuffixDedup, buckets: int):
-        self.rows, self.dedup, self.buckets = rows, dedup, buckets
-        self.texts = Texts.of(rows["text"])
-        n = len(rows)
+    def __init__(self, rows: pa.Table, side: pa.Table, dedup: SuffixDedup, buckets: int):
+        self.side, self.dedup, self.buckets = side, dedup, buckets
+        self.texts = texts = Texts.of(rows["text"])
+        copies = _step(side, 0)
         first = dict(zip(copies["key"].to_pylist(), copies["first"].to_pylist(), strict=True))
-        ids = rows["key"].to_pylist() if first else [0] * n
-        role = np.array([first.get(i, 2) for i in ids], np.int8).reshape(n)
-        self.copied = (role < 2) & (self.texts.sizes >= dedup.length)
+        keys = rows["key"].to_pylist() if first else [0] * len(rows)
+        role = np.array([first.get(k, 2) for k in keys], np.int8).reshape(len(rows))
+        long = texts.sizes >= dedup.length
+        self.copied = (role < 2) & long
         #: All copies of a text but one stay out of the search.
-        active = (role != 0) & (self.texts.sizes >= dedup.length)
-        sizes = np.where(active, self.texts.sizes, 0)
-        place = np.arange(len(self.texts.data))
-        self.place = place - np.repeat(self.texts.starts, self.texts.sizes)
-        self.left = np.repeat(sizes, self.texts.sizes) - self.place
-        self.rolling = Rolling(self.texts.data)
+        active = (role != 0) & long
+        self.starts, self.ends = texts.starts[active], (texts.starts + texts.sizes)[active]
+        self.rolling = Rolling(texts.data)
 
     def sample(self) -> Outbox:
         """Names of the sampled suffixes: digests of the bytes that any match of full length shares from there."""
-        period, cover = difference_cover(self.dedup.length)
-        self.period, width = period, self.dedup.length - period + 1
-        inside = np.zeros(period, bool)
-        inside[cover] = True
-        self.sampled = np.flatnonzero(inside[self.place % period] & (self.left >= width))
+        self.period, cover = difference_cover(self.dedup.length)
+        self.step, width = len(cover), self.dedup.length - self.period + 1
+        room = np.maximum(self.ends - self.starts - width + 1, 0)
+        longest = int(room.max(initial=0))
+        pattern = (np.arange(-(-longest // self.period))[:, None] * self.period + cover).reshape(-1)
+        counts = np.searchsorted(pattern, room)
+        index, of = _spread(np.zeros(len(counts), np.int64), counts)
+        self.sampled = self.starts[of] + pattern[index]
+        self.begin, self.end = self.starts[of], self.ends[of]
         names = self.rolling.digest(self.sampled, self.sampled + width)
-        bucket = ((names >> np.uint64(32)) * np.uint64(self.buckets)) >> np.uint64(32)
-        return Outbox(bucket.astype(np.int32), names.astype(np.uint32), repeated(names))
-
-    def suffixes(self, shared: np.ndarray) -> Outbox:
-        """All suffixes with a sampled one of a shared name ahead, by digests of their full length."""
-        at = self.sampled[shared]
-        change = np.zeros(len(self.place) + 1, np.int32)
-        np.add.at(change, np.maximum(at - self.period + 1, at - self.place[at]), 1)
-        np.add.at(change, at + 1, -1)
-        self.asked = np.flatnonzero((np.cumsum(change[:-1]) > 0) & (self.left >= self.dedup.length))
+        return Outbox(share_of(names >> np.uint64(32), self.buckets), names)
+
+    def triples(self, names: Outbox) -> Outbox:
+        """Names of three sampled suffixes one period apart, for those whose names all occur again."""
+        shared, _ = names.answered(_step(self.side, 1))
+        self.shared = shared[names.place]
+        n, both = len(self.sampled), self.shared.copy()
+        for k in (1, 2):
+            later = np.zeros(n, bool)
+            if n > k * self.step:
+                apart = self.sampled[k * self.step :] - self.sampled[: -k * self.step]
+                later[: -k * self.step] = self.shared[k * self.step :] & (apart == k * self.period)
+            both &= later
+        width = self.dedup.length + self.period - 1
+        both &= self.sampled + width <= self.end
+        self.tripled = self.sampled[both]
+        value = self.rolling.digest(self.tripled, self.tripled + width)
+        short = short_digests(self.texts.data, self.tripled, self.tripled + width)
+        return Outbox(share_of(short, self.buckets), value)
+
+    def suffixes(self, triples: Outbox) -> Outbox:
+        """All suffixes that may occur again and are not settled, by digests of their full length.
+
+        A triple that occurs again settles the suffixes from its place up to one period on: they occur
+        again, and are sent only from where the triple occurs first.
+        """
+        shared, lead = triples.answered(_step(self.side, 2))
+        again = shared[triples.place]
+        leading = np.zeros(len(again), bool)
+        leading[triples.first[lead]] = True
+        size = len(self.texts.data)
+        at = self.tripled[again]
+        self.known = _mask(size, at, at + self.period)
+        at = self.tripled[again & ~leading]
+        elsewhere = _mask(size, at, at + self.period)
+        at, low = self.sampled[self.shared], self.begin[self.shared]
+        last = self.end[self.shared] - self.dedup.length + 1
+        possible = _mask(size, np.maximum(at - self.period + 1, low), np.minimum(at + 1, last))
+        self.asked = np.flatnonzero(possible & ~elsewhere)
         end = self.asked + self.dedup.length
         value = self.rolling.digest(self.asked, end)
-        other = Rolling(self.texts.data, 1).digest(self.asked, end)
-        bucket = (((other >> np.uint64(32)) * np.uint64(self.buckets)) >> np.uint64(32)).astype(np.int32)
-        return Outbox(bucket, value, repeated(value, bucket))
+        bucket = share_of(short_digests(self.texts.data, self.asked, end), self.buckets)
+        return Outbox(bucket, value, self.known[self.asked])
 
-    def removed(self, found: np.ndarray) -> np.ndarray:
+    def removed(self, suffixes: Outbox) -> np.ndarray:
         """Which bytes lie in a repeat."""
-        at = self.asked[found]
-        change = np.zeros(len(self.place) + 1, np.int32)
-        np.add.at(change, at, 1)
-        np.add.at(change, at + self.dedup.length, -1)
-        covered = np.cumsum(change[:-1]) > 0
+        shared, _ = suffixes.answered(_step(self.side, 3))
+        found = self.known
+        found[self.asked[shared[suffixes.place]]] = True
+        edge = np.diff(found.view(np.int8), prepend=0, append=0)
+        begin, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+        covered = _mask(len(found), begin, end + self.dedup.length - 1)
         return covered | np.repeat(self.copied, self.texts.sizes)
 
 
@@ -108,39 +159,38 @@ def _step(side: pa.Table, step: int) -> pa.Table:
     return side.filter(pc.equal(side["step"], step))
 
 
-def _search(rows: pa.Table, side: pa.Table, dedup: SuffixDedup, buckets: int, upto: int):
-    block = _Block(rows, _step(side, 0), dedup, buckets)
+#: The digests of each step, and their kind.
+_KINDS = {1: np.uint32, 2: np.uint64, 3: np.uint64}
+
+
+def _search(block: _Block, upto: int) -> Outbox:
     out = block.sample()
-    if upto > 1:
-        out = block.suffixes(out.answered(_step(side, 1)))
-    if upto > 2:
-        return block, block.removed(out.answered(_step(side, 2)))
-    return block, out
+    for following in (block.triples, block.suffixes)[: upto - 1]:
+        out = following(out)
+    return out
 
 
 def _send(rows: pa.Table, side: pa.Table, *, dedup: SuffixDedup, buckets: int, upto: int) -> pa.Table:
-    if not len(rows):
-        return pa.table({c: pa.array([], t) for c, t in (("bucket", pa.int32()), ("block", pa.int32()), ("alone", pa.binary()), ("often", pa.binary()))})
-    return _search(rows, side, dedup, buckets, upto)[1].rows(rows["block"][0].as_py())
+    out = _search(_Block(rows, side, dedup, buckets), upto)
+    number = rows["block"][0].as_py() if len(rows) else 0
+    return out.rows(number, _KINDS[upto])
 
 
 def _finish(rows: pa.Table, side: pa.Table, *, dedup: SuffixDedup, buckets: int, keep: tuple[str, ...], kept_text: bool) -> pa.Table:
     out: dict[str, list] = {c: [] for c in ("n_bytes", "n_removed", "n_spans", "kept_sha256", "spans", "kept_text")}
     if len(rows):
-        block, removed = _search(rows, side, dedup, buckets, 3)
-        edge = np.diff(np.concatenate([[0], removed.view(np.int8)]))
-        starts = block.texts.starts
-        begins = (edge == 1) | (removed & (block.place == 0))
-        for a, n in zip(starts.tolist(), block.texts.sizes.tolist(), strict=True):
+        block = _Block(rows, side, dedup, buckets)
+        removed = block.removed(_search(block, 3))
+        for a, n in zip(block.texts.starts.tolist(), block.texts.sizes.tolist(), strict=True):
             gone = removed[a : a + n]
             data = block.texts.data[a : a + n]
             some = bool(gone.any())
             kept = data[~gone].tobytes() if some else data.tobytes()
             spans = []
             if some:
-                first = np.flatnonzero(begins[a : a + n])
-                after = np.flatnonzero(np.diff(np.concatenate([gone.view(np.int8), [0]])) == -1) + 1
-                spans = [{"start": int(x), "end": int(y)} for x, y in zip(first, after, strict=True)]
+                edge = np.diff(gone.view(np.int8), prepend=0, append=0)
+                ends = zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist(), strict=True)
+                spans = [{"start": x, "end": y} for x, y in ends]
             out["n_bytes"].append(n)
             out["n_removed"].append(int(gone.sum()))
             out["n_spans"].append(len(spans))
@@ -171,15 +221,16 @@ def remove_repeats(
        of full length have a sampled suffix at the same distance in both, and share at least
        ``length`` minus the cover's period plus one bytes from there: its name.
        Names with no equal neighbour in sorted order are settled and go no further.
-    2. The suffixes around sampled ones that remain, sampled or not, are merged into one
-       order by their full length, and neighbours are compared.
-    3. Each block marks the bytes that its repeated suffixes cover.
+    2. Of the sampled suffixes that remain, triples one period apart are named: the recursion. A triple that
+       occurs again settles all suffixes from its place up to one period on.
+    3. The suffixes around sampled ones that remain, sampled or not, are merged into one order by
+       their full length, and neighbours are compared. Settled ones take part only from the first place.
+    4. Each block marks the bytes that its repeated suffixes cover.
 
     Whole copies of a text (by SHA-256) go through the search once. A name found twice in
     a block is sent once, so a string that a third of all documents hold reaches a
-    bucket once per block. Texts are shuffled once; the three steps read the same shuffle.
-    The suffix step tells strings apart by a 64-bit digest inside a bucket chosen by an
-    independent one.
+    bucket once per block. Texts are shuffled once; all steps read the same shuffle. Triples and full
+    suffixes are told apart by a 64-bit digest inside a bucket chosen by an independent one.
 
     Returns per document ``doc_id``, ``n_bytes``, ``n_removed``, ``n_spans`` (maximal removed
     runs), ``kept_sha256``, ``spans`` (byte offsets), ``kept_text`` (null unless asked for; a character
@@ -209,18 +260,19 @@ def remove_repeats(
         ids.join(groups, "sha").select(
             block_of(F.col("key"), n).alias("block"), F.lit(0).alias("step"), "key",
             F.col("doc_id").eqNullSafe(F.col("lead")).cast("tinyint").alias("first"),
-            nothing.cast("int").alias("bucket"), nothing.cast("binary").alias("bits"),
+            nothing.cast("int").alias("bucket"), nothing.cast("binary").alias("shared"),
+            nothing.cast("binary").alias("lead"),
         ).distinct(),
         "suffix-side",
     )
     deal = in_blocks(docs, doc_id, text, n, keep).groupBy("block")
-    for step, kind in ((1, np.uint32), (2, np.uint64)):
+    for step, kind in _KINDS.items():
         send = partial(_send, dedup=dedup, buckets=n, upto=step)
         answers = ask(deal.cogroup(side.groupBy("block")).applyInArrow(send, SENT), kind)
         side = side.union(
             answers.select(
                 "block", F.lit(step).alias("step"), nothing.cast("long").alias("key"),
-                nothing.cast("tinyint").alias("first"), "bucket", "bits",
+                nothing.cast("tinyint").alias("first"), "bucket", "shared", "lead",
             )
         )
     kinds = dict(docs.dtypes)
