@@ -18,7 +18,7 @@ import time
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from notice_lake.operators.layers import DIMENSIONS, dimension, fact, silver, silver_bounded
+from notice_lake.operators.layers import DIMENSIONS, dimension, fact, silver
 from notice_lake.plans import reports
 from notice_lake.registry.queries import QUERIES
 from notice_lake.schemas import ARRIVAL_ORDER
@@ -46,6 +46,7 @@ HEADLINE = (
     "quarantine",
     "typed_notices",
     "stream_silver",
+    "stream_fanout",
 )
 
 
@@ -57,6 +58,9 @@ def session() -> SparkSession:
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", CPUS)
+        # One small file over all cores.
+        .config("spark.sql.files.minPartitionNum", CPUS)
+        .config("spark.sql.files.openCostInBytes", "64k")
         .config("spark.driver.memory", "12g")
         .getOrCreate()
     )
@@ -127,9 +131,6 @@ def alternatives(spark: SparkSession) -> dict[str, float]:
 
     return {
         "parse: segments": median_seconds(lambda: consume(silver(bronze))),
-        "parse: bounded regex merge and str_to_map": median_seconds(
-            lambda: consume(silver_bounded(bronze))
-        ),
         "first seen: min_by": median_seconds(lambda: consume(dimension(parsed, "dim_event_timing"))),
         "first seen: row_number": median_seconds(lambda: consume(by_row_number())),
         "first seen: dropDuplicates (not deterministic)": median_seconds(

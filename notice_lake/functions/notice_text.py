@@ -7,8 +7,6 @@ pass and a repeated label never meets Spark's duplicate-map-key error.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -16,8 +14,6 @@ from pyspark.sql import functions as F
 LABEL = "[A-Z_]+"
 REPEATABLE = "COMMENTS"
 NBSP = "\u00a0"
-# Fixed value: the bounded merge pattern of a repeated label, for ``passes``.
-BOUNDED_MERGE = r"(\n{key}:[^\n]*)\n{key}:\s*"
 
 _TO_END = 2**31 - 1
 
@@ -37,16 +33,6 @@ def merge_wrapped(text: Column, label: str = LABEL) -> Column:
     return F.regexp_replace(text, rf"\n(?!{label}:)", " ")
 
 
-def consolidate_repeated(text: Column, key: str = REPEATABLE, passes: int = 5) -> Column:
-    """Bounded merge of consecutive ``key`` lines: ``2**passes`` lines become one.
-
-    Kept for exact compatibility, including its reach across a blank value into
-    the next line. ``merge_run`` is the unbounded form used by default.
-    """
-    pattern = BOUNDED_MERGE.format(key=key)
-    return reduce(lambda t, _: F.regexp_replace(t, pattern, "$1 "), range(passes), text)
-
-
 def strip_repeated_label(text: Column, key: str = REPEATABLE) -> Column:
     """Drop the label of every ``key`` line, so its text joins the field above."""
     return F.regexp_replace(text, rf"\n{key}:\s*", " ")

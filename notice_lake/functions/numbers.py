@@ -5,10 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+NUMBER = r"[+-]?(?:\d+(?:\.\d*)?|\.\d+)(?:[eE][+-]?\d+)?"
 
-def leading_number(text: Column) -> Column:
-    """First white-space delimited token as double."""
-    return F.regexp_extract(text, r"^\s*(\S+)", 1).try_cast("double")
+
+def leading_number(text: Column, unit: str = "") -> Column:
+    """The first token as double, if it is a number and nothing else.
+
+    ``unit`` is a pattern that may follow the number without a space. Words that a
+    cast takes for numbers (``NaN``, ``Infinity``, ``1.5f``) give NULL.
+    """
+    return F.regexp_extract(text, rf"^\s*({NUMBER})(?:{unit})(?:\s|$)", 1).try_cast("double")
 
 
 def whole_number(text: Column, dtype: str = "bigint") -> Column:

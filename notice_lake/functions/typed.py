@@ -1,8 +1,8 @@
 """Typed values of the text fields: times, angles, coordinates, illumination.
 
-The text formats accepted here are those of the test notices plus two common
-variants (``yy/mm/dd`` dates, clock times in braces); no format is published
-with the feed. Anything else gives NULL. Timestamps are UTC wall-clock values
+The text formats accepted here are those of the test notices plus common variants
+(``yy/mm/dd`` dates, ``23 Jun 24`` dates, clock times in braces, positions with both
+coordinates on one line). Anything else gives NULL. Timestamps are UTC wall-clock values
 without zone, so no result depends on the session time zone.
 """
 
@@ -11,19 +11,35 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from notice_lake.functions.numbers import NUMBER, leading_number
+
 ISO_DATE = r"(\d{4}-\d{2}-\d{2})"
 SHORT_DATE = r"(?:^|\D)(\d{2})/(\d{2})/(\d{2})(?:\D|$)"
+# Month names of the feed's dates.
+MONTHS = "JanFebMarAprMayJunJulAugSepOctNovDec"
+NAMED_DATE = rf"(?:^|\D)(\d{{1,2}}) ({'|'.join(MONTHS[i : i + 3] for i in range(0, 36, 3))}) (\d{{2}})(?:\D|$)"
 CLOCK = r"(\d{2}:\d{2}:\d{2}(?:\.\d{1,6})?)"
-SIGNED_DECIMAL = r"^\s*([+-]?\d+(?:\.\d+)?)"
-SECOND_DECIMAL = r"^\s*[+-]?\d+(?:\.\d+)?\s*,\s*([+-]?\d+(?:\.\d+)?)"
+# An angle may carry its unit: 84.25d; a list its separator: 84.25,
+ANGLE_UNIT = "d?,?"
+# A number, its sexagesimal form in braces or a comma or space, then the second number.
+SECOND_ANGLE = rf"^\s*{NUMBER}d?(?:\s*\{{[^}}]*\}}\s*,?\s*|\s*,\s*|\s+)({NUMBER})d?(?:\s|$)"
 
 
 def date_text(text: Column) -> Column:
-    """ISO date inside ``text``; ``yy/mm/dd`` is read as 20yy. Empty when none."""
-    short = F.regexp_extract(text, SHORT_DATE, 0)
-    parts = [F.regexp_extract(text, SHORT_DATE, i) for i in (1, 2, 3)]
+    """ISO date inside ``text``; years of two digits are read as 20yy. Empty when none."""
+    short = [F.regexp_extract(text, SHORT_DATE, i) for i in range(4)]
+    named = [F.regexp_extract(text, NAMED_DATE, i) for i in range(4)]
+    month = ((F.instr(F.lit(MONTHS), named[2]) + 2) / 3).cast("int").cast("string")
     iso = F.regexp_extract(text, ISO_DATE, 1)
-    return F.when((iso == "") & (short != ""), F.concat(F.lit("20"), F.concat_ws("-", *parts))).otherwise(iso)
+    return (
+        F.when(iso != "", iso)
+        .when(short[0] != "", F.concat(F.lit("20"), F.concat_ws("-", *short[1:])))
+        .when(
+            named[0] != "",
+            F.concat(F.lit("20"), F.concat_ws("-", named[3], F.lpad(month, 2, "0"), F.lpad(named[1], 2, "0"))),
+        )
+        .otherwise("")
+    )
 
 
 def utc_timestamp(date: Column, clock: Column) -> Column:
@@ -32,13 +48,13 @@ def utc_timestamp(date: Column, clock: Column) -> Column:
 
 
 def degrees(text: Column) -> Column:
-    """Leading signed decimal number: an angle, or a percentage."""
-    return F.regexp_extract(text, SIGNED_DECIMAL, 1).try_cast("double")
+    """Leading number: an angle, or a percentage."""
+    return leading_number(F.replace(text, F.lit(","), F.lit(", ")), ANGLE_UNIT)
 
 
 def coordinate_pair(text: Column) -> tuple[Column, Column]:
-    """``lon, lat`` text as two doubles."""
-    return degrees(text), F.regexp_extract(text, SECOND_DECIMAL, 1).try_cast("double")
+    """Both angles of ``lon, lat`` or ``lon {h m s} lat {d m s}``."""
+    return degrees(text), F.regexp_extract(text, SECOND_ANGLE, 1).try_cast("double")
 
 
 def valid_position(ra: Column, dec: Column) -> Column:

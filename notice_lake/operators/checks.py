@@ -162,6 +162,23 @@ def consumer_lag(messages: DataFrame, end_offsets: DataFrame) -> DataFrame:
     )
 
 
+def stalled_offsets(earlier: DataFrame, later: DataFrame) -> DataFrame:
+    """Partitions whose consumer did not move between two snapshots while the feed did.
+
+    A snapshot holds (kafka_topic, kafka_partition, latest_offset, end_offset), as
+    ``consumer_lag`` returns them; ``latest_offset`` is NULL where nothing was read. A partition
+    that only the later snapshot has counts as empty and unread in the earlier one.
+    """
+    part = list(DELIVERY_KEY[:2])
+    before = earlier.select(*part, F.col("latest_offset").alias("_latest"), F.col("end_offset").alias("_end"))
+    added = F.col("end_offset") - F.coalesce("_end", F.lit(0))
+    return (
+        later.join(before, part, "left")
+        .filter(F.col("latest_offset").eqNullSafe(F.col("_latest")) & (added > 0))
+        .select(*part, "latest_offset", "end_offset", added.alias("added"))
+    )
+
+
 def _references(tables, contracts):
     return [
         (name, *reference)

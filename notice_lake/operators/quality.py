@@ -83,10 +83,11 @@ def expectation_report(df: DataFrame, expectations: Mapping[str, Predicate]) ->
 
 
 def quarantined(notices: DataFrame) -> DataFrame:
-    """Rows of a ``silver(..., issues=True)`` table that did not parse cleanly."""
+    """Rows of a ``silver(..., evidence=True)`` table that did not parse cleanly, with their texts."""
     return notices.filter(F.col("parse_issue").isNotNull())
 
 
 def accepted(notices: DataFrame) -> DataFrame:
     """The other rows; with ``quarantined`` they are the input, each row once."""
-    return notices.filter(F.col("parse_issue").isNull()).drop("parse_issue")
+    evidence = ("parse_issue", "kafka_value", "single_line_text", "rescued_fields")
+    return notices.filter(F.col("parse_issue").isNull()).drop(*evidence)

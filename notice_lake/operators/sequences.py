@@ -2,16 +2,14 @@
 
 A window over (topic, partition) would send a feed partition holding a third of
 all messages to one task. Instead positions are cut into fixed blocks of
-``2**BLOCK_BITS``; windows run inside a block, then over one summary row per
-block, then over one per block of blocks. Each window group is bounded by
-construction (2**20, 2**20 and 2**23 rows for 63-bit offsets), and the three
-levels together give exactly what the single window would.
+``2**BLOCK_BITS``; windows run inside a block. What goes from block to block is one
+or two rows per block, and a window over those gives exactly what the single one would.
+Copies of a delivery are combined before any of it, so that a message
+delivered again and again does not fill its block.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,94 +21,58 @@ _PARTITION = DELIVERY_KEY[:2]
 _POSITION = DELIVERY_KEY[2]
 
 
-def _neighbours(df: DataFrame, group: Sequence[str], order: str, last: str, first: str) -> DataFrame:
-    """Pair the ``last`` of each row with the ``first`` of the row after it."""
-    following = F.lead(first).over(Window.partitionBy(*group).orderBy(order))
-    return df.select(
-        *_PARTITION, F.col(last).alias("_before"), following.alias("_after")
-    ).filter(F.col("_after") - F.col("_before") > 1)
-
-
 def offset_gaps(messages: DataFrame, *, block_bits: int = BLOCK_BITS) -> DataFrame:
-    """Runs of offsets missing between two delivered ones, per topic and partition."""
+    """Runs of offsets missing between two delivered ones, per topic and partition.
+
+    One scan. In each block only the edges and the offsets before a hole remain; the
+    last offset of a block then meets the first of the next one.
+    """
     part = list(_PARTITION)
-    # Redeliveries collapse map-side, before anything is grouped by block.
-    offsets = (
-        messages.select(*DELIVERY_KEY)
-        .distinct()
+    in_block = Window.partitionBy(*part, "_block").orderBy(_POSITION)
+    rows = (
+        messages.select(*DELIVERY_KEY).distinct()
         .withColumn("_block", F.shiftright(_POSITION, block_bits))
+        .withColumn("_after", F.lead(_POSITION).over(in_block))
+        .withColumn("_first", F.lag(_POSITION).over(in_block).isNull())
     )
-    blocks = (
-        offsets.groupBy(*part, "_block")
-        .agg(F.min(_POSITION).alias("_first"), F.max(_POSITION).alias("_last"))
-        .withColumn("_super", F.shiftright("_block", block_bits))
+    rows = rows.filter(F.col("_first") | F.col("_after").isNull() | (F.col("_after") - F.col(_POSITION) > 1))
+    # Edges of all blocks follow each other; other offsets stay with their block.
+    edge = F.col("_first") | F.col("_after").isNull()
+    between = Window.partitionBy(*part, "_group").orderBy(_POSITION)
+    rows = rows.withColumn("_group", F.when(~edge, F.col("_block"))).withColumn(
+        "_after", F.coalesce("_after", F.lead(_POSITION).over(between))
     )
-    supers = blocks.groupBy(*part, "_super").agg(
-        F.min("_first").alias("_first"), F.max("_last").alias("_last")
-    )
-    holes = (
-        _neighbours(offsets, [*part, "_block"], _POSITION, _POSITION, _POSITION)
-        .unionByName(_neighbours(blocks, [*part, "_super"], "_block", "_last", "_first"))
-        .unionByName(_neighbours(supers, part, "_super", "_last", "_first"))
-    )
-    return holes.select(
+    return rows.filter(F.col("_after") - F.col(_POSITION) > 1).select(
         *part,
-        (F.col("_before") + 1).alias("gap_start"),
+        (F.col(_POSITION) + 1).alias("gap_start"),
         (F.col("_after") - 1).alias("gap_end"),
-        (F.col("_after") - F.col("_before") - 1).alias("missing"),
+        (F.col("_after") - F.col(_POSITION) - 1).alias("missing"),
     )
 
 
-def _earlier_max(value: str, group: Sequence[str], order: str):
-    frame = (
-        Window.partitionBy(*group)
-        .orderBy(order)
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    return F.max(value).over(frame)
-
-
 def late_messages(messages: DataFrame, *, block_bits: int = BLOCK_BITS) -> DataFrame:
     """Messages older than some message at a smaller offset of their partition.
 
     Copies of one delivery are counted, not listed: ``deliveries`` says how often
-    that offset arrived with that timestamp.
+    that offset arrived with that timestamp. Two scans: one for the newest time of each
+    block, one for the rows, which meet the newest time of the blocks before.
     """
     part = list(_PARTITION)
-    copies = messages.groupBy(*DELIVERY_KEY, "kafka_timestamp").agg(
-        F.count("*").alias("deliveries")
-    )
-    offsets = (
-        copies.groupBy(*DELIVERY_KEY)
-        .agg(
-            F.max("kafka_timestamp").alias("_newest"),
-            F.min("kafka_timestamp").alias("_oldest"),
-        )
-        .withColumn("_block", F.shiftright(_POSITION, block_bits))
+    block = F.shiftright(_POSITION, block_bits)
+    newest = messages.groupBy(*part, block.alias("_block")).agg(F.max("kafka_timestamp").alias("_newest"))
+    blocks_before = (
+        Window.partitionBy(*part).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     )
-    blocks = (
-        offsets.groupBy(*part, "_block")
-        .agg(F.max("_newest").alias("_newest"))
-        .withColumn("_super", F.shiftright("_block", block_bits))
-    )
-    supers = blocks.groupBy(*part, "_super").agg(F.max("_newest").alias("_newest"))
-    super_carry = supers.select(
-        *part, "_super", _earlier_max("_newest", part, "_super").alias("_before_super")
-    )
-    block_carry = (
-        blocks.withColumn("_in_super", _earlier_max("_newest", [*part, "_super"], "_block"))
-        .join(super_carry, [*part, "_super"])
-        .select(*part, "_block", F.greatest("_in_super", "_before_super").alias("_before_block"))
-    )
-    late_offsets = (
-        offsets.withColumn("_in_block", _earlier_max("_newest", [*part, "_block"], _POSITION))
-        .join(block_carry, [*part, "_block"])
-        .withColumn("latest_before", F.greatest("_in_block", "_before_block"))
-        .filter(F.col("_oldest") < F.col("latest_before"))
-        .select(*DELIVERY_KEY, "latest_before")
+    carried = newest.select(*part, "_block", F.max("_newest").over(blocks_before).alias("_carried"))
+    smaller_offsets = (
+        Window.partitionBy(*part, "_block").orderBy(_POSITION).rangeBetween(Window.unboundedPreceding, -1)
     )
+    copies = messages.groupBy(*DELIVERY_KEY, "kafka_timestamp").agg(F.count("*").alias("deliveries"))
     return (
-        copies.join(late_offsets, list(DELIVERY_KEY))
+        copies.withColumn("_block", block).join(carried, [*part, "_block"])
+        .withColumn(
+            "latest_before", F.greatest(F.max("kafka_timestamp").over(smaller_offsets), "_carried")
+        )
         .filter(F.col("kafka_timestamp") < F.col("latest_before"))
         .select(*DELIVERY_KEY, "kafka_timestamp", "latest_before", "deliveries")
     )

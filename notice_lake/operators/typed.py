@@ -13,6 +13,8 @@ def typed_notice(notices: DataFrame) -> DataFrame:
     """Times, calendar parts, angles and coordinates as typed columns, one row per notice."""
     gal_lon, gal_lat = ty.coordinate_pair(F.col("GAL_COORDS"))
     ecl_lon, ecl_lat = ty.coordinate_pair(F.col("ECL_COORDS"))
+    sun_lon, sun_lat = ty.coordinate_pair(F.col("SUN_POSTN"))
+    moon_lon, moon_lat = ty.coordinate_pair(F.col("MOON_POSTN"))
     typed = notices.select(
         *DELIVERY_KEY,
         ty.utc_timestamp(F.col("NOTICE_DATE"), F.col("NOTICE_DATE")).alias("notice_time"),
@@ -23,8 +25,10 @@ def typed_notice(notices: DataFrame) -> DataFrame:
         gal_lat.alias("gal_lat_deg"),
         ecl_lon.alias("ecl_lon_deg"),
         ecl_lat.alias("ecl_lat_deg"),
-        ty.degrees(F.col("SUN_POSTN")).alias("sun_position_deg"),
-        ty.degrees(F.col("MOON_POSTN")).alias("moon_position_deg"),
+        sun_lon.alias("sun_position_deg"),
+        sun_lat.alias("sun_position_dec_deg"),
+        moon_lon.alias("moon_position_deg"),
+        moon_lat.alias("moon_position_dec_deg"),
         ty.degrees(F.col("MOON_ILLUM")).alias("moon_illumination_pct"),
     )
     return typed.select(

@@ -2,14 +2,14 @@
 
 It starts from the same message SQL and parses with regular expressions on the
 whole text, where Spark splits into segments. Streaming queries are compared
-with the SQL of their batch result. ``surrogate_xxhash64`` has none.
+with the SQL of their batch result.
 """
 
 from __future__ import annotations
 
 from notice_lake.registry.queries import SKY_POINT
 from notice_lake.schemas import NOTICE_FIELDS, SPATIAL_KEY, SUN_MOON_KEY, TIMING_KEY
-from notice_lake.sources.synthetic import DAMAGED, IRREGULAR, NOTICES
+from notice_lake.sources.synthetic import DAMAGED, IRREGULAR, NOTICES, SHAPED
 
 _DELIVERY = "kafka_topic, kafka_partition, kafka_offset"
 _META = "kafka_key, kafka_topic, kafka_partition, kafka_offset, kafka_timestamp"
@@ -72,8 +72,11 @@ _SPATIAL_SK = f"{_wide_key(SPATIAL_KEY)} AS spatial_sk"
 _SUN_MOON_SK = f"{_wide_key(SUN_MOON_KEY)} AS sun_moon_sk"
 
 
+_DECIMAL = r"[+-]?(?:\d+(?:\.\d*)?|\.\d+)(?:[eE][+-]?\d+)?"
+
+
 def _number(field: str) -> str:
-    return rf"TRY_CAST(regexp_extract({field}, '^\s*(\S+)', 1) AS DOUBLE)"
+    return rf"TRY_CAST(regexp_extract({field}, '^\s*({_DECIMAL})(\s|$)', 1) AS DOUBLE)"
 
 
 def _fact(parsed: str) -> str:
@@ -185,10 +188,84 @@ _MURMUR = _SILVER | _murmur_ctes(
     "silver", {"timing_sk": TIMING_KEY, "spatial_sk": SPATIAL_KEY, "sun_moon_sk": SUN_MOON_KEY}
 )
 
-# The bounded merge, five passes of the same pattern, then a field per line.
-_BOUNDED_TEXT = "w"
-for _ in range(5):
-    _BOUNDED_TEXT = rf"regexp_replace({_BOUNDED_TEXT}, '(\nCOMMENTS:[^\n]*)\nCOMMENTS:\s*', '\1 ', 'g')"
+# XXH64 over ASCII text as Spark's xxhash64() computes it; NULL passes the seed on.
+_P1, _P2, _P3, _P4, _P5 = (
+    11400714785074694791, 14029467366897019727, 1609587929392839161, 9650029242287828579,
+    2870177450012600261,
+)
+_WRAP = 2**64
+
+
+def _let(value: str, name: str, body: str) -> str:
+    """``body`` with ``name`` standing for ``value``, which is written once."""
+    return f"list_transform([{value}], lambda {name}: {body})[1]"
+
+
+def _times(x: str, factor: int) -> str:
+    return f"((({x})::UHUGEINT * {factor}::UHUGEINT) % {_WRAP}::UHUGEINT)"
+
+
+def _plus(*terms: str) -> str:
+    return f"(({' + '.join(f'({t})::UHUGEINT' for t in terms)}) % {_WRAP}::UHUGEINT)"
+
+
+def _turn(x: str, bits: int, name: str) -> str:
+    return _let(x, name, f"((({name}) * {2**bits}::UHUGEINT) % {_WRAP}::UHUGEINT + ({name}) // {2 ** (64 - bits)}::UHUGEINT)")
+
+
+def _xx_round(state: str, word: str, name: str) -> str:
+    return _times(_turn(_plus(state, _times(word, _P2)), 31, name), _P1)
+
+
+def _xx_word(text: str, at: str, size: int) -> str:
+    """A little-endian number of ``size`` bytes from the 0-based place ``at``."""
+    return _plus(*[f"ascii(substr({text}, CAST({at} + {j + 1} AS BIGINT), 1))::UHUGEINT * {256**j}::UHUGEINT" for j in range(size)])
+
+
+def _xxhash(text: str, seed: str) -> str:
+    n = f"length({text})"
+    lanes = []
+    for lane, start in enumerate((_plus(seed, str(_P1), str(_P2)), _plus(seed, str(_P2)), _plus(seed), _plus(seed, str(_WRAP - _P1)))):
+        words = f"list_transform(range({n} // 32), lambda i: {_xx_word(text, f'(i * 32 + {8 * lane})', 8)})"
+        lanes.append(f"list_reduce({words}, lambda s, k: {_xx_round('s', 'k', 'q')}, {start})")
+    many = _let(
+        f"[{', '.join(lanes)}]", "v",
+        f"list_reduce(v, lambda s, x: {_plus(_times(f'xor(s, {_xx_round("0", "x", "q")})', _P1), str(_P4))},"
+        f" {_plus(*[_turn(f'v[{k + 1}]', b, 'q') for k, b in enumerate((1, 7, 12, 18))])})",
+    )
+    few = _plus(seed, str(_P5))
+    start = _plus(f"CASE WHEN {n} >= 32 THEN {many} ELSE {few} END", n)
+    eights = f"list_transform(range({n} // 32 * 32, {n} - 7, 8), lambda i: {_xx_word(text, 'i', 8)})"
+    after8 = f"list_reduce({eights}, lambda s, k: {_plus(_times(_turn(f'xor(s, {_xx_round("0", "k", "q")})', 27, 'r'), _P1), str(_P4))}, {start})"
+    four = f"list_transform(range({n} // 8 * 8, {n} - 3, 4), lambda i: {_xx_word(text, 'i', 4)})"
+    after4 = f"list_reduce({four}, lambda s, k: {_plus(_times(_turn(f'xor(s, {_times("k", _P1)})', 23, 'r'), _P2), str(_P3))}, {after8})"
+    ones = f"list_transform(range({n} // 4 * 4, {n}), lambda i: {_xx_word(text, 'i', 1)})"
+    after1 = f"list_reduce({ones}, lambda s, k: {_times(_turn(f'xor(s, {_times("k", _P5)})', 11, 'r'), _P1)}, {after4})"
+    mixed = _let(after1, "a", _times(f"xor(a, a // {2**33}::UHUGEINT)", _P2))
+    mixed = _let(mixed, "b", _times(f"xor(b, b // {2**29}::UHUGEINT)", _P3))
+    return f"CASE WHEN {text} IS NULL THEN {seed} ELSE {_let(mixed, 'c', f'xor(c, c // {2**32}::UHUGEINT)')} END"
+
+
+def _xxhash_ctes(source: str, keys: dict[str, tuple[str, ...]]) -> dict[str, str]:
+    start = ", ".join(f"42::UHUGEINT AS {name}_h" for name in keys)
+    ctes, current = {"xx_start": f"SELECT *, {start} FROM {source}"}, "xx_start"
+    for position in range(max(len(columns) for columns in keys.values())):
+        active = {n: c[position] for n, c in keys.items() if position < len(c)}
+        steps = ", ".join(f"{_xxhash(c, f'{n}_h')} AS {n}_h" for n, c in active.items())
+        gone = ", ".join(f"{n}_h" for n in active)
+        ctes[f"xx_col{position}"] = f"SELECT * EXCLUDE ({gone}), {steps} FROM {current}"
+        current = f"xx_col{position}"
+    signed = ", ".join(
+        f"CAST(CASE WHEN {n}_h >= {2**63}::UHUGEINT THEN {n}_h::HUGEINT - {_WRAP}::HUGEINT"
+        f" ELSE {n}_h::HUGEINT END AS BIGINT) AS {n}"
+        for n in keys
+    )
+    return ctes | {"xxhashed": f"SELECT {_DELIVERY}, {signed} FROM {current}"}
+
+
+_XXHASH = _SILVER | _xxhash_ctes(
+    "silver", {"timing_sk": TIMING_KEY, "spatial_sk": SPATIAL_KEY, "sun_moon_sk": SUN_MOON_KEY}
+)
 
 _CONTEXT = f"""SELECT f.trigger_num, f.kafka_timestamp, s.right_ascension, s.declination,
   s.galactic_coords, m.sun_position, m.moon_position, m.moon_illumination,
@@ -209,30 +286,42 @@ _TORN = _FACT | {k: v for k, v in _DAMAGED_DIMS.items() if k != "raw"}
 
 
 def _clock_time(date: str, clock: str) -> str:
+    day = rf"regexp_extract({date}, '\d{{4}}-\d{{2}}-\d{{2}}')"
+    named = " || ".join(
+        rf"regexp_extract({date}, '(\d{{1,2}}) ([A-Z][a-z]{{2}}) (\d{{2}})', {k})" for k in (1, 2, 3)
+    )
     return (
-        rf"TRY_CAST(regexp_extract({date}, '\d{{4}}-\d{{2}}-\d{{2}}') || ' ' ||"
-        rf" regexp_extract({clock}, '\d{{2}}:\d{{2}}:\d{{2}}') AS TIMESTAMP)"
+        f"coalesce(TRY_CAST({day} || ' ' || {_CLOCK.format(clock)} AS TIMESTAMP),"
+        f" try_strptime({named} || ' ' || {_CLOCK.format(clock)}, '%d%b%y %H:%M:%S'))"
     )
 
 
+_CLOCK = r"regexp_extract({}, '\d{{2}}:\d{{2}}:\d{{2}}')"
+
+
 def _deg(field: str) -> str:
-    return rf"TRY_CAST(regexp_extract({field}, '^\s*([+-]?\d+(?:\.\d+)?)', 1) AS DOUBLE)"
+    return rf"TRY_CAST(regexp_extract({field}, '^\s*({_DECIMAL})d?,?(?:\s|$)', 1) AS DOUBLE)"
 
 
 def _second(field: str) -> str:
-    return rf"TRY_CAST(regexp_extract({field}, ',\s*([+-]?\d+(?:\.\d+)?)', 1) AS DOUBLE)"
+    """The number after a comma, or after a form in braces."""
+    return rf"TRY_CAST(regexp_extract({field}, '[,}}]\s*({_DECIMAL})d?(?:\s|$)', 1) AS DOUBLE)"
 
 
-_TYPED = _SILVER | {
+_TYPED = {
     "typed": f"""SELECT {_DELIVERY},
   {_clock_time('NOTICE_DATE', 'NOTICE_DATE')} AS notice_time,
   {_clock_time('GRB_DATE', 'GRB_TIME')} AS burst_time,
   {_deg('GRB_RA')} AS ra_deg, {_deg('GRB_DEC')} AS dec_deg,
   {_deg('GAL_COORDS')} AS gal_lon_deg, {_second('GAL_COORDS')} AS gal_lat_deg,
   {_deg('ECL_COORDS')} AS ecl_lon_deg, {_second('ECL_COORDS')} AS ecl_lat_deg,
-  {_deg('SUN_POSTN')} AS sun_position_deg, {_deg('MOON_POSTN')} AS moon_position_deg,
+  {_deg('SUN_POSTN')} AS sun_position_deg, {_second('SUN_POSTN')} AS sun_position_dec_deg,
+  {_deg('MOON_POSTN')} AS moon_position_deg, {_second('MOON_POSTN')} AS moon_position_dec_deg,
   {_deg('MOON_ILLUM')} AS moon_illumination_pct FROM silver""",
 }
+_SHAPED = _RAW | {
+    "shaped": SHAPED.format(notices="raw"), "texts": _texts("shaped"), "silver": _parsed("texts")
+}
 
 _NOTICE_CHECKS = {
     "trigger_present": "TRIGGER_NUM IS NOT NULL",
@@ -269,34 +358,59 @@ def _null_pct(source: str) -> str:
 
 _KNOWN = ", ".join(f"'{n}'" for n in NOTICE_FIELDS)
 
+_LINES = (
+    f"substr(CASE WHEN run = '' THEN w ELSE replace(w, run, chr(10) || 'COMMENTS: ' || {_COMMENTS}) END, 2)"
+)
+
+# A line per label; line 1 is what stands above the first one. Kept in a column are the first
+# line of each known label and the comment lines that follow the first one.
+_RESCUED = {
+    "lines": f"SELECT {_DELIVERY}, generate_subscripts(string_split(w, chr(10)), 1) AS i,"
+    " unnest(string_split(w, chr(10))) AS line FROM irregular_texts",
+    "labelled": f"SELECT {_DELIVERY}, i, line, CASE WHEN i > 1 OR contains(line, ':')"
+    " THEN trim(split_part(line, ':', 1)) ELSE '' END AS label,"
+    " trim(CASE WHEN i > 1 OR contains(line, ':') THEN substr(line, strpos(line, ':') + 1)"
+    " ELSE line END) AS value FROM lines",
+    "placed": "SELECT *, row_number() OVER (PARTITION BY kafka_topic, kafka_partition, kafka_offset,"
+    " label, i > 1 ORDER BY i) AS nth, i - min(i) OVER (PARTITION BY kafka_topic, kafka_partition,"
+    " kafka_offset, label, i > 1) + 1 AS since FROM labelled",
+    "rescued": f"SELECT {_DELIVERY}, i, label, value FROM placed WHERE (label <> '' OR value <> '')"
+    f" AND NOT (i > 1 AND label IN ({_KNOWN})"
+    " AND CASE WHEN label = 'COMMENTS' THEN nth = since ELSE nth = 1 END)",
+}
+
+_QUARANTINE = _with(
+    _IRREGULAR
+    | _RESCUED
+    | {
+        "entries": f"SELECT {_DELIVERY}, string_agg(label || '=' || value, chr(10) ORDER BY i)"
+        f" AS rescued_text FROM rescued GROUP BY {_DELIVERY}",
+        "texts": f"SELECT {_DELIVERY}, kafka_value, {_LINES} AS single_line_text FROM irregular_texts",
+    },
+    "SELECT s.*, t.kafka_value, t.single_line_text, CASE WHEN t.kafka_value IS NOT NULL"
+    " THEN coalesce(e.rescued_text, '') END AS rescued_text FROM irregular_silver s"
+    f" JOIN texts t USING ({_DELIVERY}) LEFT JOIN entries e USING ({_DELIVERY})"
+    " WHERE parse_issue IS NOT NULL",
+)
+
 ORACLE: dict[str, str] = {
     "bronze_projection": _with(_RAW, "SELECT * FROM raw"),
     "silver_notices": _with(_SILVER, "SELECT * FROM silver"),
-    "silver_bounded_merge": _with(
-        _RAW | {"texts": _texts("raw"), "merged": f"SELECT *, {_BOUNDED_TEXT} AS m FROM texts"},
-        f"SELECT {_META}, {', '.join(_field(n, 'm') for n in NOTICE_FIELDS)} FROM merged",
-    ),
     "silver_strip_label": _with(
         _RAW
         | {
             "texts": _texts("raw"),
             "flat": r"SELECT *, regexp_replace(w, '\nCOMMENTS:\s*', ' ', 'g') AS m FROM texts",
         },
-        f"SELECT {_DELIVERY}, {_field('LC_URL', 'm')}, {_field('LOC_URL', 'm')},"
-        f" CAST(NULL AS VARCHAR) AS COMMENTS FROM flat",
+        f"SELECT {_META}, {', '.join(_field(n, 'm') for n in NOTICE_FIELDS if n != 'COMMENTS')},"
+        " CAST(NULL AS VARCHAR) AS COMMENTS FROM flat",
     ),
     "silver_irregular": _with(_IRREGULAR, "SELECT * FROM irregular_silver"),
     "normalised_text": _with(
-        _RAW | {"texts": _texts("raw")},
-        f"SELECT {_DELIVERY}, substr(replace(w, run, chr(10) || 'COMMENTS: ' || {_COMMENTS}), 2)"
-        f" AS single_line_text FROM texts",
+        _RAW | {"texts": _texts("raw")}, f"SELECT {_DELIVERY}, {_LINES} AS single_line_text FROM texts"
     ),
     "rescued_fields": _with(
-        _IRREGULAR,
-        f"SELECT {_DELIVERY}, label AS field,"
-        r" trim(regexp_extract(w, '\n' || label || ':([^\n]*)', 1)) AS value"
-        f" FROM (SELECT *, unnest(list_distinct(labels)) AS label FROM irregular_texts)"
-        f" WHERE label NOT IN ({_KNOWN})",
+        _IRREGULAR | _RESCUED, f"SELECT {_DELIVERY}, label AS field, value FROM rescued"
     ),
     "fact_notices": _with(_FACT, "SELECT * FROM fact"),
     "fact_own_sun_moon": _with(
@@ -308,6 +422,7 @@ ORACLE: dict[str, str] = {
     "dim_spatial": _with(_GOLD, "SELECT * FROM spatial"),
     "dim_sun_moon": _with(_GOLD, "SELECT * FROM sun_moon"),
     "surrogate_hash_int32": _with(_MURMUR, "SELECT * FROM hashed"),
+    "surrogate_xxhash64": _with(_XXHASH, "SELECT * FROM xxhashed"),
     "surrogate_wide": _with(
         _SILVER, f"SELECT {_DELIVERY}, {_TIMING_SK}, {_SPATIAL_SK}, {_SUN_MOON_SK} FROM silver"
     ),
@@ -432,13 +547,13 @@ ORACLE: dict[str, str] = {
         rf" OR NOT regexp_matches(w, '\n(?:{'|'.join(NOTICE_FIELDS)}):')",
     ),
     "key_collisions": _with(
-        _SILVER
+        _MURMUR
         | {
-            "narrow": f"SELECT substr({_wide_key(TIMING_KEY)}, 1, 4) AS narrow_sk,"
-            " GRB_DATE, GRB_TIME, count(*) AS n FROM silver GROUP BY ALL"
+            "keyed": "SELECT h.timing_sk, s.GRB_DATE, s.GRB_TIME, count(*) AS n FROM silver s"
+            f" JOIN hashed h USING ({_DELIVERY}) GROUP BY ALL"
         },
-        "SELECT narrow_sk, count(*) AS variants, CAST(sum(n) AS BIGINT) AS row_count"
-        " FROM narrow GROUP BY narrow_sk HAVING count(*) > 1",
+        "SELECT timing_sk, count(*) AS variants, CAST(sum(n) AS BIGINT) AS row_count"
+        " FROM keyed GROUP BY timing_sk HAVING count(*) > 1",
     ),
     "key_reuse": _with(
         _SILVER,
@@ -467,13 +582,21 @@ ORACLE: dict[str, str] = {
         "SELECT * EXCLUDE (parse_issue) FROM irregular_silver WHERE "
         + " AND ".join(f"({test})" for test in _NOTICE_CHECKS.values()),
     ),
-    "quarantine": _with(
+    "quarantine": _QUARANTINE,
+    "stream_quarantine": _QUARANTINE,
+    "accepted_notices": _with(
         _IRREGULAR,
-        f"SELECT {_DELIVERY}, TITLE, COMMENTS, parse_issue FROM irregular_silver"
-        " WHERE parse_issue IS NOT NULL",
+        "SELECT * EXCLUDE (parse_issue) FROM irregular_silver WHERE parse_issue IS NULL",
+    ),
+    "stalled_offsets": _with(
+        _RAW,
+        "SELECT kafka_topic, kafka_partition, max(kafka_offset) // 3 - 5 AS latest_offset,"
+        " max(kafka_offset) + 1 AS end_offset,"
+        " max(kafka_offset) + 1 - max(kafka_offset) // 3 AS added FROM raw"
+        " WHERE kafka_partition % 2 = 0 GROUP BY kafka_topic, kafka_partition",
     ),
     "typed_notices": _with(
-        _TYPED,
+        _SHAPED | _TYPED,
         "SELECT *, CAST(year(burst_time) AS INTEGER) AS burst_year,"
         " CAST(month(burst_time) AS INTEGER) AS burst_month,"
         " CAST(day(burst_time) AS INTEGER) AS burst_day,"
@@ -482,7 +605,8 @@ ORACLE: dict[str, str] = {
         " FROM typed",
     ),
     "sky_separations": _with(
-        _TYPED
+        _SILVER
+        | _TYPED
         | {
             "angles": f"SELECT *, radians(ra_deg) AS a1, radians(dec_deg) AS d1,"
             f" radians({SKY_POINT[0]}::DOUBLE) AS a2, radians({SKY_POINT[1]}::DOUBLE) AS d2"
@@ -494,6 +618,11 @@ ORACLE: dict[str, str] = {
     ),
     "stream_silver": _with(_SILVER, "SELECT * FROM silver"),
     "stream_dims": _with(_GOLD, "SELECT sun_moon_sk, sun_position, moon_position FROM sun_moon"),
+    "stream_dim_timing": _with(_GOLD, "SELECT timing_sk, grb_date_raw, grb_time_raw FROM timing"),
+    "stream_dim_spatial": _with(
+        _GOLD, "SELECT spatial_sk, right_ascension, declination, galactic_coords FROM spatial"
+    ),
+    "stream_hops": _with(_FACT, "SELECT * FROM fact"),
     "stream_fanout": _with(_GOLD, _CONTEXT),
     "stream_fanout_timing": _with(_GOLD, "SELECT * FROM timing"),
 }

@@ -19,7 +19,6 @@ from notice_lake.operators.layers import (
     dimension,
     fact,
     silver,
-    silver_bounded,
     stream_dimension,
 )
 from notice_lake.operators.typed import sky_separation, typed_notice
@@ -33,9 +32,10 @@ from notice_lake.schemas import (
     TIMING_KEY,
 )
 from notice_lake.sources import synthetic
-from notice_lake.sources.scratch import new_folder
+from notice_lake.sources.scratch import new_folder, stored
+from notice_lake.sources.tables import read_files
 from notice_lake.streaming.fan_out import read_output, start_fan_out
-from notice_lake.streaming.hops import append_to_files
+from notice_lake.streaming.hops import append_to_files, start_dimension
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -58,14 +58,15 @@ _SUN_MOON = (*SUN_MOON_KEY, "MOON_ILLUM")
 def _stored(messages: DataFrame, *fields: str) -> DataFrame:
     """Silver columns written to the shared folder, for queries that read them repeatedly.
 
-    The parse runs once, each reader scans only its columns, and a lost executor
-    re-reads files. Every call writes a copy of its own, of the named fields only.
+    The parse runs once and each reader scans only its columns. Every call writes a
+    copy of its own, of the named fields only; ``scratch.release`` deletes them.
     """
-    spark = messages.sparkSession
-    parsed = silver(messages).select(*DELIVERY_COLUMNS, *dict.fromkeys(fields))
-    path = f"{new_folder(spark, 'notices')}/silver"
-    parsed.write.parquet(path)
-    return spark.read.schema(parsed.schema).parquet(path)
+    return stored(silver(messages).select(*DELIVERY_COLUMNS, *dict.fromkeys(fields)), "silver")
+
+
+def _stored_dimension(parsed: DataFrame, table: str) -> DataFrame:
+    """A reduced dimension as reports meet it: a table. A join on it splits a hot key of the fact."""
+    return stored(dimension(parsed, table, algo=WIDE), table)
 
 
 def _fact(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,13 +81,8 @@ def bronze_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bronze(synthetic.kafka_shaped(synthetic.notices(spark, sf_dir)))
 
 
-def silver_bounded_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver_bounded(synthetic.notices(spark, sf_dir))
-
-
 def silver_strip_label(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parsed = silver(synthetic.notices(spark, sf_dir), comments="strip_label")
-    return parsed.select(*DELIVERY_KEY, "LC_URL", "LOC_URL", "COMMENTS")
+    return silver(synthetic.notices(spark, sf_dir), comments="strip_label")
 
 
 def silver_irregular(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,9 +96,7 @@ def normalised_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def rescued_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed = silver(synthetic.irregular(spark, sf_dir), rescued=True)
-    return parsed.select(
-        *DELIVERY_KEY, F.explode("rescued_fields").alias("field", "value")
-    )
+    return parsed.select(*DELIVERY_KEY, F.inline("rescued_fields").alias("field", "value"))
 
 
 def surrogate_hash_int32(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -163,7 +157,7 @@ def fact_with_timing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "trigger_num", "record_num", *ARRIVAL_ORDER, "timing_sk", "grb_error_deg", "loc_algorithm",
     ]
     return reports.fact_with_timing(
-        fact(parsed, algo=WIDE, columns=columns), dimension(parsed, "dim_event_timing", algo=WIDE)
+        fact(parsed, algo=WIDE, columns=columns), _stored_dimension(parsed, "dim_event_timing")
     )
 
 
@@ -172,7 +166,7 @@ def recent_bursts(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed = _stored(messages, *_SPATIAL, "TRIGGER_NUM", "GRB_ERROR", "LOC_URL")
     columns = ["trigger_num", *ARRIVAL_ORDER, "spatial_sk", "grb_error_deg", "location_url"]
     return reports.recent_bursts(
-        fact(parsed, algo=WIDE, columns=columns), dimension(parsed, "dim_spatial_coords", algo=WIDE)
+        fact(parsed, algo=WIDE, columns=columns), _stored_dimension(parsed, "dim_spatial_coords")
     )
 
 
@@ -182,8 +176,8 @@ def burst_sun_moon_context(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ["trigger_num", *ARRIVAL_ORDER, "spatial_sk", "sun_dist_deg", "moon_dist_deg"]
     return reports.burst_sun_moon_context(
         fact(parsed, algo=WIDE, columns=columns),
-        dimension(parsed, "dim_spatial_coords", algo=WIDE),
-        dimension(parsed, "dim_sun_moon_coords", algo=WIDE),
+        _stored_dimension(parsed, "dim_spatial_coords"),
+        _stored_dimension(parsed, "dim_sun_moon_coords"),
     )
 
 
@@ -204,7 +198,7 @@ def _unreduced_dimensions(spark: SparkSession, sf_dir: str) -> dict[str, DataFra
 def _torn_gold(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """A fact of all messages beside dimensions built from the damaged feed."""
     damaged = _stored(synthetic.damaged(spark, sf_dir), *_TIMING, *_SPATIAL, *_SUN_MOON)
-    tables = {name: dimension(damaged, name, algo=WIDE) for name in DIMENSIONS}
+    tables = {name: _stored_dimension(damaged, name) for name in DIMENSIONS}
     whole = _stored(synthetic.notices(spark, sf_dir), *TIMING_KEY, *SPATIAL_KEY)
     keys = fact(whole, algo=WIDE, columns=["timing_sk", "spatial_sk"])
     return tables | {"fact_notices": keys}
@@ -248,10 +242,9 @@ def malformed_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def key_collisions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Collisions of the timing key cut to 16 bits, so that there are some."""
-    parsed = _notices(spark, sf_dir)
-    narrow = F.substring(surrogate_key(*TIMING_KEY, algo=WIDE), 1, 4)
-    return checks.key_reuse(parsed.withColumn("narrow_sk", narrow), "narrow_sk", TIMING_KEY)
+    """Timing keys of the contract that stand for more than one date and time."""
+    parsed = _notices(spark, sf_dir).withColumn("timing_sk", surrogate_key(*TIMING_KEY))
+    return checks.key_reuse(parsed, "timing_sk", TIMING_KEY)
 
 
 def key_reuse(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -275,6 +268,25 @@ def consumer_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.consumer_lag(synthetic.damaged(spark, sf_dir), ends)
 
 
+def stalled_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Snapshots when a third and when all of the feed was there.
+
+    Consumers are 5 offsets behind; those of even partitions stop after the first snapshot.
+    """
+    messages = synthetic.notices(spark, sf_dir)
+    last = messages.groupBy("kafka_topic", "kafka_partition").agg(F.max("kafka_offset").alias("last"))
+    first_end = F.floor(F.col("last") / 3)
+    part = ["kafka_topic", "kafka_partition"]
+    earlier = last.select(*part, (first_end - 5).alias("latest_offset"), first_end.alias("end_offset"))
+    stopped = F.col("kafka_partition") % 2 == 0
+    later = last.select(
+        *part,
+        F.when(stopped, first_end - 5).otherwise(F.col("last") - 4).alias("latest_offset"),
+        (F.col("last") + 1).alias("end_offset"),
+    )
+    return checks.stalled_offsets(earlier, later)
+
+
 def expectation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.expectation_report(
         silver(synthetic.irregular(spark, sf_dir)), quality.NOTICE_EXPECTATIONS
@@ -292,13 +304,24 @@ def expected_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _with_entry_lines(notices: DataFrame) -> DataFrame:
+    """Rescued entries as one text, a line per entry."""
+    lines = F.transform("rescued_fields", lambda e: F.concat(e.label, F.lit("="), e.value))
+    return notices.withColumn("rescued_text", F.array_join(lines, "\n")).drop("rescued_fields")
+
+
 def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parsed = silver(synthetic.irregular(spark, sf_dir), issues=True)
-    return quality.quarantined(parsed).select(*DELIVERY_KEY, "TITLE", "COMMENTS", "parse_issue")
+    """Messages that did not parse cleanly, with all that is known about them."""
+    parsed = silver(synthetic.irregular(spark, sf_dir), evidence=True)
+    return _with_entry_lines(quality.quarantined(parsed))
+
+
+def accepted_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.accepted(silver(synthetic.irregular(spark, sf_dir), evidence=True))
 
 
 def typed_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return typed_notice(_notices(spark, sf_dir))
+    return typed_notice(silver(synthetic.shaped(spark, sf_dir)))
 
 
 def sky_separations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -311,7 +334,7 @@ def fact_own_sun_moon(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed = _stored(synthetic.notices(spark, sf_dir), *_SPATIAL)
     columns = [*DELIVERY_KEY, "spatial_sk", "sun_moon_sk"]
     own = fact(parsed, algo=WIDE, with_sun_moon=True, columns=columns)
-    first = dimension(parsed, "dim_spatial_coords", algo=WIDE)
+    first = _stored_dimension(parsed, "dim_spatial_coords")
     return own.join(
         first.select("spatial_sk", F.col("sun_moon_sk").alias("first_sun_moon_sk")), "spatial_sk"
     ).select(*DELIVERY_KEY, "sun_moon_sk", "first_sun_moon_sk")
@@ -330,17 +353,35 @@ def stream_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(out)
 
 
-def stream_dims(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sun/Moon keys from state-store dedup; other attributes depend on arrival order."""
-    folder = new_folder(spark, "stream-dims")
-    out = f"{folder}/dim"
-    rows = stream_dimension(
-        silver(_message_stream(spark, sf_dir)), "dim_sun_moon_coords", algo=WIDE
-    )
-    append_to_files(
-        rows.select("sun_moon_sk", "sun_position", "moon_position"), out, f"{folder}/checkpoint"
-    ).awaitTermination()
-    return spark.read.parquet(out)
+def _stream_dimension(table: str, *columns: str) -> Query:
+    """Keys and key attributes from state-store dedup; other attributes depend on arrival order."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        folder = new_folder(spark, "stream-dims")
+        parsed = silver(_message_stream(spark, sf_dir))
+        start_dimension(
+            parsed, table, f"{folder}/dim", f"{folder}/checkpoint", algo=WIDE, columns=columns
+        ).awaitTermination()
+        return spark.read.parquet(f"{folder}/dim")
+
+    return query
+
+
+def stream_hops(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze, silver and fact, one streaming query each, stopped and started again."""
+    folder = new_folder(spark, "stream-hops")
+    messages = synthetic.notices(spark, sf_dir)
+    layers = [f"{folder}/{name}" for name in ("bronze", "silver", "fact")]
+
+    def hop(df: DataFrame, target: str) -> None:
+        append_to_files(df, target, f"{target}-checkpoint").awaitTermination()
+
+    for _ in range(2):
+        hop(_message_stream(spark, sf_dir), layers[0])
+        hop(silver(read_files(spark, layers[0], schema=messages.schema, streaming=True)), layers[1])
+        parsed = read_files(spark, layers[1], schema=silver(messages).schema, streaming=True)
+        hop(fact(parsed, algo=WIDE), layers[2])
+    return spark.read.parquet(layers[2])
 
 
 def _streamed_gold(spark: SparkSession, sf_dir: str) -> str:
@@ -355,21 +396,30 @@ def stream_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fact joined with all three dimensions, everything written by one stream."""
     folder = _streamed_gold(spark, sf_dir)
     return reports.burst_sun_moon_context(
-        read_output(spark, folder, "fact_notices"),
-        read_output(spark, folder, "dim_spatial_coords"),
-        read_output(spark, folder, "dim_sun_moon_coords"),
+        read_output(spark, folder, "fact_notices", algo=WIDE),
+        read_output(spark, folder, "dim_spatial_coords", algo=WIDE),
+        read_output(spark, folder, "dim_sun_moon_coords", algo=WIDE),
     )
 
 
 def stream_fanout_timing(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = _streamed_gold(spark, sf_dir)
-    return read_output(spark, folder, "dim_event_timing")
+    return read_output(spark, folder, "dim_event_timing", algo=WIDE)
+
+
+def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quarantine table of a fan-out over the irregular feed."""
+    folder = new_folder(spark, "stream-quarantine")
+    messages = synthetic.irregular_from(synthetic.events_stream(spark, sf_dir))
+    start_fan_out(
+        messages, folder, f"{folder}/checkpoint", algo=WIDE, quarantine=True
+    ).awaitTermination()
+    return _with_entry_lines(read_output(spark, folder, "quarantine"))
 
 
 QUERIES: dict[str, Query] = {
     "bronze_projection": bronze_projection,
     "silver_notices": _notices,
-    "silver_bounded_merge": silver_bounded_merge,
     "silver_strip_label": silver_strip_label,
     "silver_irregular": silver_irregular,
     "normalised_text": normalised_text,
@@ -404,14 +454,26 @@ QUERIES: dict[str, Query] = {
     "key_collisions": key_collisions,
     "key_reuse": key_reuse,
     "consumer_lag": consumer_lag,
+    "stalled_offsets": stalled_offsets,
     "expectation_report": expectation_report,
     "fact_expectation_report": fact_expectation_report,
     "expected_rows": expected_rows,
     "quarantine": quarantine,
+    "accepted_notices": accepted_notices,
     "typed_notices": typed_notices,
     "sky_separations": sky_separations,
     "stream_silver": stream_silver,
-    "stream_dims": stream_dims,
+    "stream_dims": _stream_dimension(
+        "dim_sun_moon_coords", "sun_moon_sk", "sun_position", "moon_position"
+    ),
+    "stream_dim_timing": _stream_dimension(
+        "dim_event_timing", "timing_sk", "grb_date_raw", "grb_time_raw"
+    ),
+    "stream_dim_spatial": _stream_dimension(
+        "dim_spatial_coords", "spatial_sk", "right_ascension", "declination", "galactic_coords"
+    ),
+    "stream_hops": stream_hops,
+    "stream_quarantine": stream_quarantine,
     "stream_fanout": stream_fanout,
     "stream_fanout_timing": stream_fanout_timing,
 }

@@ -51,6 +51,7 @@ def _struct(columns: str, required: tuple[str, ...] = ()) -> T.StructType:
     )
 
 
+# Column names and types of the tables.
 KAFKA_SOURCE = _struct(
     "key BINARY, value BINARY, topic STRING, partition INT, offset BIGINT,"
     " timestamp TIMESTAMP, timestampType INT"
@@ -94,6 +95,24 @@ FACT_NOTICES = _struct(
 )
 
 
+# Type of a surrogate key by algorithm; the contracts above are for the first.
+KEY_TYPES = {"hash": T.IntegerType(), "xxhash64": T.LongType(), "sha256": T.StringType()}
+
+
+def contract(schema: T.StructType, *, algo: str = "hash", clock: T.DataType | None = None) -> T.StructType:
+    """A table's columns with the key type of ``algo`` and, if given, the timestamp type of the feed.
+
+    Kafka delivers timestamps with a zone; a feed kept in files may hold them without.
+    """
+
+    def kind(f: T.StructField) -> T.DataType:
+        if f.name.endswith("_sk"):
+            return KEY_TYPES[algo]
+        return clock if clock is not None and f.dataType == T.TimestampType() else f.dataType
+
+    return T.StructType([T.StructField(f.name, kind(f), f.nullable) for f in schema])
+
+
 @dataclass(frozen=True)
 class TableContract:
     """A gold table: columns, primary key and (column, parent, parent column) references."""

@@ -1,12 +1,18 @@
-"""Folder for checkpoints and streamed outputs, shared by all executors."""
+"""Folder for checkpoints and intermediate tables, shared by all executors."""
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
 from functools import cache
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+from notice_lake.sources import files
+
+_made: list[str] = []
 
 
 def _configured(spark: SparkSession) -> str | None:
@@ -21,17 +27,47 @@ def _local_folder(application_id: str) -> str:
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only a local session may go without: there one machine runs everything, and a
-    temporary folder, one per application, serves as well.
+    Only a session in one process (``local``, ``local[n]``) may go without: there a
+    temporary folder, one per application, serves as well. Separate executors on
+    one machine do not count as local.
     """
     folder = _configured(spark)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     return _local_folder(spark.sparkContext.applicationId)
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
     """A folder name under the shared folder that was never used before."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to a new folder and read back.
+
+    A lost executor re-reads files. What comes back has no partitioning, so a join on
+    it gets exchanges of its own, which adaptive execution can split where a key is hot.
+    """
+    spark = df.sparkSession
+    path = new_folder(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Delete all folders made so far. Results that read them must have been used."""
+    while _made:
+        files.remove(spark, _made.pop())
+
+
+@atexit.register
+def _release_at_exit() -> None:
+    spark = SparkSession.getActiveSession()
+    if spark is not None:
+        with contextlib.suppress(Exception):  # the session may be gone already
+            release(spark)

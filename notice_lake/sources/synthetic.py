@@ -67,11 +67,12 @@ FROM {notices} WHERE (kafka_offset * 4 + kafka_partition) % 103 = 0
 """
 
 # Texts that break naive parsers: CRLF line ends, a label repeated out of sequence,
-# more comment lines than a bounded merge takes, no labels at all, blank comments,
-# unknown labels, a label-like line in mixed case, leading blank lines.
+# forty comment lines in a row, no labels at all, blank comments, unknown labels, a
+# label-like line in mixed case, leading blank lines, an indented first label, a second
+# run of comments.
 IRREGULAR = """
 SELECT kafka_key,
-  CASE (kafka_offset * 4 + kafka_partition) % 11
+  CASE (kafka_offset * 4 + kafka_partition) % 13
     WHEN 0 THEN replace(kafka_value, chr(10), chr(13) || chr(10))
     WHEN 1 THEN kafka_value || chr(10) || 'TITLE: second title'
     WHEN 2 THEN kafka_value || repeat(chr(10) || 'COMMENTS: more', 40)
@@ -81,41 +82,44 @@ SELECT kafka_key,
     WHEN 6 THEN kafka_value || chr(10) || 'Lowercase: goes on'
     WHEN 7 THEN kafka_value || chr(10) || 'COMMENTS:' || chr(10) || 'BACKGROUND: 5'
     WHEN 8 THEN chr(10) || chr(10) || kafka_value
+    WHEN 9 THEN ' ABOVE: all' || chr(10) || kafka_value
+    WHEN 10 THEN kafka_value || chr(10) || 'ODD_ONE: x' || chr(10) || 'COMMENTS: second run'
     ELSE kafka_value END AS kafka_value,
   kafka_topic, kafka_partition, kafka_offset, kafka_timestamp
 FROM {notices}
 """
 
+# Dates with a month name and Sun and Moon positions with both coordinates, in every second
+# message.
+SHAPED = """
+SELECT kafka_key,
+  CASE WHEN kafka_offset % 2 = 0 THEN kafka_value ELSE
+    replace(replace(kafka_value, '.00d', '.00d {{+06h 05m 05s}}  -23.42d {{-23d 25m 14s}}'),
+      'NOTICE_DATE:      ' || substr(CAST(kafka_timestamp AS STRING), 1, 19),
+      'NOTICE_DATE:      Sun ' || substr(CAST(kafka_timestamp AS STRING), 9, 2) || ' '
+        || substr('JanFebMarAprMayJunJulAugSepOctNovDec',
+                  CAST(substr(CAST(kafka_timestamp AS STRING), 6, 2) AS INT) * 3 - 2, 3) || ' '
+        || substr(CAST(kafka_timestamp AS STRING), 3, 2) || ' '
+        || substr(CAST(kafka_timestamp AS STRING), 12, 8)) END AS kafka_value,
+  kafka_topic, kafka_partition, kafka_offset, kafka_timestamp
+FROM {notices}
+"""
 
-_EVENT_COLUMNS = ("event_id", "ts", "user_id", "event_type")
-
-
-def _few_splits(table: DataFrame) -> bool:
-    cores = table.sparkSession.sparkContext.defaultParallelism
-    return table.rdd.getNumPartitions() < cores
-
-
-def _spread(table: DataFrame, few: bool) -> DataFrame:
-    """Use all cores on input stored in too few splits.
 
-    Parsing is CPU-bound, and a small file is one split. A table with at least
-    as many splits as the cluster has cores is left as it is: no shuffle.
-    """
-    if not few:
-        return table
-    return table.repartition(table.sparkSession.sparkContext.defaultParallelism, "event_id")
+_EVENT_COLUMNS = ("event_id", "ts", "user_id", "event_type")
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = spark.read.parquet(f"{sf_dir}/events.parquet").select(*_EVENT_COLUMNS)
-    return _spread(table, _few_splits(table))
+    return spark.read.parquet(f"{sf_dir}/events.parquet").select(*_EVENT_COLUMNS)
 
 
 def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """File stream over ``events``; the glob lets it be one file or a folder."""
-    stored = spark.read.parquet(f"{sf_dir}/events.parquet").select(*_EVENT_COLUMNS)
-    rows = spark.readStream.schema(stored.schema).parquet(f"{sf_dir}/events*.parquet")
-    return _spread(rows, _few_splits(stored))
+    """File stream over ``events``, one file or a folder.
+
+    A file stream takes a folder or a pattern; this pattern fits the one path that ``events`` reads.
+    """
+    schema = events(spark, sf_dir).schema
+    return spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]")
 
 
 def notices_from(table: DataFrame) -> DataFrame:
@@ -131,8 +135,16 @@ def damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(DAMAGED, notices=notices(spark, sf_dir))
 
 
+def irregular_from(table: DataFrame) -> DataFrame:
+    return table.sparkSession.sql(IRREGULAR, notices=notices_from(table))
+
+
 def irregular(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(IRREGULAR, notices=notices(spark, sf_dir))
+    return irregular_from(events(spark, sf_dir))
+
+
+def shaped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(SHAPED, notices=notices(spark, sf_dir))
 
 
 def kafka_shaped(table: DataFrame) -> DataFrame:

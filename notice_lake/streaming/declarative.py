@@ -1,7 +1,7 @@
 """The layers as a declarative graph for ``spark-pipelines``.
 
 Needs a pipeline run around it: the decorators raise elsewhere, so nothing in
-this package imports the module, and its tests stop at building the options.
+this package imports the module. Its test puts plain decorators in their place.
 Define in the pipeline's source file::
 
     from notice_lake.streaming.declarative import define

@@ -1,22 +1,23 @@
-"""Bronze stream -> silver, fact and three dimensions, parsed once per message.
+"""Bronze stream -> bronze, silver, fact and three dimensions, parsed once per message.
 
-Each micro-batch writes its silver rows first and derives the other tables from
-that written copy: four column-pruned scans instead of four parses, and a lost
-executor re-reads files rather than repeating the parse.
+Each micro-batch stores its messages first, so a replay after a change of the parser
+needs no source, then silver, and derives the other tables from that written copy:
+column-pruned scans instead of more parses. A lost executor re-reads files.
 
-Every output of batch N lives in its own ``batch_id=N`` folder and is written
-with overwrite, so a retried batch replaces what its first attempt left behind.
+Every output of batch N lives in its own ``batch_id=N`` folder and is written with
+overwrite, so a retried batch replaces what its first attempt left behind. A marker is
+written last; readers take marked batches only.
 
-Dimensions: within a batch the first notice in arrival order wins; across batches
-the earlier batch wins. Rows are combined per key before any shuffle, so a key
-that fills a third of the batch is no hot spot, unlike a keyed state store.
+Dimensions: within a batch the first notice in arrival order wins; across batches the
+earlier batch wins. Rows are combined per key before any shuffle, so a key that fills a
+third of the batch is no hot spot, unlike a keyed state store. What a batch reads of earlier
+ones are the key columns of a number of folders that grows with its logarithm.
 """
 
 from __future__ import annotations
 
 from functools import partial
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,12 +25,13 @@ from pyspark.sql.streaming import StreamingQuery
 
 from notice_lake.operators.layers import DIMENSIONS, dimension, fact, silver
 from notice_lake.operators.quality import accepted, quarantined
+from notice_lake.schemas import BRONZE, GOLD, SILVER, contract
+from notice_lake.sources import files
+from notice_lake.sources.scratch import new_folder
+from notice_lake.sources.tables import conform
+from notice_lake.streaming import segments
 from notice_lake.streaming.hops import AVAILABLE_NOW, Trigger, for_each_batch
 
-# New keys of one batch are broadcast up to this many, counted first: at most
-# 64 bytes each (a hex digest), i.e. 64 MB. Beyond it Spark joins by shuffle.
-BROADCAST_KEYS = 1_000_000
-
 _BATCH = "batch_id"
 
 
@@ -37,9 +39,27 @@ def batch_folder(folder: str, table: str, batch_id: int) -> str:
     return f"{folder}/{table}/{_BATCH}={batch_id}"
 
 
-def read_output(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    """All rows a fan-out has written to ``table`` so far."""
-    return spark.read.parquet(f"{folder}/{table}").drop(_BATCH)
+def last_batch(spark: SparkSession, folder: str) -> int:
+    """The newest batch whose outputs are all written; -1 if there is none."""
+    return max((int(n) for n in files.names(spark, f"{folder}/done") if n.isdigit()), default=-1)
+
+
+def _commit(spark: SparkSession, folder: str, batch_id: int) -> None:
+    """Mark a batch as done. Of the markers before only the last stays."""
+    before = [int(n) for n in files.names(spark, f"{folder}/done") if n.isdigit()]
+    files.mark(spark, f"{folder}/done/{batch_id}")
+    for old in before:
+        if old < batch_id - 1:
+            files.remove(spark, f"{folder}/done/{old}")
+
+
+def read_output(spark: SparkSession, folder: str, table: str, *, algo: str = "hash") -> DataFrame:
+    """All rows of ``table`` from batches that are done. ``algo`` is that of the keys."""
+    done = last_batch(spark, folder)
+    if table in DIMENSIONS:
+        schema = contract(GOLD[table].schema, algo=algo)
+        return segments.read(spark, f"{folder}/{table}", schema, DIMENSIONS[table][1], done + 1)
+    return spark.read.parquet(f"{folder}/{table}").filter(F.col(_BATCH) <= done).drop(_BATCH)
 
 
 def _store(df: DataFrame, folder: str, table: str, batch_id: int) -> DataFrame:
@@ -48,37 +68,25 @@ def _store(df: DataFrame, folder: str, table: str, batch_id: int) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _earlier_keys(spark: SparkSession, folder: str, table: str, key: T.StructField, batch_id: int) -> DataFrame:
-    stored = T.StructType([key, T.StructField(_BATCH, T.LongType())])
-    return (
-        spark.read.schema(stored)
-        .parquet(f"{folder}/{table}")
-        .filter(F.col(_BATCH) < batch_id)
-        .select(key.name)
-    )
-
-
 def add_new_members(
     notices: DataFrame, folder: str, table: str, batch_id: int, *, algo: str = "hash"
 ) -> None:
     """Append the dimension rows of one batch whose key no earlier batch wrote."""
-    spark = notices.sparkSession
-    key = DIMENSIONS[table][1]
-    candidates = dimension(notices, table, algo=algo).persist(StorageLevel.MEMORY_AND_DISK)
+    spark, key = notices.sparkSession, DIMENSIONS[table][1]
+    target, scratch = f"{folder}/{table}", new_folder(spark, "members")
+    rows = conform(dimension(notices, table, algo=algo), contract(GOLD[table].schema, algo=algo))
+    segments.with_bucket(rows, key).write.parquet(scratch)
     try:
-        fresh = candidates
-        if batch_id > 0:
-            keys = candidates.select(key)
-            if candidates.count() <= BROADCAST_KEYS:
-                keys = F.broadcast(keys)
-            # The stored dimension only gives its key column to a scan: with the
-            # broadcast it is not shuffled, however large it has grown.
-            earlier = _earlier_keys(spark, folder, table, candidates.schema[key], batch_id)
-            known = earlier.join(keys, key, "left_semi")
-            fresh = candidates.join(known, key, "left_anti")
-        _store(fresh, folder, table, batch_id)
+        candidates = spark.read.parquet(scratch)
+        # At most as many rows as there are buckets.
+        touched = [r[0] for r in candidates.select(segments.BUCKET).distinct().collect()]
+        only_key = T.StructType([rows.schema[key]])
+        known = segments.read(spark, target, only_key, key, batch_id, touched)
+        fresh = candidates.drop(segments.BUCKET).join(known, key, "left_anti")
+        segments.write(fresh.select(*rows.columns), target, batch_id)
     finally:
-        candidates.unpersist()
+        files.remove(spark, scratch)
+    segments.merge(spark, target, rows.schema, key, batch_id)
 
 
 def write_batch(
@@ -89,14 +97,23 @@ def write_batch(
     algo: str = "hash",
     quarantine: bool = False,
 ) -> None:
-    """All outputs of one micro-batch. Safe to repeat with the same batch id."""
-    parsed = _store(silver(messages, issues=quarantine), folder, "silver", batch_id)
+    """All outputs of one micro-batch, each by its contract. Safe to repeat with the same batch id."""
+    clock = messages.schema["kafka_timestamp"].dataType
+    raw = _store(conform(messages, contract(BRONZE, clock=clock)), folder, "bronze", batch_id)
+    parsed = silver(raw, evidence=quarantine)
+    if not quarantine:
+        parsed = conform(parsed, contract(SILVER, clock=clock))
+    parsed = _store(parsed, folder, "silver", batch_id)
     if quarantine:
         _store(quarantined(parsed), folder, "quarantine", batch_id)
         parsed = accepted(parsed)
-    _store(fact(parsed, algo=algo), folder, "fact_notices", batch_id)
+    facts = conform(
+        fact(parsed, algo=algo), contract(GOLD["fact_notices"].schema, algo=algo, clock=clock)
+    )
+    _store(facts, folder, "fact_notices", batch_id)
     for table in DIMENSIONS:
         add_new_members(parsed, folder, table, batch_id, algo=algo)
+    _commit(messages.sparkSession, folder, batch_id)
 
 
 def start_fan_out(
@@ -108,10 +125,11 @@ def start_fan_out(
     quarantine: bool = False,
     trigger: Trigger = AVAILABLE_NOW,
 ) -> StreamingQuery:
-    """Run ``write_batch`` over a bronze stream.
+    """Run ``write_batch`` over a bronze stream. A new checkpoint needs an empty folder.
 
     With ``quarantine`` silver keeps every row and says why it is suspect; suspect
-    rows are copied to ``quarantine`` and stay out of fact and dimensions.
+    rows are copied to ``quarantine``, with their text as delivered, normalised text and
+    rescued entries, and stay out of fact and dimensions.
     """
     write = partial(write_batch, folder=folder, algo=algo, quarantine=quarantine)
     return for_each_batch(messages, write, checkpoint, trigger=trigger)

@@ -11,6 +11,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from notice_lake.operators.layers import stream_dimension
+from notice_lake.sources.scratch import new_folder
+
 Trigger = dict[str, str | bool]
 
 # Work off what is there, in as many micro-batches as the source limits ask for.
@@ -53,9 +56,31 @@ def append_to_table(
     )
 
 
-def inspect(df: DataFrame, name: str, *, trigger: Trigger = AVAILABLE_NOW) -> StreamingQuery:
-    """Collect a small stream into the in-memory table ``name``, to look at it."""
-    return df.writeStream.format("memory").queryName(name).trigger(**trigger).start()
+def start_dimension(
+    notices: DataFrame,
+    table: str,
+    path: str,
+    checkpoint: str,
+    *,
+    algo: str = "hash",
+    columns: tuple[str, ...] = ("*",),
+    trigger: Trigger = AVAILABLE_NOW,
+) -> StreamingQuery:
+    """Append each key of a dimension once, as it first arrives; its state lives in RocksDB.
+
+    The key and its key attributes do not depend on the order of arrival. Other attributes are
+    those of whichever notice of the key arrived first.
+    """
+    use_rocksdb_state(notices.sparkSession)
+    rows = stream_dimension(notices, table, algo=algo).select(*columns)
+    return append_to_files(rows, path, checkpoint, trigger=trigger)
+
+
+def inspect(df: DataFrame) -> DataFrame:
+    """What a stream has to offer now, written to the shared folder, to look at as a table."""
+    folder = new_folder(df.sparkSession, "inspect")
+    append_to_files(df, f"{folder}/rows", f"{folder}/checkpoint").awaitTermination()
+    return df.sparkSession.read.schema(df.schema).parquet(f"{folder}/rows")
 
 
 def for_each_batch(

@@ -22,6 +22,8 @@ def spark(tmp_path_factory):
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "2")
+        # Small inputs over several cores: a matter of the session, not of the queries.
+        .config("spark.sql.files.minPartitionNum", "2")
         # Many short queries: compile fast rather than well.
         .config("spark.driver.extraJavaOptions", "-XX:TieredStopAtLevel=1")
         .config("spark.sql.session.timeZone", "UTC")

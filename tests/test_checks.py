@@ -2,6 +2,7 @@ import pytest
 from messages import deliveries, message_table
 from pyspark.sql import functions as F
 
+from notice_lake.functions.keys import surrogate_key
 from notice_lake.operators import checks, quality
 from notice_lake.operators.layers import DIMENSIONS, dimension, fact, silver
 from notice_lake.plans import reports
@@ -117,3 +118,21 @@ class TestExpect:
     def test_unknown_action(self, spark):
         with pytest.raises(ValueError):
             quality.expect(self.frame(spark), self.rules, action="ignore")
+
+
+def test_key_collisions_of_the_contract_key(spark):
+    """The 32-bit key skips NULLs, so these two dates and times share one."""
+    rows = spark.createDataFrame(
+        [("a", None), (None, "a"), ("a", None), ("b", "c")], "GRB_DATE string, GRB_TIME string"
+    )
+    keyed = rows.withColumn("timing_sk", surrogate_key("GRB_DATE", "GRB_TIME"))
+    found = checks.key_reuse(keyed, "timing_sk", ["GRB_DATE", "GRB_TIME"]).collect()
+    assert [(r.variants, r.row_count) for r in found] == [(2, 3)]
+
+
+def test_stalled_offsets(spark):
+    schema = "kafka_topic string, kafka_partition int, latest_offset long, end_offset long"
+    earlier = [("t", 0, 5, 10), ("t", 1, 5, 10), ("t", 2, 9, 10), ("t", 3, None, 4), ("t", 4, None, 4)]
+    later = [("t", 0, 5, 12), ("t", 1, 6, 12), ("t", 2, 9, 10), ("t", 3, None, 5), ("t", 4, 3, 5), ("t", 5, None, 2)]
+    found = checks.stalled_offsets(spark.createDataFrame(earlier, schema), spark.createDataFrame(later, schema))
+    assert sorted(tuple(r)[1:] for r in found.collect()) == [(0, 5, 12, 2), (3, None, 5, 1), (5, None, 2, 2)]

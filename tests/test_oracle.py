@@ -5,12 +5,14 @@ import pytest
 from messages import executed_of
 
 import __spark_entry__ as entry_points
+from notice_lake.registry.oracle import ORACLE
+from notice_lake.registry.queries import QUERIES
 
 # No Python workers, no pairing of everything with everything.
 NOT_WANTED = ("EvalPython", "InPandas", "InArrow", "CartesianProduct", "BroadcastNestedLoopJoin")
 
-QUERIES = entry_points.queries()
-ORACLE = entry_points.oracle_sql()
+# None may be found: two dates and times with one 32-bit key are rare.
+MAY_BE_EMPTY = {"key_collisions"}
 
 
 @pytest.fixture(scope="module")
@@ -27,15 +29,16 @@ def test_query_equals_sql(spark, duck, sf_dir, name):
     assert sorted(df.columns) == sorted(columns)
     found = compare.spark_bag(df)
     assert found == expected
-    assert found
+    assert found or name in MAY_BE_EMPTY
     plan = executed_of(df)
     for operator in NOT_WANTED:
         assert operator not in plan
 
 
 def test_every_sql_has_a_query():
-    assert set(ORACLE) <= set(QUERIES)
-    assert set(QUERIES) - set(ORACLE) == {"surrogate_xxhash64"}
+    assert set(ORACLE) == set(QUERIES)
+    assert set(ORACLE) <= set(entry_points.oracle_sql())
+    assert set(QUERIES) <= set(entry_points.queries())
 
 
 def test_entry(spark):

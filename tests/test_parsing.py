@@ -3,7 +3,7 @@ from messages import message_table
 from pyspark.sql import functions as F
 
 from notice_lake.functions import notice_text as nt
-from notice_lake.operators.layers import fact, silver, silver_bounded
+from notice_lake.operators.layers import fact, silver
 from notice_lake.schemas import NOTICE_FIELDS
 
 NBSP = "\u00a0"
@@ -26,10 +26,6 @@ def parse_all(spark):
     return run
 
 
-def parse_bounded(spark, text):
-    return silver_bounded(message_table(spark, [text])).first()
-
-
 def comments(n, text="i"):
     return "TITLE: t" + f"\nCOMMENTS: {text}" * n
 
@@ -96,16 +92,39 @@ def test_very_long_runs_and_texts_are_taken_whole(spark):
     assert row.parse_issue is None
 
 
-def test_rescued_fields(spark):
-    text = "TITLE: t\nFOO: x\nBAR:\nFOO: again\nSIGNAL: a:b\n c"
-    assert parse(spark, text, rescued=True).rescued_fields == {
-        "FOO": "x", "BAR": "", "SIGNAL": "a:b  c",
-    }
-    assert parse(spark, "odd start: 1\nTITLE: t", rescued=True).rescued_fields == {"odd start": "1"}
-    assert parse(spark, "TITLE: t", rescued=True).rescued_fields == {}
+def entries(row):
+    return [tuple(e) for e in row.rescued_fields]
+
+
+RESCUED = {
+    "TITLE: t\nFOO: x\nBAR:\nFOO: again\nSIGNAL: a:b\n c": [
+        ("FOO", "x"), ("BAR", ""), ("FOO", "again"), ("SIGNAL", "a:b  c"),
+    ],
+    "odd start: 1\nTITLE: t": [("odd start", "1")],
+    "TITLE: t": [],
+    " FOO: a\nFOO: b": [("FOO", "a"), ("FOO", "b")],
+    "TITLE: one\nCOMMENTS: a\nGRB_RA: 1\nCOMMENTS: b\nTITLE: two": [("COMMENTS", "b"), ("TITLE", "two")],
+    "free text\nTITLE: t": [("", "free text")],
+    " TITLE: t\nGRB_RA: 1": [("TITLE", "t")],
+    "\n\nTITLE: t\nCOMMENTS: a\nCOMMENTS: b": [],
+    "": [],
+}
+
+
+def test_rescued_entries_hold_whatever_no_column_does(spark):
+    rows = silver(message_table(spark, list(RESCUED)), rescued=True).orderBy("kafka_offset").collect()
+    assert {text: entries(row) for text, row in zip(RESCUED, rows)} == RESCUED
     assert parse(spark, None, rescued=True).rescued_fields is None
 
 
+def test_evidence_is_kept_for_messages_with_an_issue_only(spark):
+    bad = parse(spark, "TITLE: a\n b\nTITLE: c", evidence=True)
+    assert bad.parse_issue == "repeated label" and bad.kafka_value == "TITLE: a\n b\nTITLE: c"
+    assert bad.single_line_text == "TITLE: a  b\nTITLE: c" and entries(bad) == [("TITLE", "c")]
+    good = parse(spark, "TITLE: a\nFOO: x", evidence=True)
+    assert (good.parse_issue, good.kafka_value, good.single_line_text, good.rescued_fields) == (None,) * 4
+
+
 def test_kept_text_is_one_line_per_label(spark):
     text = "TITLE: t\n wrapped\nCOMMENTS: a\nCOMMENTS: b\nLC_URL: u"
     kept = parse(spark, text, keep_text=True).single_line_text
@@ -119,7 +138,7 @@ def test_label_pattern_is_a_parameter(spark):
     text = "TITLE: t\nGRB_INTEN2: 5"
     row = parse(spark, text, label="[A-Z0-9_]+", rescued=True)
     assert row.TITLE == "t"
-    assert row.rescued_fields == {"GRB_INTEN2": "5"}
+    assert entries(row) == [("GRB_INTEN2", "5")]
 
 
 def test_strip_label_mode(spark):
@@ -129,40 +148,11 @@ def test_strip_label_mode(spark):
         parse(spark, "TITLE: t", comments="other")
 
 
-@pytest.mark.parametrize(
-    "text, expected",
-    [
-        (comments(32), {"COMMENTS": " ".join("i" * 32)}),
-        ("TITLE: t\nCOMMENTS: a\nCOMMENTS:\nLC_URL: u", {"COMMENTS": "a LC_URL: u", "LC_URL": None}),
-        ("TITLE: t\nCOMMENTS: a\nCOMMENTS:\nCOMMENTS: b", {"COMMENTS": "a COMMENTS: b"}),
-        ("TITLE: t\r\nGRB_RA: 1\r", {"TITLE": "t\r", "GRB_RA": "1\r"}),
-        ("TITLE: t\nGRB_ERROR:", {"GRB_ERROR": ""}),
-    ],
-)
-def test_bounded_form_keeps_its_quirks(spark, text, expected):
-    row = parse_bounded(spark, text)
-    assert {name: row[name] for name in expected} == expected
-
-
-@pytest.mark.parametrize(
-    "text", [comments(33), "COMMENTS: a\nCOMMENTS: b", "TITLE: t\nGRB_RA: 1\nTITLE: u"]
-)
-def test_bounded_form_stops_on_a_label_left_twice(spark, text):
-    with pytest.raises(Exception, match="DUPLICATED_MAP_KEY"):
-        parse_bounded(spark, text)
-
-
-def test_both_forms_agree_on_regular_notices(spark, sf_dir):
-    from notice_lake.sources.synthetic import notices
-
-    table = notices(spark, sf_dir)
-    assert silver(table).exceptAll(silver_bounded(table)).isEmpty()
-
-
 def test_measurements(parse_all):
     degrees = {
         "3.1 [deg]": 3.1, "3.1\t[deg]": 3.1, "  7 x": 7.0, "-2.5": -2.5, "1e2 x": 100.0,
-        "12.5d x": 12.5, "n/a": None, "": None, "3.1[deg]": None,
+        "+.5 x": 0.5, "12.5d x": None, "1.5f": None, "NaN": None, "Infinity": None, "-inf": None,
+        "0x1p3": None, "n/a": None, "": None, "3.1[deg]": None,
     }
     rows = parse_all([f"TITLE: t\nGRB_ERROR: {error}" for error in degrees])
     assert [row.grb_error_deg for _, row in rows.values()] == list(degrees.values())
@@ -180,3 +170,18 @@ def test_text_helpers(spark):
     text = F.lit("A: 1\n  2\nB: 3")
     assert one.select(nt.merge_wrapped(text)).first()[0] == "A: 1   2\nB: 3"
     assert one.select(nt.segments(text)).first()[0] == ["A: 1\n  2", "B: 3"]
+
+
+def test_typed_shapes(spark):
+    from notice_lake.operators.typed import typed_notice
+
+    def typed(text):
+        return typed_notice(silver(message_table(spark, [text]))).first()
+
+    row = typed("NOTICE_DATE: Sun 23 Jun 24 13:18:22 UT\nSUN_POSTN: 91.27d {+06h 05m 05s}  +23.42d {+23d 25' 14\"}")
+    assert str(row.notice_time) == "2024-06-23 13:18:22"
+    assert (row.sun_position_deg, row.sun_position_dec_deg) == (91.27, 23.42)
+    row = typed("NOTICE_DATE: 24/06/23 01:02:03\nMOON_POSTN: 5.00d\nGAL_COORDS: 12.10,-3.5 [deg]\nGRB_RA: NaN")
+    assert str(row.notice_time) == "2024-06-23 01:02:03" and row.ra_deg is None
+    assert (row.moon_position_deg, row.moon_position_dec_deg) == (5.0, None)
+    assert (row.gal_lon_deg, row.gal_lat_deg) == (12.1, -3.5)

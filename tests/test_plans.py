@@ -11,7 +11,10 @@ from notice_lake.operators.first_seen import first_seen
 from notice_lake.operators.layers import dimension, fact, silver
 from notice_lake.plans import reports
 from notice_lake.schemas import ARRIVAL_ORDER
-from notice_lake.sources.synthetic import damaged, notices
+from notice_lake.registry.queries import QUERIES
+from notice_lake.sources import scratch, synthetic
+from notice_lake.sources.synthetic import notices
+
 
 @pytest.fixture(scope="module")
 def stored(spark, sf_dir, tmp_path_factory):
@@ -74,13 +77,19 @@ def test_snowflake_join_shuffles_the_fact_once(stored, session_conf):
     assert plan.count("rangepartitioning") == 1
 
 
+def scans(df):
+    return len(re.findall(r"FileScan", executed_of(df).split("== Initial Plan ==")[0]))
+
+
 def test_sequence_windows_run_inside_blocks(spark, sf_dir):
-    for df in (
-        sequences.offset_gaps(damaged(spark, sf_dir)),
-        sequences.late_messages(damaged(spark, sf_dir)),
-    ):
-        windows = re.findall(r"windowspecdefinition\(kafka_topic#\d+, kafka_partition#\d+, (\w+)", optimized_of(df))
-        assert {"_block", "_super"} <= set(windows)
+    """Rows meet in blocks; only block summaries meet per feed partition."""
+    for check in (sequences.offset_gaps, sequences.late_messages):
+        df = check(synthetic.damaged(spark, sf_dir))
+        specs = re.findall(r"windowspecdefinition\(kafka_topic#\d+, kafka_partition#\d+, (\w+)", optimized_of(df))
+        assert "_block" in specs
+    bronze = notices(spark, sf_dir)
+    assert scans(sequences.offset_gaps(bronze)) == 1
+    assert scans(sequences.late_messages(bronze)) == 2
 
 
 @pytest.mark.parametrize("how", ["left", "inner"])
@@ -121,6 +130,35 @@ def test_a_hot_key_is_split_by_the_join(spark, session_conf, how):
     assert "skew=true" in executed_of(df)
 
 
+@pytest.mark.parametrize("name", ["fact_with_timing", "recent_bursts", "fact_own_sun_moon"])
+def test_registered_joins_split_a_hot_key(spark, sf_dir, session_conf, monkeypatch, name):
+    """A third of the feed without payload, so under one key: the join in its registered form is split."""
+    feed = spark.range(0, 60_000, 1, 8).withColumns(
+        {
+            "event_id": F.col("id"), "ts": F.timestamp_seconds("id").cast("timestamp_ntz"),
+            "user_id": F.col("id") % 89, "event_type": F.lit("click"),
+        }
+    )
+    rows = synthetic.notices_from(feed.drop("id"))
+    value = F.when(F.col("kafka_offset") % 3 > 0, F.col("kafka_value"))
+    hot = rows.withColumn("kafka_value", value)
+    monkeypatch.setattr(synthetic, "notices", lambda *_: hot)
+    for option, setting in {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.shuffle.partitions": "16",
+    }.items():
+        session_conf(option, setting)
+    df = QUERIES[name](spark, sf_dir)
+    found = df.collect()
+    assert len(found) == (50 if name == "recent_bursts" else 60_000)
+    assert "skew=true" in executed_of(df)
+    scratch.release(spark)
+
+
 def test_first_seen_of_a_hot_key_leaves_one_row_per_task(spark):
     rows = spark.range(0, 10000, 1, 8).selectExpr(
         "IF(id % 3 = 0, 0, id) AS k", "id AS v", "timestamp_seconds(id) AS kafka_timestamp",

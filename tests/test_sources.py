@@ -4,8 +4,9 @@ from pyspark.sql import types as T
 
 from notice_lake import schemas
 from notice_lake.operators.layers import DIMENSIONS, bronze, dimension, fact, silver
-from notice_lake.sources import scratch, synthetic, tables
+from notice_lake.sources import files, scratch, synthetic, tables
 from notice_lake.sources.kafka import kafka_options, oauth_options
+from notice_lake.streaming import hops
 
 
 def test_options_of_a_secured_topic():
@@ -115,8 +116,28 @@ def test_scratch_of_a_local_session_without_a_folder(spark, monkeypatch, tmp_pat
     scratch._local_folder.cache_clear()
 
 
-def test_spread_only_touches_input_with_few_splits(spark, sf_dir):
-    assert synthetic.events(spark, sf_dir).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    wide = spark.range(0, 100, 1, 16).selectExpr("id AS event_id")
-    assert not synthetic._few_splits(wide)
-    assert synthetic._spread(wide, False) is wide
+def test_release_deletes_what_was_made(spark):
+    rows = scratch.stored(spark.range(3), "x")
+    folder = rows.inputFiles()[0].rsplit("/", 1)[0]
+    assert files.names(spark, folder)
+    scratch.release(spark)
+    assert files.names(spark, folder) == []
+
+
+def test_separate_executors_need_a_shared_folder(monkeypatch):
+    from types import SimpleNamespace
+
+    monkeypatch.setattr(scratch, "_configured", lambda _: None)
+    for master in ("local-cluster[2,1,1024]", "yarn"):
+        session = SimpleNamespace(sparkContext=SimpleNamespace(master=master, applicationId="a"))
+        with pytest.raises(RuntimeError):
+            scratch.shared_folder(session)
+
+
+def test_the_stream_reads_the_path_of_the_batch(spark, sf_dir, tmp_path):
+    for name in ("events.parquet", "events_old.parquet", "events.parquet.bak"):
+        (tmp_path / name).write_bytes(open(f"{sf_dir}/events.parquet", "rb").read())
+    folder = tmp_path / "out"
+    rows = synthetic.events_stream(spark, str(tmp_path))
+    hops.append_to_files(rows, str(folder / "rows"), str(folder / "checkpoint")).awaitTermination()
+    assert spark.read.parquet(str(folder / "rows")).count() == synthetic.events(spark, sf_dir).count()

@@ -2,14 +2,14 @@ import json
 from pathlib import Path
 
 import pytest
-from messages import message_table
+from pyspark.sql import functions as F
 
-from notice_lake.operators.layers import DIMENSIONS, dimension, fact, silver, stream_dimension
+from notice_lake.operators.layers import DIMENSIONS, dimension, fact, silver
 from notice_lake.operators.quality import NOTICE_EXPECTATIONS, expect
-from notice_lake.schemas import BRONZE, SILVER
+from notice_lake.schemas import BRONZE, GOLD, SILVER, contract
 from notice_lake.sources.synthetic import irregular, notices
 from notice_lake.sources.tables import comment_on, create_table, read_files, read_table
-from notice_lake.streaming import fan_out, hops
+from notice_lake.streaming import fan_out, hops, segments
 
 ALGO = "sha256"
 
@@ -89,16 +89,19 @@ def test_new_checkpoint_reprocesses_from_the_start(spark, inbox, tmp_path):
         assert same_rows(spark.read.parquet(out), silver(inbox.batch(spark)))
 
 
-@pytest.mark.parametrize("salts", [1, 16])
+@pytest.mark.parametrize("partitions", ["1", "5"])
 def test_state_store_dimension_remembers_keys_over_a_restart(
-    spark, inbox, tmp_path, session_conf, salts
+    spark, inbox, tmp_path, session_conf, partitions
 ):
-    session_conf("spark.sql.streaming.stateStore.providerClass", hops.ROCKSDB_PROVIDER)
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    session_conf(provider, spark.conf.get(provider))
+    session_conf("spark.sql.shuffle.partitions", partitions)
     out, checkpoint = str(tmp_path / "dim"), str(tmp_path / "c")
     for name in ("round1", "round2"):
         inbox.deliver(name)
-        rows = stream_dimension(silver(inbox.stream(spark)), "dim_spatial_coords", algo=ALGO, salts=salts)
-        run(hops.append_to_files(rows, out, checkpoint))
+        parsed = silver(inbox.stream(spark))
+        run(hops.start_dimension(parsed, "dim_spatial_coords", out, checkpoint, algo=ALGO))
+        assert spark.conf.get(provider) == hops.ROCKSDB_PROVIDER
     found = spark.read.parquet(out).select("spatial_sk")
     expected = dimension(silver(inbox.batch(spark)), "dim_spatial_coords", algo=ALGO)
     assert same_rows(found, expected.select("spatial_sk"))
@@ -113,7 +116,7 @@ def test_fan_out_over_many_batches(spark, inbox, tmp_path):
     assert same_rows(fan_out.read_output(spark, folder, "silver"), batch)
     assert same_rows(fan_out.read_output(spark, folder, "fact_notices"), fact(batch, algo=ALGO))
     for table, (_, key) in DIMENSIONS.items():
-        found = fan_out.read_output(spark, folder, table)
+        found = fan_out.read_output(spark, folder, table, algo=ALGO)
         expected = dimension(batch, table, algo=ALGO)
         assert found.columns == expected.columns
         assert same_rows(found.select(key), expected.select(key))
@@ -127,7 +130,7 @@ def test_fan_out_in_one_batch_is_the_deterministic_batch_result(spark, inbox, tm
     run(fan_out.start_fan_out(stream, folder, str(tmp_path / "c"), algo=ALGO))
     for table in DIMENSIONS:
         expected = dimension(silver(inbox.batch(spark)), table, algo=ALGO)
-        assert same_rows(fan_out.read_output(spark, folder, table), expected)
+        assert same_rows(fan_out.read_output(spark, folder, table, algo=ALGO), expected)
 
 
 def test_a_repeated_batch_replaces_its_first_attempt(spark, inbox, tmp_path):
@@ -139,19 +142,66 @@ def test_a_repeated_batch_replaces_its_first_attempt(spark, inbox, tmp_path):
         fan_out.write_batch(part, batch_id, folder=folder, algo=ALGO)
     assert same_rows(fan_out.read_output(spark, folder, "silver"), silver(rows))
     for table, (_, key) in DIMENSIONS.items():
-        found = fan_out.read_output(spark, folder, table)
+        found = fan_out.read_output(spark, folder, table, algo=ALGO)
         assert same_rows(found.select(key), dimension(silver(rows), table, algo=ALGO).select(key))
 
 
-def test_known_keys_without_broadcast(spark, inbox, tmp_path, monkeypatch):
-    monkeypatch.setattr(fan_out, "BROADCAST_KEYS", 0)
+def test_batches_are_covered_by_few_segments():
+    for width in (2, 8):
+        for n in range(200):
+            parts = segments.covering(n, width)
+            batches = [b for level, first in parts for b in range(first, first + width**level)]
+            assert batches == list(range(n))
+            assert len(parts) <= (width - 1) * max(len({level for level, _ in parts}), 1)
+    assert len(segments.covering(8_640 * 365)) <= 7 * 8
+
+
+def test_folders_read_per_batch_stay_few_over_many_batches(spark, inbox, tmp_path, monkeypatch):
+    """Forty batches: what a batch opens does not grow, and keys are written once."""
     inbox.deliver("round1")
-    parsed = silver(inbox.batch(spark))
+    table, key = "dim_spatial_coords", "spatial_sk"
+    parsed = silver(inbox.batch(spark)).localCheckpoint()
+    opened = []
+    plain = segments.covering
+    monkeypatch.setattr(segments, "covering", lambda n, *w: opened.append(plain(n, *w)) or plain(n, *w))
     folder = str(tmp_path / "out")
-    for batch_id in (0, 1):
-        fan_out.add_new_members(parsed, folder, "dim_spatial_coords", batch_id)
-    found = fan_out.read_output(spark, folder, "dim_spatial_coords")
-    assert same_rows(found, dimension(parsed, "dim_spatial_coords"))
+    for batch in range(40):
+        part = parsed.filter(f"kafka_offset % 40 IN ({batch}, {(batch * 7 + 3) % 40})")
+        fan_out.add_new_members(part, folder, table, batch)
+    assert max(len(x) for x in opened) <= 7 + 5
+    schema = contract(GOLD[table].schema)
+    found = segments.read(spark, f"{folder}/{table}", schema, key, 40)
+    expected = dimension(parsed, table).select(key)
+    assert same_rows(found.select(key), expected)
+
+
+def test_readers_take_finished_batches_only(spark, inbox, tmp_path, monkeypatch):
+    inbox.deliver("round1")
+    rows, folder = inbox.batch(spark), str(tmp_path / "out")
+    for batch in range(3):
+        fan_out.write_batch(rows.filter(f"kafka_offset % 4 = {batch}"), batch, folder=folder)
+    assert fan_out.last_batch(spark, folder) == 2
+    assert len(list((tmp_path / "out" / "done").glob("[0-9]*"))) <= 2
+
+    def stop(*_):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(fan_out, "_commit", stop)
+    with pytest.raises(RuntimeError):
+        fan_out.write_batch(rows.filter("kafka_offset % 4 = 3"), 3, folder=folder)
+    finished = rows.filter("kafka_offset % 4 < 3")
+    assert same_rows(fan_out.read_output(spark, folder, "bronze"), finished)
+    assert same_rows(fan_out.read_output(spark, folder, "fact_notices"), fact(silver(finished)))
+    for table, (_, key) in DIMENSIONS.items():
+        found = fan_out.read_output(spark, folder, table)
+        assert same_rows(found.select(key), dimension(silver(finished), table).select(key))
+
+
+def test_a_batch_that_breaks_the_contract_is_refused(spark, inbox, tmp_path):
+    inbox.deliver("round1")
+    rows = inbox.batch(spark).withColumn("kafka_offset", F.col("kafka_offset").cast("string"))
+    with pytest.raises(TypeError, match="kafka_offset"):
+        fan_out.write_batch(rows, 0, folder=str(tmp_path / "out"))
 
 
 def test_fan_out_with_quarantine(spark, sf_dir, tmp_path):
@@ -163,14 +213,50 @@ def test_fan_out_with_quarantine(spark, sf_dir, tmp_path):
         t: fan_out.read_output(spark, folder, t).count() for t in ("silver", "quarantine", "fact_notices")
     }
     assert counts["silver"] == rows.count()
+    assert counts["silver"] == fan_out.read_output(spark, folder, "bronze").count()
     assert 0 < counts["quarantine"] < counts["silver"]
+    kept = fan_out.read_output(spark, folder, "quarantine")
+    assert kept.filter("kafka_value IS NULL AND parse_issue <> 'null payload'").isEmpty()
+    texts = rows.select("kafka_partition", "kafka_offset", F.col("kafka_value").alias("sent"))
+    assert kept.join(texts, ["kafka_partition", "kafka_offset"]).filter("NOT kafka_value <=> sent").isEmpty()
     assert counts["quarantine"] + counts["fact_notices"] == counts["silver"]
 
 
-def test_memory_table_for_inspection(spark, inbox):
+def test_inspection_of_a_stream(spark, inbox):
     inbox.deliver("round1")
-    run(hops.inspect(silver(inbox.stream(spark)), "seen"))
-    assert spark.table("seen").count() == inbox.batch(spark).count()
+    assert same_rows(hops.inspect(silver(inbox.stream(spark))), silver(inbox.batch(spark)))
+
+
+def test_declarative_graph_with_plain_decorators(spark, inbox, monkeypatch):
+    """Every table of the graph is defined, under its contract, from the one above it."""
+    from pyspark import pipelines
+
+    from notice_lake.streaming import declarative
+
+    tables = {}
+
+    def table(*, name, comment, schema=None):
+        return lambda make: tables.setdefault(name, (make, comment, schema))
+
+    monkeypatch.setattr(pipelines, "table", table, raising=False)
+    inbox.deliver("round1")
+    source = inbox.stream(spark).selectExpr(
+        "CAST(kafka_key AS BINARY) AS key", "CAST(kafka_value AS BINARY) AS value", "kafka_topic AS topic",
+        "kafka_partition AS partition", "kafka_offset AS offset", "kafka_timestamp AS timestamp",
+    )
+    monkeypatch.setattr(declarative, "read_topic", lambda *_: source)
+
+    class Streams:
+        """A session whose stored streams are the graph's own tables."""
+
+        readStream = type("R", (), {"table": staticmethod(lambda name: tables[name][0]())})
+
+    declarative.define(Streams, {"subscribe": "topic"})
+    assert set(tables) == set(declarative.TABLES)
+    for name, (make, comment, schema) in tables.items():
+        assert comment and make().isStreaming
+        if schema is not None:
+            assert make().schema.names == schema.names
 
 
 def test_stream_into_a_catalog_table_and_on_from_there(spark, inbox, tmp_path):
