@@ -28,9 +28,9 @@ class NgramJoin:
     percent: int = 75
     block_bytes: int = 3_000_000
     counted: int = 3
-    bits: int = 1024
-    rounds: int = 4
-    leaders: int = 3
+    bits: int = 4096
+    rounds: int = 2
+    leaders: int = 4
 
 
 _LOWER = np.arange(256, dtype=np.uint8)
