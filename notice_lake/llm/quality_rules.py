@@ -7,13 +7,15 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from notice_lake.llm.common import SPACE, once, stored, word_count
+from notice_lake.llm.common import SPACE, once, stored
 
 #: Characters counted as symbols.
 SYMBOLS = "#*$%&|<>"
 
-_LETTERS_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-_MARKS = "0123456789!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+#: ASCII digits and punctuation, as ranges.
+_MARKS = "!-@\\[-`{-~"
+#: Up to so many different repeated windows are looked up in a list, more are sorted.
+_FEW = 16
 
 
 def measures(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -32,29 +34,38 @@ def measures(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
         lines=F.filter(F.split("text", "\n"), lambda x: x.rlike(f"[^{SPACE}]")),
     )
     n = F.size("words")
-    window = F.transform(
-        F.slice("words", 1, F.greatest(n - 2, F.lit(0))),
-        lambda w, i: F.struct(
-            F.xxhash64(w, F.get("words", i + 1), F.get("words", i + 2)).alias("h"), i.alias("i")
-        ),
-    )
-    chars = F.length("text")
 
     def count_of(characters: str) -> Column:
-        return (chars - F.length(F.translate("text", characters, ""))).cast("long")
+        """How often a character of the class occurs."""
+        return F.regexp_count("text", F.lit(f"[{characters}]")).cast("long")
+
+    def count_of_one(character: str) -> Column:
+        return (F.length("text") - F.length(F.replace("text", F.lit(character), F.lit("")))).cast("long")
 
-    rows = once(rows, sorted=F.array_sort(window))
+    rows = once(
+        rows,
+        windows=F.transform(
+            F.slice("words", 1, F.greatest(n - 2, F.lit(0))),
+            lambda w, i: F.xxhash64(w, F.get("words", i + 1), F.get("words", i + 2)),
+        ),
+    )
+    rows = once(rows, sorted=F.sort_array("windows"))
+    again = F.array_distinct(F.filter("sorted", lambda x, k: x == F.get("sorted", k - 1)))
+    rows = once(rows, again=again)
+    few = F.transform("windows", lambda x, i: F.when(F.array_contains("again", x), i))
+    many = F.transform("windows", lambda x, i: F.struct(x.alias("h"), i.alias("i")))
     # In order of (window, place), a repeated window stands next to its like.
-    same = F.array_sort(
-        F.transform(
-            F.filter(
-                "sorted",
-                lambda x, k: (x.h == F.get("sorted", k - 1).h) | (x.h == F.get("sorted", k + 1).h),
-            ),
-            lambda x: x.i,
-        )
+    rows = once(rows, pairs=F.when(F.size("again") > _FEW, F.sort_array(many)))
+    next_to_like = F.filter(
+        "pairs",
+        lambda x, k: (x.h == F.get("pairs", k - 1).h) | (x.h == F.get("pairs", k + 1).h),
+    )
+    places = (
+        F.when(F.size("again") == 0, F.array().cast("array<int>"))
+        .when(F.size("again") <= _FEW, F.array_compact(few))
+        .otherwise(F.sort_array(F.transform(next_to_like, lambda x: x.i)))
     )
-    rows = once(rows, repeated=same)
+    rows = once(rows, repeated=places)
     # A repeated window covers three words, or as many as there are up to the next one.
     covered = F.aggregate(
         F.transform(
@@ -67,18 +78,18 @@ def measures(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     return rows.select(
         "doc_id",
         n.cast("long").alias("n_words"),
-        F.length(F.regexp_replace("text", f"[{SPACE}]+", "")).cast("long").alias("word_chars"),
+        (F.length("text") - count_of_one(" ") - count_of(r"\x09-\x0D")).cast("long").alias("word_chars"),
         count_of(SYMBOLS).alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         covered.cast("long").alias("n_repeat_words"),
         F.size("lines").cast("long").alias("n_lines"),
         F.size(F.array_distinct("words")).cast("long").alias("n_distinct_words"),
-        count_of(_LETTERS_UPPER).alias("n_upper"),
+        count_of("A-Z").alias("n_upper"),
         count_of(_MARKS).alias("n_marks"),
-        F.size(F.filter("words", lambda w: w.rlike(f"[{SYMBOLS}]"))).cast("long")
-        .alias("n_symbol_words"),
-        count_of("!").alias("n_shouts"),
-        count_of(".").alias("n_stops"),
+        # From its first symbol on, a word is one match.
+        F.regexp_count("text", F.lit(f"[{SYMBOLS}][^{SPACE}]*")).cast("long").alias("n_symbol_words"),
+        count_of_one("!").alias("n_shouts"),
+        count_of_one(".").alias("n_stops"),
     )
 
 
