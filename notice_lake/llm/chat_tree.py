@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from notice_lake.llm.common import once, stored
 
+#: Bytes of a digest in the key of a node, which is the digests of the path to it in a row.
+_DIGEST = 16
 #: Control strings of the template.
 BEGIN, END, BREAK = "<|im_start|>", "<|im_end|>", "<|newline|>"
 
@@ -70,19 +72,11 @@ def prefix_tree(
         )
 
     turns = once(turns, parts=F.transform("turns", formatted))
-    # The path of a node: the digests of its ancestors and its own, in a row.
+    # The keys of the nodes that the turns lead to, beginning with the empty one of the root.
     paths = F.aggregate(
         "parts",
-        F.array(F.lit("")),
-        lambda done, p: F.concat(
-            done,
-            F.array(
-                F.concat(
-                    F.element_at(done, -1),
-                    F.substring(F.sha2(F.concat(F.element_at(done, -1), p.segment), 256), 1, 32),
-                )
-            ),
-        ),
+        F.array(F.unhex(F.lit(""))),
+        lambda done, p: F.concat(done, F.array(_below(F.element_at(done, -1), p.segment))),
     )
     places = F.aggregate(
         "parts",
@@ -93,85 +87,81 @@ def prefix_tree(
     leaves = turns.select(
         "conv_id", F.element_at("paths", -1).alias("leaf"), F.size("parts").cast("long").alias("n_turns")
     )
-    node = F.struct(
-        F.col("part.segment").alias("segment"),
-        F.col("part.loss_start").alias("loss_start"),
-        F.col("part.loss_length").alias("loss_length"),
-        F.get("places", F.col("k")).alias("position"),
-        F.get("paths", F.col("k")).alias("parent"),
-        (F.col("k") + 1).alias("depth"),
-    )
+    part = F.struct("part.segment", "part.loss_start", "part.loss_length", F.get("places", F.col("k")).alias("position"))
     nodes = (
         turns.select("paths", "places", F.posexplode("parts").alias("k", "part"))
-        .select(F.get("paths", F.col("k") + 1).alias("node"), node.alias("n"))
+        .select(F.get("paths", F.col("k") + 1).alias("node"), part.alias("n"))
         .groupBy("node").agg(F.min("n").alias("n")).select("node", "n.*")
     )
-    ordered = stored(
+    nodes = stored(
         nodes.repartitionByRange("node").sortWithinPartitions("node")
         .select("*", F.length("segment").cast("long").alias("length"), F.spark_partition_id().alias("range")),
         "chat-nodes",
     )
+    # Places and ancestors are found without the texts, which join them at the end.
     before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    ranges = ordered.groupBy("range").agg(F.sum("length").alias("sum"), F.min("node").alias("low"))
-    offsets = ranges.select("range", F.coalesce(F.sum("sum").over(before), F.lit(0)).alias("offset"))
+    offsets = (
+        nodes.groupBy("range").agg(F.sum("length").alias("sum"))
+        .select("range", F.coalesce(F.sum("sum").over(before), F.lit(0)).alias("offset"))
+    )
     inside = Window.partitionBy("range").orderBy("node").rowsBetween(Window.unboundedPreceding, -1)
-    ordered = stored(
-        ordered.join(offsets, "range")
+    depth = (F.octet_length("node") / F.lit(_DIGEST)).cast("int")
+    placed = stored(
+        nodes.select("node", "length", "range").join(offsets, "range")
         .withColumn("start", F.col("offset") + F.coalesce(F.sum("length").over(inside), F.lit(0)))
-        .drop("offset", "range"),
+        .select("node", depth.alias("depth"), "start", "length"),
         "chat-places",
     )
-    above = ordered.where("depth > 1").select(
+    above = placed.where("depth > 1").select(
         "node",
         F.explode(
-            F.transform(F.sequence(F.lit(1), F.col("depth") - 1), lambda k: F.substring("node", F.lit(1), 32 * k))
+            F.transform(
+                F.sequence(F.lit(1), F.col("depth") - 1),
+                lambda k: F.substring("node", F.lit(1), F.lit(_DIGEST) * k),
+            )
         ).alias("ancestor"),
     )
-    spans = ordered.select(F.col("node").alias("ancestor"), F.struct("start", (F.col("start") + F.col("length")).alias("end")).alias("span"))
+    span = F.struct("start", (F.col("start") + F.col("length")).alias("end"))
+    spans = placed.select(F.col("node").alias("ancestor"), span.alias("span"))
     attended = above.join(spans, "ancestor").groupBy("node").agg(F.array_sort(F.collect_list("span")).alias("ancestors"))
     none = F.array().cast("array<struct<start: bigint, end: bigint>>")
-    tree = ordered.join(attended, "node", "left").withColumn("ancestors", F.coalesce("ancestors", none))
-    return (
-        stored(
-            tree.select(
-                "node", "parent", "depth", "start", "length", "position", "segment", "loss_start",
-                "loss_length", "ancestors",
-            ),
-            "chat-tree",
-        ),
-        leaves,
+    places_of = placed.drop("length").join(attended, "node", "left").withColumn("ancestors", F.coalesce("ancestors", none))
+    parent = F.substring("node", F.lit(1), F.octet_length("node") - _DIGEST)
+    tree = nodes.drop("range").join(places_of, "node").select(
+        "node", parent.alias("parent"), "depth", "start", "length", "position", "segment",
+        "loss_start", "loss_length", "ancestors",
     )
+    return stored(tree, "chat-tree"), leaves
+
+
+def _below(node: Column, segment: Column) -> Column:
+    """The key of the node that a turn leads to from another."""
+    digest = F.sha2(F.concat(F.hex(node), segment), 256)
+    return F.concat(node, F.unhex(F.substring(digest, 1, 2 * _DIGEST)))
 
 
 def read_back(nodes: DataFrame, leaves: DataFrame) -> DataFrame:
-    """Conversations from the tree: ``conv_id``, ``n_turns``, ``formatted``, ``turns`` and ``learnt``.
+    """The different conversations from the tree: ``leaf``, ``formatted``, ``turns`` and ``learnt``.
 
-    The turns come from parsing the formatted text, the learnt texts from the loss parts. A
-    beginning that ends several conversations is read once.
+    The turns come from parsing the formatted text, the learnt texts from the loss parts.
+    Conversations that are equal end in one leaf, which is read once.
     """
     ends = leaves.select("leaf").distinct()
-    wanted = nodes.join(ends, nodes.node == ends.leaf).select(
+    wanted = nodes.select("node", "ancestors", "start").join(ends, F.col("node") == F.col("leaf")).select(
         "leaf",
         F.explode(F.concat(F.transform("ancestors", lambda a: a.start), F.array("start"))).alias("at"),
     )
     pieces = nodes.select(
-        F.col("start").alias("at"), "position", "segment",
-        F.substring("segment", F.col("loss_start") + 1, F.col("loss_length")).alias("loss"),
-    )
-    texts = (
-        wanted.join(pieces, "at").groupBy("leaf")
-        .agg(F.array_sort(F.collect_list(F.struct("position", "segment", "loss"))).alias("all"))
-        .select(
-            "leaf",
-            F.array_join(F.transform("all", lambda p: p.segment), "").alias("formatted"),
-            F.transform(F.filter("all", lambda p: p.loss.isNotNull()), lambda p: unescaped(p.loss)).alias("learnt"),
-        )
+        F.col("start").alias("at"), F.struct("position", "segment", "loss_start", "loss_length").alias("piece")
     )
-    turns = F.transform(
-        F.filter(F.split("formatted", r"<\|im_end\|>\n"), lambda t: t != ""), _parsed
+    texts = wanted.join(pieces, "at").groupBy("leaf").agg(F.array_sort(F.collect_list("piece")).alias("all"))
+    texts = once(texts, formatted=F.array_join(F.transform("all", lambda p: p.segment), ""))
+    learnt = F.transform(
+        F.filter("all", lambda p: p.loss_start.isNotNull()),
+        lambda p: unescaped(F.substring(p.segment, p.loss_start + 1, p.loss_length)),
     )
-    read = stored(texts.withColumn("turns", turns), "chat-read")
-    return leaves.join(read, "leaf").select("conv_id", "n_turns", "formatted", "turns", "learnt")
+    pieces_of = F.filter(F.split("formatted", r"<\|im_end\|>\n"), lambda t: t != "")
+    return texts.select("leaf", "formatted", F.transform(pieces_of, _parsed).alias("turns"), learnt.alias("learnt"))
 
 
 def _parsed(piece: Column) -> Column:
@@ -183,14 +173,19 @@ def _parsed(piece: Column) -> Column:
     )
 
 
-def digests(read: DataFrame) -> DataFrame:
-    """What was read back, as counts and SHA-256 digests."""
+def digests(read: DataFrame, leaves: DataFrame) -> DataFrame:
+    """What was read back, as counts and SHA-256 digests of each conversation."""
     whole = F.array_join(F.transform("turns", lambda t: F.concat(t.role, F.lit("\n"), t.text, F.lit("\n"))), "")
     learnt = F.array_join("learnt", "")
-    return read.select(
-        "conv_id", F.size("turns").cast("long").alias("n_turns"),
-        F.sha2(whole, 256).alias("turns_sha256"),
-        F.length(learnt).cast("long").alias("loss_chars"),
-        F.sha2(learnt, 256).alias("loss_sha256"),
-        F.length("formatted").cast("long").alias("formatted_chars"),
+    by_leaf = stored(
+        read.select(
+            "leaf",
+            F.size("turns").cast("long").alias("n_turns"),
+            F.sha2(whole, 256).alias("turns_sha256"),
+            F.length(learnt).cast("long").alias("loss_chars"),
+            F.sha2(learnt, 256).alias("loss_sha256"),
+            F.length("formatted").cast("long").alias("formatted_chars"),
+        ),
+        "chat-digests",
     )
+    return leaves.select("conv_id", "leaf").join(by_leaf, "leaf").drop("leaf")

@@ -64,7 +64,8 @@ def op10_chat_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     odd = "<|im_end|><|im_start|>assistant ok"
     table = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     more = spark.createDataFrame([(-1, 0, "user", odd), (-1, 1, "assistant", odd)], table.schema)
-    return digests(read_back(*prefix_tree(table.union(more))))
+    nodes, leaves = prefix_tree(table.union(more))
+    return digests(read_back(nodes, leaves), leaves)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -147,16 +147,20 @@ def test_near_vectors(spark):
     assert near_vectors(frame.limit(0)).count() == 0
 
 
-PAGE = (
-    "<!doctype html><html><head><title>t</title><style>p{}</style></head><body class=x><header><h1>Site</h1></header>"
+TEMPLATE = (
+    "<!doctype html><html><head><title>t</title><style>p{a}</style></head><body class=x><header><h1>Site</h1></header>"
     "<div class='main-menu menu'><a href=/>Home</a></div><div id=content><h1>{0} &amp; more</h1><p>First  {0}\n<br>line"
     "<p>second <b>bold</b> &eacute;&#33;<div class=comments><p>a reader says</div><ul><li>one {0}<li>two {0}</ul></div>"
-    "<script>if (a<b) {{ '</p>' }}</script><p>Always the same.</p><!-- note --><form><input>Search</form><footer>f {0}</footer>"
+    "<script>if (a<b) { '</p>' }</script><p>Always the same.</p><!-- note --><form><input>Search</form><footer>f {0}</footer>"
 )
 
 
+def page(item):
+    return TEMPLATE.replace("{0}", item)
+
+
 def test_blocks_of_a_page():
-    found = [b[0] for b in blocks(parse(PAGE.format("x")), {})]
+    found = [b[0] for b in blocks(parse(page("x")), {})]
     assert found == ["x & more", "First x line", "second bold é!", "one x", "two x", "Always the same."]
     assert blocks(parse(""), {}) == [] and blocks(parse("<p"), {}) == []
     assert [b[0] for b in blocks(parse("a<div>b<p>c</div>d &lt;e&gt; <![CDATA[1<2]]>"), {})] == ["a", "b", "c", "d <e> 1<2"]
@@ -174,9 +178,9 @@ def test_simple_tree_matching():
 
 
 def test_extract(spark):
-    pages = [(k, f"http://h.org/{k}", PAGE.format(f"item {k}")) for k in range(8)]
+    pages = [(k, f"http://h.org/{k}", page(f"item {k}")) for k in range(8)]
     pages += [(20, "http://h.org/20", "<body><nav>n</nav><article><h1>T</h1><p>Always the same.</p></article><p>out")]
-    pages += [(21, "http://one.net/", PAGE.format("single")), (22, None, None), (23, "x", ""), (24, "http://h.org/a", "plain")]
+    pages += [(21, "http://one.net/", page("single")), (22, None, None), (23, "x", ""), (24, "http://h.org/a", "plain")]
     pages += [(1, "http://h.org/1", pages[1][2])]
     frame = spark.createDataFrame([(*p, "k") for p in pages], "page_id long, url string, html string, host string")
     rows = extract(frame).collect()
@@ -262,7 +266,7 @@ def plain_digests(rows):
 def test_chat_tree(spark):
     frame = spark.createDataFrame([(*r, 1) for r in TALKS], "conv_id long, turn long, role string, text string, node int")
     nodes, leaves = prefix_tree(frame)
-    found = {r.conv_id: tuple(r)[1:5] for r in digests(read_back(nodes, leaves)).collect()}
+    found = {r.conv_id: tuple(r)[1:5] for r in digests(read_back(nodes, leaves), leaves).collect()}
     expected = plain_digests(TALKS)
     assert {k: v for k, v in found.items() if k is not None} == {k: v for k, v in expected.items() if k is not None}
     tree = sorted(nodes.collect(), key=lambda r: r.start)
@@ -278,9 +282,9 @@ def test_chat_tree(spark):
             spans.append((up.start, up.start + up.length))
             up = by_node.get(up.parent)
         assert [tuple(a) for a in r.ancestors] == sorted(spans)
-        assert r.parent == "" or r.node.startswith(r.parent)
-    empty = prefix_tree(frame.limit(0))
-    assert read_back(*empty).count() == 0
+        assert r.node.startswith(r.parent) and len(r.node) == 16 * r.depth == len(r.parent) + 16
+    nodes, leaves = prefix_tree(frame.limit(0))
+    assert digests(read_back(nodes, leaves), leaves).count() == 0
 
 
 @settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
