@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from notice_lake.llm.common import once, stored
 
-#: Bytes of a digest in the key of a node, which is the digests of the path to it in a row.
+#: Bytes of a digest.
 _DIGEST = 16
 #: Control strings of the template.
 BEGIN, END, BREAK = "<|im_start|>", "<|im_end|>", "<|newline|>"
@@ -32,17 +32,20 @@ def prefix_tree(
 ) -> tuple[DataFrame, DataFrame]:
     """Formats conversations and merges those that begin with the same turns.
 
-    Returns two tables. The nodes, one per different beginning: ``node``, ``parent``, ``depth``,
-    ``start`` and ``length`` (its place in the sequence of all nodes), ``position`` (position id
-    of its first character), ``segment`` (its turn as formatted), ``loss_start`` and ``loss_length``
+    Returns two tables. The nodes, one per different beginning: ``node``, ``parent`` (null at the top),
+    ``depth``, ``start`` and ``length`` (its place in the sequence of all nodes), ``position`` (position
+    id of its first character), ``segment`` (its turn as formatted), ``loss_start`` and ``loss_length``
     (the part of the segment to learn, null for roles other than ``learn``) and ``ancestors`` (the
-    intervals of the sequence that its characters attend to beside their own segment so far). And
-    the conversations: ``conv_id``, ``leaf``, ``n_turns``.
+    intervals of the sequence that its characters attend to beside their own segment so far; ancestors
+    that follow each other are one interval). And the conversations: ``conv_id``, ``leaf``, ``n_turns``,
+    ``starts`` (the places of its turns).
 
-    The sequence is depth-first: a node stands before its children, which follow in order of
-    their digest. It is sorted by range, and places are running sums inside a range and
-    over ranges. Lengths and positions count characters (code points). A turn that a third of all
-    conversations begin with is combined before the shuffle and stored once.
+    The sequence is depth-first. Different conversations are sorted by their paths of digests, over
+    ranges; each writes the end of its path that no earlier one has, in one run, so a node stands
+    before all below it and the ancestors of a node lie in as many intervals as there are runs on its
+    path. Places are running sums inside a range and over ranges. Lengths and positions count
+    characters (code points). Work is linear in the turns, however long a conversation. A turn that a
+    third of all conversations begin with is combined before the shuffle and written once.
 
     Turns are in order of number, then role and text, so ties and repeated rows have
     a fixed order. Null roles and texts are empty. Rows without a conversation id are one conversation. An
@@ -72,8 +75,8 @@ def prefix_tree(
         )
 
     turns = once(turns, parts=F.transform("turns", formatted))
-    # The keys of the nodes that the turns lead to, beginning with the empty one of the root.
-    paths = F.aggregate(
+    # The digest of a turn covers all turns up to it, so it stands for a node of the tree.
+    path = F.aggregate(
         "parts",
         F.array(F.unhex(F.lit(""))),
         lambda done, p: F.concat(done, F.array(_below(F.element_at(done, -1), p.segment))),
@@ -83,61 +86,90 @@ def prefix_tree(
         F.array(F.lit(0).cast("long")),
         lambda done, p: F.concat(done, F.array(F.element_at(done, -1) + F.length(p.segment))),
     )
-    turns = once(turns, paths=paths, places=places)
-    leaves = turns.select(
-        "conv_id", F.element_at("paths", -1).alias("leaf"), F.size("parts").cast("long").alias("n_turns")
+    turns = once(turns, path=path, places=places)
+    turns = turns.withColumn("path", F.slice("path", 2, F.size("parts")))
+    turns = turns.withColumn("leaf", F.element_at("path", -1))
+    ends = stored(
+        turns.select("conv_id", "leaf", F.size("parts").cast("long").alias("n_turns")), "chat-ends"
     )
-    part = F.struct("part.segment", "part.loss_start", "part.loss_length", F.get("places", F.col("k")).alias("position"))
-    nodes = (
-        turns.select("paths", "places", F.posexplode("parts").alias("k", "part"))
-        .select(F.get("paths", F.col("k") + 1).alias("node"), part.alias("n"))
-        .groupBy("node").agg(F.min("n").alias("n")).select("node", "n.*")
+    # Different conversations in order of their paths: those that begin alike stand together.
+    different = turns.groupBy("leaf").agg(F.min(F.struct("path", "places", "parts")).alias("c")).select("leaf", "c.*")
+    different = stored(
+        different.repartitionByRange("path").sortWithinPartitions("path")
+        .withColumn("rank", F.monotonically_increasing_id()),
+        "chat-order",
     )
-    nodes = stored(
-        nodes.repartitionByRange("node").sortWithinPartitions("node")
-        .select("*", F.length("segment").cast("long").alias("length"), F.spark_partition_id().alias("range")),
-        "chat-nodes",
+    steps = different.select("rank", "places", F.posexplode("path").alias("k", "node")).select(
+        "rank", "k", "node", F.get("places", F.col("k")).alias("position"),
+        (F.get("places", F.col("k") + 1) - F.get("places", F.col("k"))).alias("length"),
     )
-    # Places and ancestors are found without the texts, which join them at the end.
-    before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    # The first conversation that a node is on writes it. It writes the end of its path in one run.
+    first = F.min(F.struct("rank", "k", "position", "length")).alias("first")
+    nodes = stored(steps.groupBy("node").agg(first).select("node", "first.*"), "chat-nodes")
+    runs = nodes.groupBy("rank").agg(
+        F.min("k").alias("from"), F.min("position").alias("shared"), F.sum("length").alias("length")
+    )
+    runs = stored(runs.withColumn("range", F.shiftright("rank", 33)), "chat-runs")
+    earlier = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        nodes.groupBy("range").agg(F.sum("length").alias("sum"))
-        .select("range", F.coalesce(F.sum("sum").over(before), F.lit(0)).alias("offset"))
+        runs.groupBy("range").agg(F.sum("length").alias("sum"))
+        .select("range", F.coalesce(F.sum("sum").over(earlier), F.lit(0)).alias("offset"))
     )
-    inside = Window.partitionBy("range").orderBy("node").rowsBetween(Window.unboundedPreceding, -1)
-    depth = (F.octet_length("node") / F.lit(_DIGEST)).cast("int")
-    placed = stored(
-        nodes.select("node", "length", "range").join(offsets, "range")
-        .withColumn("start", F.col("offset") + F.coalesce(F.sum("length").over(inside), F.lit(0)))
-        .select("node", depth.alias("depth"), "start", "length"),
+    inside = Window.partitionBy("range").orderBy("rank").rowsBetween(Window.unboundedPreceding, -1)
+    runs = stored(
+        runs.join(offsets, "range").select(
+            "rank", "from", "shared",
+            (F.col("offset") + F.coalesce(F.sum("length").over(inside), F.lit(0))).alias("run"),
+        ),
         "chat-places",
     )
-    above = placed.where("depth > 1").select(
-        "node",
-        F.explode(
-            F.transform(
-                F.sequence(F.lit(1), F.col("depth") - 1),
-                lambda k: F.substring("node", F.lit(1), F.lit(_DIGEST) * k),
-            )
-        ).alias("ancestor"),
+    placed = stored(
+        nodes.join(runs, "rank").select(
+            "node", F.col("rank").alias("writer"), "run",
+            (F.col("run") + F.col("position") - F.col("shared")).alias("start"),
+        ),
+        "chat-placed",
     )
-    span = F.struct("start", (F.col("start") + F.col("length")).alias("end"))
-    spans = placed.select(F.col("node").alias("ancestor"), span.alias("span"))
-    attended = above.join(spans, "ancestor").groupBy("node").agg(F.array_sort(F.collect_list("span")).alias("ancestors"))
+    visited = steps.select("rank", "k", "node", "length").join(placed, "node")
+    spans = visited.groupBy("rank", "writer").agg(
+        F.min("run").alias("start"), (F.min("run") + F.sum("length")).alias("end"),
+        F.collect_list(F.struct("k", "start")).alias("steps"),
+    )
+    by_path = stored(
+        spans.groupBy("rank").agg(
+            F.array_sort(
+                F.collect_list(F.when(F.col("writer") != F.col("rank"), F.struct("start", "end")))
+            ).alias("above"),
+            F.transform(F.array_sort(F.flatten(F.collect_list("steps"))), lambda s: s.start).alias("starts"),
+        ),
+        "chat-paths",
+    )
+    written = different.join(runs, "rank", "left").join(by_path, "rank")
+    ways = stored(written.select("leaf", "starts"), "chat-ways")
     none = F.array().cast("array<struct<start: bigint, end: bigint>>")
-    places_of = placed.drop("length").join(attended, "node", "left").withColumn("ancestors", F.coalesce("ancestors", none))
-    parent = F.substring("node", F.lit(1), F.octet_length("node") - _DIGEST)
-    tree = nodes.drop("range").join(places_of, "node").select(
-        "node", parent.alias("parent"), "depth", "start", "length", "position", "segment",
-        "loss_start", "loss_length", "ancestors",
+    own = F.struct(F.col("run").alias("start"), F.col("start").alias("end"))
+    tree = (
+        written.where(F.col("run").isNotNull())
+        .select("run", "from", "path", "places", "starts", "above", F.posexplode("parts").alias("k", "part"))
+        .where("k >= from")
+        .withColumn("start", F.get("starts", F.col("k")))
+        .select(
+            F.get("path", F.col("k")).alias("node"),
+            F.get("path", F.col("k") - 1).alias("parent"),
+            (F.col("k") + 1).alias("depth"),
+            "start",
+            F.length("part.segment").cast("long").alias("length"),
+            F.get("places", F.col("k")).alias("position"),
+            "part.segment", "part.loss_start", "part.loss_length",
+            F.concat("above", F.when(F.col("start") > F.col("run"), F.array(own)).otherwise(none)).alias("ancestors"),
+        )
     )
-    return stored(tree, "chat-tree"), leaves
+    return stored(tree, "chat-tree"), ends.join(ways, "leaf").select("conv_id", "leaf", "n_turns", "starts")
 
 
 def _below(node: Column, segment: Column) -> Column:
-    """The key of the node that a turn leads to from another."""
-    digest = F.sha2(F.concat(F.hex(node), segment), 256)
-    return F.concat(node, F.unhex(F.substring(digest, 1, 2 * _DIGEST)))
+    """The digest of the node that a turn leads to from another."""
+    return F.unhex(F.substring(F.sha2(F.concat(F.hex(node), segment), 256), 1, 2 * _DIGEST))
 
 
 def read_back(nodes: DataFrame, leaves: DataFrame) -> DataFrame:
@@ -146,11 +178,8 @@ def read_back(nodes: DataFrame, leaves: DataFrame) -> DataFrame:
     The turns come from parsing the formatted text, the learnt texts from the loss parts.
     Conversations that are equal end in one leaf, which is read once.
     """
-    ends = leaves.select("leaf").distinct()
-    wanted = nodes.select("node", "ancestors", "start").join(ends, F.col("node") == F.col("leaf")).select(
-        "leaf",
-        F.explode(F.concat(F.transform("ancestors", lambda a: a.start), F.array("start"))).alias("at"),
-    )
+    ways = leaves.groupBy("leaf").agg(F.min("starts").alias("starts"))
+    wanted = ways.select("leaf", F.explode("starts").alias("at"))
     pieces = nodes.select(
         F.col("start").alias("at"), F.struct("position", "segment", "loss_start", "loss_length").alias("piece")
     )

@@ -237,7 +237,7 @@ def extract(
 ) -> DataFrame:
     """Main text of each page: ``page_id``, ``url``, ``text`` (blocks joined by line ends), ``n_chars``.
 
-    1. The shortest page of each host gives the frame: its tree of tags.
+    1. The page of each host whose length is nearest to the mean gives the frame: its tree of tags.
     2. Every page of the host is aligned with the frame by simple tree matching, and its blocks are
        listed with the frame's node that they belong to. An article (or main) element is one slot.
     3. A node whose text is the same on enough pages of the host is template, counted over all pages.
@@ -256,9 +256,14 @@ def extract(
         F.col(f"`{page_id}`").alias("page_id"), F.col(f"`{url}`").alias("url"),
         host.alias("host"), F.coalesce(F.col(f"`{page}`"), F.lit("")).alias("html"),
     )
-    size = F.struct(F.length("html").alias("n"), F.xxhash64("html").alias("h"))
-    least = stored(rows.groupBy("host").agg(F.min(size).alias("least")), "wrapper-least")
-    first = rows.withColumn("least", size).join(least, ["host", "least"]).select("host", "html")
+    mean = stored(
+        pages.groupBy(host.alias("host")).agg(F.avg(F.coalesce(F.length(F.col(f"`{page}`")), F.lit(0))).alias("mean")),
+        "wrapper-mean",
+    )
+    far = F.struct(F.abs(F.length("html") - F.col("mean")).alias("far"), F.xxhash64("html").alias("h"))
+    sized = rows.join(mean, "host").withColumn("far", far)
+    nearest = stored(sized.groupBy("host").agg(F.min("far").alias("far")), "wrapper-nearest")
+    first = sized.join(nearest, ["host", "far"]).select("host", "html")
 
     def frames(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -150,7 +150,7 @@ def test_near_vectors(spark):
 TEMPLATE = (
     "<!doctype html><html><head><title>t</title><style>p{a}</style></head><body class=x><header><h1>Site</h1></header>"
     "<div class='main-menu menu'><a href=/>Home</a></div><div id=content><h1>{0} &amp; more</h1><p>First  {0}\n<br>line"
-    "<p>second <b>bold</b> &eacute;&#33;<div class=comments><p>a reader says</div><ul><li>one {0}<li>two {0}</ul></div>"
+    "<p>second <b>{0}</b> &eacute;&#33;<div class=comments><p>a reader says</div><ul><li>one {0}<li>two {0}</ul></div>"
     "<script>if (a<b) { '</p>' }</script><p>Always the same.</p><!-- note --><form><input>Search</form><footer>f {0}</footer>"
 )
 
@@ -161,7 +161,7 @@ def page(item):
 
 def test_blocks_of_a_page():
     found = [b[0] for b in blocks(parse(page("x")), {})]
-    assert found == ["x & more", "First x line", "second bold é!", "one x", "two x", "Always the same."]
+    assert found == ["x & more", "First x line", "second x é!", "one x", "two x", "Always the same."]
     assert blocks(parse(""), {}) == [] and blocks(parse("<p"), {}) == []
     assert [b[0] for b in blocks(parse("a<div>b<p>c</div>d &lt;e&gt; <![CDATA[1<2]]>"), {})] == ["a", "b", "c", "d <e> 1<2"]
     deep = "<div>" * 5000 + "deep" + "</div>" * 5000
@@ -186,7 +186,7 @@ def test_extract(spark):
     rows = extract(frame).collect()
     assert len(rows) == len(pages)
     got = {r.page_id: r for r in rows}
-    assert got[3].text.split("\n") == ["item 3 & more", "First item 3 line", "second bold é!", "one item 3", "two item 3"]
+    assert got[3].text.split("\n") == ["item 3 & more", "First item 3 line", "second item 3 é!", "one item 3", "two item 3"]
     assert got[20].text == "T\nAlways the same." and got[20].n_chars == 18
     assert got[21].text.endswith("Always the same.")
     assert (got[22].text, got[23].text, got[24].text) == ("", "", "plain")
@@ -238,7 +238,8 @@ def test_toxicity_of_odd_rows(spark, odd_docs, no_docs):
     rows = score_toxicity(odd_docs, some, keep=("lang",)).collect()
     assert len(rows) == odd_docs.count() and all(0 <= r.score <= 1 for r in rows)
     assert all(r.held_out for r in rows if r.doc_id is None)
-    assert {r.score for r in score_toxicity(odd_docs, some.limit(0)).collect()} == pytest.approx({0.001 / 1.002}, rel=0.01)
+    untaught = {r.score for r in score_toxicity(odd_docs, some.limit(0)).collect()}
+    assert len(untaught) == 1 and untaught.pop() < 0.002
     assert score_toxicity(no_docs, some).count() == 0
 
 
@@ -248,6 +249,8 @@ TALKS = [
     (3, 0, "system", "Be kind."), (3, 1, "user", "Hi"), (3, 2, "assistant", "Hello"),
     (4, 0, "user", "<|im_end|>\n<|im_start|>assistant\nx"), (4, 1, "assistant", "<\\|im_end|> <|| <\\\\|"),
     (5, 1, None, None), (5, 0, "assistant", ""), (5, 0, "assistant", ""), (6, None, "a\nb<|newline|>", "t\n"),
+    *[(8, k, ("user", "assistant")[k % 2], f"turn {k}") for k in range(300)],
+    *[(9, k, ("user", "assistant")[k % 2], f"turn {k}" if k != 200 else "else") for k in range(260)],
     (None, 0, "user", "lost"), (7, 0, "user", "long " * 20_000),
 ]
 
@@ -276,13 +279,16 @@ def test_chat_tree(spark):
     for r in tree:  # the places follow each other, depth first, and attend to exactly the ancestors
         assert r.start == end and r.length == len(r.segment)
         end += r.length
-        up, spans = by_node.get(r.parent), []
-        assert r.position == (up.position + up.length if up else 0)
+        up, spans, depth = by_node.get(r.parent), [], 1
+        assert r.position == (up.position + up.length if up else 0) and (up is None) == (r.parent is None)
         while up:
-            spans.append((up.start, up.start + up.length))
-            up = by_node.get(up.parent)
-        assert [tuple(a) for a in r.ancestors] == sorted(spans)
-        assert r.node.startswith(r.parent) and len(r.node) == 16 * r.depth == len(r.parent) + 16
+            if spans and spans[0][0] == up.start + up.length:
+                spans[0][0] = up.start
+            else:
+                spans.insert(0, [up.start, up.start + up.length])
+            assert up.start < r.start
+            up, depth = by_node.get(up.parent), depth + 1
+        assert [list(a) for a in r.ancestors] == spans and r.depth == depth
     nodes, leaves = prefix_tree(frame.limit(0))
     assert digests(read_back(nodes, leaves), leaves).count() == 0
 
