@@ -25,11 +25,15 @@ from notice_lake.operators.typed import sky_separation, typed_notice
 from notice_lake.plans import reports
 from notice_lake.schemas import (
     ARRIVAL_ORDER,
+    BRONZE,
     DELIVERY_COLUMNS,
     DELIVERY_KEY,
+    FACT_NOTICES,
+    SILVER,
     SPATIAL_KEY,
     SUN_MOON_KEY,
     TIMING_KEY,
+    contract,
 )
 from notice_lake.sources import synthetic
 from notice_lake.sources.scratch import new_folder, stored
@@ -371,17 +375,25 @@ def stream_hops(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze, silver and fact, one streaming query each, stopped and started again."""
     folder = new_folder(spark, "stream-hops")
     messages = synthetic.notices(spark, sf_dir)
-    layers = [f"{folder}/{name}" for name in ("bronze", "silver", "fact")]
+    clock = messages.schema["kafka_timestamp"].dataType
+    contracts = {
+        "bronze": contract(BRONZE, clock=clock),
+        "silver": contract(SILVER, clock=clock),
+        "fact": contract(FACT_NOTICES, algo=WIDE, clock=clock),
+    }
 
-    def hop(df: DataFrame, target: str) -> None:
-        append_to_files(df, target, f"{target}-checkpoint").awaitTermination()
+    def append(df: DataFrame, layer: str) -> None:
+        path = f"{folder}/{layer}"
+        append_to_files(df, path, f"{path}-checkpoint", schema=contracts[layer]).awaitTermination()
+
+    def stream(layer: str) -> DataFrame:
+        return read_files(spark, f"{folder}/{layer}", schema=contracts[layer], streaming=True)
 
     for _ in range(2):
-        hop(_message_stream(spark, sf_dir), layers[0])
-        hop(silver(read_files(spark, layers[0], schema=messages.schema, streaming=True)), layers[1])
-        parsed = read_files(spark, layers[1], schema=silver(messages).schema, streaming=True)
-        hop(fact(parsed, algo=WIDE), layers[2])
-    return spark.read.parquet(layers[2])
+        append(_message_stream(spark, sf_dir), "bronze")
+        append(silver(stream("bronze")), "silver")
+        append(fact(stream("silver"), algo=WIDE), "fact")
+    return spark.read.parquet(f"{folder}/fact")
 
 
 def _streamed_gold(spark: SparkSession, sf_dir: str) -> str:

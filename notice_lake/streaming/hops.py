@@ -9,10 +9,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from notice_lake.operators.layers import stream_dimension
 from notice_lake.sources.scratch import new_folder
+from notice_lake.sources.tables import conform
 
 Trigger = dict[str, str | bool]
 
@@ -33,10 +35,17 @@ def use_rocksdb_state(spark: SparkSession) -> None:
 
 
 def append_to_files(
-    df: DataFrame, path: str, checkpoint: str, *, trigger: Trigger = AVAILABLE_NOW, fmt: str = "parquet"
+    df: DataFrame,
+    path: str,
+    checkpoint: str,
+    *,
+    schema: T.StructType | None = None,
+    trigger: Trigger = AVAILABLE_NOW,
+    fmt: str = "parquet",
 ) -> StreamingQuery:
+    """``schema`` is the contract of the table that the files are; rows that break it stop the query."""
     return (
-        df.writeStream.format(fmt)
+        _conformed(df, schema).writeStream.format(fmt)
         .outputMode("append")
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
@@ -45,10 +54,16 @@ def append_to_files(
 
 
 def append_to_table(
-    df: DataFrame, table: str, checkpoint: str, *, trigger: Trigger = AVAILABLE_NOW, fmt: str = "parquet"
+    df: DataFrame,
+    table: str,
+    checkpoint: str,
+    *,
+    schema: T.StructType | None = None,
+    trigger: Trigger = AVAILABLE_NOW,
+    fmt: str = "parquet",
 ) -> StreamingQuery:
     return (
-        df.writeStream.format(fmt)
+        _conformed(df, schema).writeStream.format(fmt)
         .outputMode("append")
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
@@ -56,6 +71,10 @@ def append_to_table(
     )
 
 
+def _conformed(df: DataFrame, schema: T.StructType | None) -> DataFrame:
+    return df if schema is None else conform(df, schema)
+
+
 def start_dimension(
     notices: DataFrame,
     table: str,

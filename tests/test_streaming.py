@@ -222,6 +222,15 @@ def test_fan_out_with_quarantine(spark, sf_dir, tmp_path):
     assert counts["quarantine"] + counts["fact_notices"] == counts["silver"]
 
 
+def test_a_hop_keeps_the_contract_of_its_table(spark, inbox, tmp_path):
+    inbox.deliver("round1")
+    parsed, out = silver(inbox.stream(spark)), str(tmp_path / "silver")
+    with pytest.raises(TypeError, match="TITLE"):
+        hops.append_to_files(parsed.drop("TITLE"), out, str(tmp_path / "c"), schema=SILVER)
+    run(hops.append_to_files(parsed.withColumn("more", F.lit(1)), out, str(tmp_path / "c"), schema=SILVER))
+    assert spark.read.parquet(out).columns == SILVER.names
+
+
 def test_inspection_of_a_stream(spark, inbox):
     inbox.deliver("round1")
     assert same_rows(hops.inspect(silver(inbox.stream(spark))), silver(inbox.batch(spark)))
