@@ -10,6 +10,8 @@ ROOT = Path(__file__).resolve().parents[1]
 sys.path.insert(0, str(ROOT))
 sys.path.insert(0, str(ROOT / "tests"))
 
+from notice_lake.sources import scratch  # noqa: E402
+
 SF_DIR = "/root/testdata/sf0.001"
 
 
@@ -34,6 +36,7 @@ def spark(tmp_path_factory):
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    scratch.release(session)
     session.stop()
 
 

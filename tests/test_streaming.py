@@ -157,7 +157,7 @@ def test_batches_are_covered_by_few_segments():
 
 
 def test_folders_read_per_batch_stay_few_over_many_batches(spark, inbox, tmp_path, monkeypatch):
-    """Forty batches: what a batch opens does not grow, and keys are written once."""
+    """Over many batches what a batch opens does not grow, and keys are written once."""
     inbox.deliver("round1")
     table, key = "dim_spatial_coords", "spatial_sk"
     parsed = silver(inbox.batch(spark)).localCheckpoint()
@@ -165,12 +165,12 @@ def test_folders_read_per_batch_stay_few_over_many_batches(spark, inbox, tmp_pat
     plain = segments.covering
     monkeypatch.setattr(segments, "covering", lambda n, *w: opened.append(plain(n, *w)) or plain(n, *w))
     folder = str(tmp_path / "out")
-    for batch in range(40):
-        part = parsed.filter(f"kafka_offset % 40 IN ({batch}, {(batch * 7 + 3) % 40})")
+    for batch in range(32):
+        part = parsed.filter(f"kafka_offset % 32 IN ({batch}, {(batch * 7 + 3) % 32})")
         fan_out.add_new_members(part, folder, table, batch)
     assert max(len(x) for x in opened) <= 7 + 5
     schema = contract(GOLD[table].schema)
-    found = segments.read(spark, f"{folder}/{table}", schema, key, 40)
+    found = segments.read(spark, f"{folder}/{table}", schema, key, 32)
     expected = dimension(parsed, table).select(key)
     assert same_rows(found.select(key), expected)
 
