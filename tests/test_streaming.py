@@ -160,7 +160,7 @@ def test_folders_read_per_batch_stay_few_over_many_batches(spark, inbox, tmp_pat
     """Over many batches what a batch opens does not grow, and keys are written once."""
     inbox.deliver("round1")
     table, key = "dim_spatial_coords", "spatial_sk"
-    parsed = silver(inbox.batch(spark)).localCheckpoint()
+    parsed = silver(inbox.batch(spark)).cache()
     opened = []
     plain = segments.covering
     monkeypatch.setattr(segments, "covering", lambda n, *w: opened.append(plain(n, *w)) or plain(n, *w))
