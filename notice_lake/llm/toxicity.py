@@ -238,7 +238,8 @@ def train(docs: DataFrame, labels: DataFrame, options: Toxicity, doc_id: str, te
                 yield pa.RecordBatch.from_arrays([part["_toxic"], pa.array(own, kind), pa.array(other, kind)], ["label", "own", "swapped"])
 
     described = taught.mapInArrow(describe, "label int, own array<int>, swapped array<int>").collect()
-    rows = sorted((r[0], list(r[1]), None if r[2] is None else list(r[2])) for r in described) if described else []
+    rows = [(r[0], list(r[1]), None if r[2] is None else list(r[2])) for r in described]
+    rows.sort(key=lambda r: (r[0], r[1], r[2] is not None, r[2] or []))
     return fit(rows, chosen, options)
 
 

@@ -243,6 +243,16 @@ def test_toxicity_of_odd_rows(spark, odd_docs, no_docs):
     assert score_toxicity(no_docs, some).count() == 0
 
 
+def test_toxicity_sorts_rows_that_differ_in_swapped_terms_only(spark):
+    texts = ["", "old", None, "old", "table", "idiots"]
+    rows = [(k, texts[k % 6]) for k in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    marks = spark.createDataFrame([(k, int(t == "idiots")) for k, t in rows], "doc_id long, toxic int")
+    scored = score_toxicity(docs, marks, Toxicity(features=1)).collect()
+    assert sorted(r.doc_id for r in scored) == list(range(60))
+    assert len({r.score for r in scored if texts[r.doc_id % 6] in ("", None)}) == 1
+
+
 TALKS = [
     (1, 0, "system", "Be kind."), (1, 1, "user", "Hi"), (1, 2, "assistant", "Hello"),
     (2, 0, "system", "Be kind."), (2, 1, "user", "Hi"), (2, 2, "assistant", "Good day"), (2, 3, "user", "ok"),
