@@ -193,6 +193,52 @@ def test_extract(spark):
     assert extract(frame.limit(0)).count() == 0
 
 
+def texts_of(spark, pages):
+    rows = extract(spark.createDataFrame([(k, u, h) for k, (u, h) in enumerate(pages)], "page_id long, url string, html string")).collect()
+    assert len(rows) == len(pages)
+    return [r.text.split("\n") for r in sorted(rows, key=lambda r: r.page_id)]
+
+
+def test_articles_are_aligned_and_vote(spark):
+    line = "<p>Subscribe to us."
+    pages = [("http://a.org/", f"<article><h1>Head {k}</h1>{''.join(f'<p>Part {k} {i}' for i in range(1 + k))}{line}</article>") for k in range(6)]
+    pages += [("http://b.org/", f"<div><p>Main {k}</p><p>text {k}, longer.</p></div><article><h2>See {k}</h2></article>") for k in range(4)]
+    pages += [("http://c.org/", "<article><p>equal pages</p></article>")] * 5
+    found = texts_of(spark, pages)
+    for k in range(6):
+        assert found[k] == [f"Head {k}", *[f"Part {k} {i}" for i in range(1 + k)]]
+    for k in range(4):
+        assert found[6 + k] == [f"Main {k}", f"text {k}, longer.", f"See {k}"]
+    assert found[10:] == [["equal pages"]] * 5
+
+
+def test_trees_are_matched_like_brute_force():
+    rng = random.Random(3)
+
+    def tree(depth):
+        return [rng.choice(["div", "p", "ul"]), *[tree(depth - 1) for _ in range(rng.randrange(4) if depth else 0)]]
+
+    def plain(a, b):
+        if a[0] != b[0]:
+            return 0
+        best = [[0] * len(b) for _ in a]
+        for i in range(1, len(a)):
+            for j in range(1, len(b)):
+                best[i][j] = max(best[i - 1][j], best[i][j - 1], best[i - 1][j - 1] + plain(a[i], b[j]))
+        return best[-1][-1] + 1
+
+    for _ in range(200):
+        a, b = ["html", *tree(4)[1:]], ["html", *tree(4)[1:]]
+        found: dict[int, int] = {}
+        wrapper.match(Skeleton.read(a, [0]), Skeleton.read(b, [0]), found, {})
+        assert len(found) == plain(a, b) == len(set(found.values()))
+        assert sorted(found) == [k for k, _ in sorted(found.items(), key=lambda x: x[1])]
+    deep = [Skeleton.read(wrapper._frame(parse("<div>" * 255 + x)), [0]) for x in ("<p>1<ul><li>", "<ul><li><p>")]
+    found = {}
+    wrapper.match(*deep, found, {})
+    assert len(found) >= 255
+
+
 def test_toxicity_on_held_out_rows(spark):
     sf = "/root/testdata/sf0.1"
     labels = spark.read.parquet(f"{sf}/labels.parquet")
