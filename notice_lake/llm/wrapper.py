@@ -42,6 +42,8 @@ _DEEPEST = 256
 _SCOPE = frozenset("ul ol dl table article section main body html div nav aside".split())
 #: Elements whose text counts inside of an article only.
 _EXTRA = frozenset("svg noscript".split())
+#: Elements that make a layout.
+_OUTER = frozenset("header nav main article aside section footer form div center table".split())
 #: Elements, roles and class or id words that mark what is not content.
 _ASIDE_TAGS = frozenset("nav aside footer form button select dialog menu search head header".split())
 _ASIDE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog menu menubar".split())
@@ -371,6 +373,20 @@ def _digest(text: str) -> int:
     return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "replace"), digest_size=8).digest(), "big", signed=True)
 
 
+def _layout(node: Node) -> str:
+    """A digest of the outer elements of a page: the paths of sections down to three levels, each once."""
+    paths: set[str] = set()
+    work = [(node, "", 0)]
+    while work:
+        item, path, depth = work.pop()
+        for c in _below(item) if depth < 3 else ():
+            if c.tag in _OUTER or c.main:
+                paths.add(own := f"{path}/{c.tag}")
+                if not c.main:
+                    work.append((c, own, depth + 1))
+    return f"{_digest(' '.join(sorted(paths))) & (1 << 64) - 1:016x}"
+
+
 def _places(own: Skeleton, numbers: list[int], pairs: dict[int, int]) -> list[tuple[int, str]]:
     """Where each block is: the matched number of the nearest matched element around its own, and the tags from there.
 
@@ -432,7 +448,7 @@ def extract(
             for source in sources:
                 root = parse(source)
                 found, asides = listed(root, _numbers(root, {}))
-                layout.append("")
+                layout.append(_layout(root))
                 shape.append(json.dumps(_frame(root), separators=(",", ":")))
                 out["texts"].append([b.text for b in found])
                 out["digests"].append([_digest(b.text) for b in found])

@@ -239,6 +239,15 @@ def test_trees_are_matched_like_brute_force():
     assert len(found) >= 255
 
 
+def test_each_layout_of_a_host_has_its_frame(spark):
+    menu = "<div><ul><li>Home page<li>All about us</ul></div>"
+    pages = [("http://a.org/", f"<section><article><p>Article {k}</article></section>") for k in range(30)]
+    pages += [("http://a.org/", f"{menu}<div><div><p>Text {k}</div></div>") for k in range(20)]
+    pages += [("http://a.org/", f"<table><tr><td>Old shop<td>Item {k}</table>") for k in range(3)]
+    found = texts_of(spark, pages)
+    assert found == [[f"Article {k}"] for k in range(30)] + [[f"Text {k}"] for k in range(20)] + [[f"Item {k}"] for k in range(3)]
+
+
 def test_toxicity_on_held_out_rows(spark):
     sf = "/root/testdata/sf0.1"
     labels = spark.read.parquet(f"{sf}/labels.parquet")
