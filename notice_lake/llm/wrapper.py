@@ -25,7 +25,7 @@ _TOKEN = re.compile(
 _ATTR = re.compile(r"""([^\s=/"'>]+)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)|([^\s=/"'>]+)""")
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_RAW = frozenset("script style noscript template textarea title iframe object svg math canvas audio video".split())
+_RAW = frozenset("script style template textarea title iframe object canvas audio video".split())
 _BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure "
     "footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre search section "
@@ -53,6 +53,12 @@ _ASIDE_WORDS = frozenset(
     "popup promo promoted promotion related replies reply share sharing sidebar signup social sponsor "
     "sponsored subscribe subscription toolbar widget widgets".split()
 )
+#: Those that also name the frame of a layout.
+_VAGUE_WORDS = frozenset(
+    "banner masthead modal notice notices popup related share sharing sidebar signup social subscribe "
+    "subscription toolbar widget widgets".split()
+)
+
 
 @dataclass(frozen=True)
 class Wrapper:
@@ -72,10 +78,18 @@ class Node:
 
 
 def _aside(tag: str, attrs: dict[str, str]) -> bool:
+    """Whole class names and ids count, not parts of them."""
     if tag in _ASIDE_TAGS or attrs.get("role", "").lower() in _ASIDE_ROLES or "hidden" in attrs:
         return True
-    names = f"{attrs.get('class', '')} {attrs.get('id', '')}".lower()
-    return bool(names.strip()) and not _ASIDE_WORDS.isdisjoint(re.split(r"[^a-z0-9]+", names))
+    return not _ASIDE_WORDS.isdisjoint(f"{attrs.get('class', '')} {attrs.get('id', '')}".lower().split())
+
+
+def _firm(tag: str, attrs: dict[str, str]) -> int:
+    """How sure it is that an aside is not content: 2 by its element or hidden, 1 by a role or a clear name, 0 for others."""
+    if (tag in _ASIDE_TAGS and tag != "form") or "hidden" in attrs:
+        return 2
+    names = {*f"{attrs.get('class', '')} {attrs.get('id', '')}".lower().split()} & _ASIDE_WORDS
+    return int(bool(names - _VAGUE_WORDS) or attrs.get("role", "").lower() in _ASIDE_ROLES)
 
 
 def parse(source: str) -> Node:
@@ -125,7 +139,7 @@ def parse(source: str) -> Node:
         if found["attrs"].strip(" /"):
             attrs = {(a or c).lower(): b.strip("\"'") for a, b, c in _ATTR.findall(found["attrs"])}
         main = tag in ("article", "main") or attrs.get("role", "").lower() in ("main", "article")
-        node = Node(tag, _aside(tag, attrs), main, 2)
+        node = Node(tag, _aside(tag, attrs) and not main, main, _firm(tag, attrs))
         stack[-1].items.append(node)
         if tag not in _VOID and not found["attrs"].endswith("/") and len(stack) < _DEEPEST:
             stack.append(node)

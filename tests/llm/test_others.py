@@ -248,6 +248,30 @@ def test_each_layout_of_a_host_has_its_frame(spark):
     assert found == [[f"Article {k}"] for k in range(30)] + [[f"Text {k}"] for k in range(20)] + [[f"Item {k}"] for k in range(3)]
 
 
+def test_names_do_not_empty_a_page(spark):
+    text = "The text of this page is longer than what stands around it."
+    menu = "<nav>Home</nav><div class='box ad'>Buy this.</div>"
+    inner = [
+        f"<article class='post comments-open'>{text}</article>",
+        f"<article class=comments>{text}</article>",
+        f"<div id=page class='site with-sidebar'><p>{text}</div>",
+        f"<div class=no-share><p>{text}</div><div class=social-policy></div>",
+        f"<div class=social-policy>{text}</div>",
+        f"<form><p>{text}</p><input></form>",
+        f"<form><main>{text}</main><div class=comments>{text} {text}</div></form>",
+        f"<div class='sidebar left'><div>{text}</div></div><article>Teaser</article>",
+        f"<div class=widget><main>{text}</main></div><article>Teaser</article>",
+    ]
+    found = texts_of(spark, [(f"http://h{k}.org/", menu + h) for k, h in enumerate(inner)])
+    for k, got in enumerate(found):
+        assert got == [text] + (["Teaser"] if k >= 7 else []), (k, got)
+    left = "<article>Short.</article><div class=comments>A long answer of a reader.</div><footer>Foot</footer>"
+    kept = "<article><p>So <math><mi>a</mi><mo>+</mo><mi>b</mi></math> and <svg><text>drawn</text></svg><noscript>still</noscript></article>"
+    more = "<svg><text>icon</text></svg><div>In <math><mi>x</mi></math> <button>press</button>words</div>"
+    found = texts_of(spark, [("http://x.org/", left), ("http://y.org/", kept), ("http://z.org/", more)])
+    assert found == [["Short."], ["So a+b and drawnstill"], ["In x words"]]
+
+
 def test_toxicity_on_held_out_rows(spark):
     sf = "/root/testdata/sf0.1"
     labels = spark.read.parquet(f"{sf}/labels.parquet")
