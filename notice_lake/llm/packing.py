@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from itertools import accumulate
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from notice_lake.llm.common import stored, word_count
@@ -25,45 +26,49 @@ class Packing:
     docs_per_part: int = 50_000
 
 
-def rounded(length: Column) -> Column:
-    """A length rounded up to 32 steps per power of two; exact up to 64, and 1 for 0.
-
-    Lengths below 2^31 have at most about 900 values, so their histogram is small.
-    """
-    octave = F.floor(F.log2(F.greatest(length, F.lit(1)).cast("double")))
-    step = F.pow(F.lit(2.0), F.greatest(octave - 5, F.lit(0)))
-    return F.greatest(F.ceil(length / step) * step, F.lit(1)).cast("long")
-
-
 def boundaries(histogram: list[tuple[int, int, int]], buckets: int) -> list[int]:
     """The bucket lengths with the least padding, by dynamic programming.
 
     ``histogram`` has (length, documents, tokens) with tokens at most length times documents.
-    Padding of a bucket is its length times its documents less their tokens.
+    Padding of a bucket is its length times its documents less their tokens. For the bucket that ends
+    at ``j`` the best start is the lowest of straight lines at ``length[j]``, whose slopes fall from start to
+    start; so one pass over their lower hull finds all, and the time is buckets times lengths.
     """
     rows = sorted(histogram)
     if not rows:
         return []
-    length = np.array([r[0] for r in rows], dtype=np.float64)
-    count = np.concatenate([[0.0], np.cumsum([float(r[1]) for r in rows])])
-    tokens = np.concatenate([[0.0], np.cumsum([float(r[2]) for r in rows])])
+    length = [int(r[0]) for r in rows]
+    count = [0, *accumulate(int(r[1]) for r in rows)]
+    tokens = [0, *accumulate(int(r[2]) for r in rows)]
     n = len(rows)
-    best = np.full(n + 1, math.inf)
-    best[0] = 0.0
+    best: list[int | None] = [0] + [None] * n
     came: list[np.ndarray] = []
     for _ in range(min(buckets, n)):
         following, back = best.copy(), np.full(n + 1, -1)
+        hull: list[tuple[int, int, int]] = []  # slope, height at 0, start
+        at = 0
         for j in range(1, n + 1):
-            cost = best[:j] + length[j - 1] * (count[j] - count[:j]) - (tokens[j] - tokens[:j])
-            i = int(np.argmin(cost))
-            if cost[i] < following[j]:
-                following[j], back[j] = cost[i], i
+            if best[j - 1] is not None:
+                slope, height = -count[j - 1], best[j - 1] + tokens[j - 1]
+                while len(hull) - at >= 2:
+                    (m1, b1, _), (m2, b2, _) = hull[-2], hull[-1]
+                    if (height - b1) * (m1 - m2) > (b2 - b1) * (m1 - slope):
+                        break
+                    hull.pop()
+                hull.append((slope, height, j - 1))
+            x = length[j - 1]
+            while at + 1 < len(hull) and hull[at + 1][0] * x + hull[at + 1][1] < hull[at][0] * x + hull[at][1]:
+                at += 1
+            slope, height, i = hull[at]
+            cost = slope * x + height + x * count[j] - tokens[j]
+            if following[j] is None or cost < following[j]:
+                following[j], back[j] = cost, i
         best = following
         came.append(back)
     ends, j = [], n
     for back in reversed(came):
         if j and back[j] >= 0:
-            ends.append(int(length[j - 1]))
+            ends.append(length[j - 1])
             j = int(back[j])
     return ends[::-1]
 
@@ -78,7 +83,8 @@ def pack(
     """The batch of each document: ``doc_id``, ``n_tokens``, ``bucket_length``, ``batch_id``, ``slot``, ``padding``.
 
     Token counts come from the column ``tokens``, or are the words of ``text``. The
-    driver sees the histogram of rounded lengths only (about 900 rows at most). A batch holds
+    driver sees the exact histogram, a row for each length that occurs: fewer than the root of twice all
+    tokens. The boundaries are optimal for it. A batch holds
     as many documents as fit the budget padded to the bucket's length, and at least one,
     so a document longer than the budget is a batch alone and whole.
 
@@ -88,7 +94,7 @@ def pack(
     count = word_count(F.col(f"`{text}`")) if tokens is None else F.greatest(F.coalesce(F.col(f"`{tokens}`"), F.lit(0)), F.lit(0)).cast("long")
     rows = stored(
         docs.select(F.col(f"`{doc_id}`").alias("doc_id"), count.alias("n_tokens"))
-        .withColumn("length", rounded(F.col("n_tokens"))),
+        .withColumn("length", F.greatest("n_tokens", F.lit(1).cast("long"))),
         "lengths",
     )
     histogram = [

@@ -241,6 +241,34 @@ def test_bucket_boundaries_are_optimal():
     assert boundaries([], 4) == []
 
 
+def test_boundaries_of_many_lengths_are_optimal():
+    rng = random.Random(5)
+    for size, buckets in ((1, 3), (9, 20), (80, 1), (80, 4), (80, 16)):
+        histogram = [(x, n := rng.choice([1, 1, 2, 5, 400]), n * x) for x in sorted(rng.sample(range(1, 20_000), size))]
+        cost = {(-1, -1): 0}  # padding of the lengths up to one, by bucket and last length
+        for k in range(buckets):
+            for j in range(size):
+                of = [c + sum(histogram[j][0] * n - t for _, n, t in histogram[i + 1 : j + 1]) for (b, i), c in cost.items() if b == k - 1 and i < j]
+                cost |= {(k, j): min(of)} if of else {}
+        ends = boundaries(histogram, buckets)
+        padding = sum(n * next(e for e in ends if e >= x) - t for x, n, t in histogram)
+        assert len(ends) <= buckets and padding == min(c for (_, j), c in cost.items() if j == size - 1)
+
+
+def test_long_documents_get_exact_boundaries(spark):
+    sizes = [1025] * 5 + [70, 71, 71, 133, 300, 301, 999, 5003, 5003, 0]
+    docs = spark.createDataFrame(list(enumerate(sizes)), "doc_id long, n long")
+    same = pack(docs.where("n = 1025"), tokens="n").collect()
+    assert [(r.bucket_length, r.padding) for r in same] == [(1025, 0)] * 5
+    from itertools import combinations
+
+    exact = sorted({max(n, 1) for n in sizes})
+    padded = lambda ends: sum(next(e for e in ends if e >= n) - n for n in sizes)
+    best = min(padded([*c, exact[-1]]) for k in range(4) for c in combinations(exact[:-1], k))
+    found = pack(docs, Packing(buckets=4), tokens="n").collect()
+    assert len(found) == len(sizes) and sum(r.padding for r in found) == best
+
+
 def test_packing(spark, odd_docs, no_docs):
     rng = random.Random(2)
     rows = [(k, "w " * min(int(rng.expovariate(0.01)), 5000)) for k in range(800)]
