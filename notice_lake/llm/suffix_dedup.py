@@ -221,7 +221,7 @@ def remove_repeats(
        of full length have a sampled suffix at the same distance in both, and share at least
        ``length`` minus the cover's period plus one bytes from there: its name.
        Names with no equal neighbour in sorted order are settled and go no further.
-    2. Of the sampled suffixes that remain, triples one period apart are named: the recursion. A triple that
+    2. Of the sampled suffixes that remain, triples one period apart are named, once, in place of a recursion. A triple that
        occurs again settles all suffixes from its place up to one period on.
     3. The suffixes around sampled ones that remain, sampled or not, are merged into one order by
        their full length, and neighbours are compared. Settled ones take part only from the first place.
