@@ -44,7 +44,8 @@ def prefix_tree(
     ranges; each writes the end of its path that no earlier one has, in one run, so a node stands
     before all below it and the ancestors of a node lie in as many intervals as there are runs on its
     path. Places are running sums inside a range and over ranges. Lengths and positions count
-    characters (code points). Work is linear in the turns, however long a conversation. A turn that a
+    characters (code points). A conversation is one row, and its path and places are copied at each turn, so
+    that part of the work grows with the square of the turns of one conversation. A turn that a
     third of all conversations begin with is combined before the shuffle and written once.
 
     Turns are in order of number, then role and text, so ties and repeated rows have
