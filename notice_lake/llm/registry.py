@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from notice_lake.llm import filter_audit, fingerprints
 from notice_lake.llm.chat_tree import digests, prefix_tree, read_back
 from notice_lake.llm.lattice import near_vectors
 from notice_lake.llm.mixing import mix_sources
@@ -68,6 +70,25 @@ def op10_chat_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(read_back(nodes, leaves), leaves)
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = filter_audit.failures(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return filter_audit.audit(rows, filter_audit.LETTERS, measures={"good_lost": "good", "toxic_lost": "toxic"})
+
+
+def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fingerprints.edited_fingerprints(_table(spark, sf_dir, "documents"))
+    own = F.col("sketch")
+    return rows.select(
+        "doc_id",
+        "n_chars",
+        "edited_sha256",
+        fingerprints.as_text(own).alias("fingerprint"),
+        fingerprints.as_text(F.col("edited_sketch")).alias("edited_fingerprint"),
+        fingerprints.resemblance(own, F.col("edited_sketch")).alias("near_edited"),
+        fingerprints.resemblance(own, F.col("next_sketch")).alias("near_next"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -81,6 +102,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_wrapper_text,
         op9_toxicity,
         op10_chat_tree,
+        op11_filter_audit,
+        op13_fingerprints,
     )
 }
 
@@ -172,7 +195,100 @@ SELECT vec_id, coalesce(n_links, 0)::BIGINT AS n_links, component_id, vec_id = c
 FROM embeddings JOIN groups ON node = vec_id LEFT JOIN degrees ON a = vec_id
 """
 
+_AUDIT = f"""
+WITH texts AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, {_WORDS} AS w FROM documents),
+marks AS (
+  SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+judged AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic, concat(
+    CASE WHEN len(w) < 50 THEN 'A' END, CASE WHEN 100 * len(list_distinct(w)) < 65 * len(w) THEN 'B' END,
+    CASE WHEN 100 * len(regexp_extract_all(t, '[A-Z]')) > 5 * length(t) THEN 'C' END,
+    CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' END,
+    CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 'E' END) AS fails
+  FROM texts LEFT JOIN marks USING (doc_id)),
+counted AS (
+  SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+  FROM judged GROUP BY part, fails),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+orders AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order
+  FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+steps AS (
+  SELECT filter_order, step::INTEGER AS step, filter_order[step] AS x, left(filter_order, step - 1) AS earlier
+  FROM orders, range(1, 6) r(step)),
+results AS (
+  SELECT part, filter_order, step, x,
+    sum(n) FILTER (translate(fails, earlier || x, '') = fails) AS kept,
+    sum(n) FILTER (contains(fails, x) AND translate(fails, earlier, '') = fails) AS removed,
+    sum(n) FILTER (contains(fails, x) AND translate(fails, earlier, '') <> fails) AS redundant,
+    sum(n) FILTER (fails = x) AS unique_fails,
+    sum(good) FILTER (contains(fails, x) AND translate(fails, earlier, '') = fails) AS good_lost,
+    sum(toxic) FILTER (contains(fails, x) AND translate(fails, earlier, '') = fails) AS toxic_lost
+  FROM counted, steps GROUP BY part, filter_order, step, x)
+SELECT part, filter_order, step, coalesce(kept, 0)::BIGINT AS kept, coalesce(removed, 0)::BIGINT AS removed,
+  coalesce(redundant, 0)::BIGINT AS redundant, coalesce(unique_fails, 0)::BIGINT AS unique_fails,
+  coalesce(good_lost, 0)::BIGINT AS good_lost, coalesce(toxic_lost, 0)::BIGINT AS toxic_lost,
+  coalesce(sum(removed) OVER (PARTITION BY part, x), 0)::BIGINT AS shapley
+FROM results
+"""
+
+
+
+def _hash_sql(which: int, prime: int, first: int, factors: list[int], words: int) -> str:
+    """One residue of the hash of the shingle ``w[i:i + m - 1]``."""
+    terms = [f"coalesce(({f})::HUGEINT * (('0x' || md5(s[{k}])[{first}:{first + 7}])::BIGINT % {prime}), 0)" for k, f in enumerate(factors[:words], 1)]
+    return f"(({' + '.join(terms)} + {factors[words]}::HUGEINT * len(s)) % {prime})"
+
+
+def _fingerprint_sql(sketch: fingerprints.Sketch = fingerprints.Sketch()) -> str:
+    words, k = sketch.words, sketch.k
+    factors = fingerprints.coefficients(words).tolist()
+    high, low = (_hash_sql(i, p, 1 + 8 * i, factors[i], words) for i, p in enumerate(fingerprints.PRIMES))
+
+    def words_of(text: str) -> str:
+        return f"regexp_extract_all(translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+')"
+
+    def hex_of(sketch: str) -> str:
+        return f"array_to_string(list_transform({sketch}, lambda x: printf('%016x', x)), '')"
+
+    def like(a: str, b: str) -> str:
+        least = f"least(CASE WHEN len({a}) < {k} THEN {fingerprints.SCALE} ELSE {a}[{k}] END, CASE WHEN len({b}) < {k} THEN {fingerprints.SCALE} ELSE {b}[{k}] END)"
+        seen = [f"list_filter({x}, lambda x: x < {least})" for x in (a, b)]
+        both = f"len(list_intersect({seen[0]}, {seen[1]}))"
+        return f"CASE WHEN len({a}) + len({b}) = 0 THEN 1.0 ELSE {both}::DOUBLE / (len({seen[0]}) + len({seen[1]}) - {both}) END"
+
+    return f"""
+WITH ordered AS (
+  SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n, row_number() OVER (ORDER BY doc_id DESC) AS i
+  FROM documents),
+edits AS (
+  SELECT x.doc_id, x.i, x.n, x.t, left(x.t, x.n - x.n // 2) || left(y.t, x.n // 2) AS e
+  FROM ordered x JOIN ordered y ON y.i = x.i % (SELECT count(*) FROM documents) + 1),
+parts AS (
+  SELECT doc_id, false AS edited, {words_of("t")} AS w FROM edits
+  UNION ALL SELECT doc_id, true, {words_of("e")} FROM edits),
+shingles AS (
+  SELECT doc_id, edited, w[i:i + {words - 1}] AS s
+  FROM (SELECT *, unnest(range(1, greatest(len(w) - {words - 1}, least(len(w), 1)) + 1)) AS i FROM parts)),
+hashes AS (
+  SELECT DISTINCT doc_id, edited, ({high} * 2147483648 + {low})::BIGINT AS h FROM shingles),
+sketches AS (
+  SELECT doc_id, edited, list(h ORDER BY h)[1:{k}] AS sketch FROM hashes GROUP BY doc_id, edited),
+joined AS (
+  SELECT d.*, coalesce(a.sketch, []) AS a, coalesce(b.sketch, []) AS b
+  FROM edits d LEFT JOIN sketches a ON a.doc_id = d.doc_id AND NOT a.edited
+  LEFT JOIN sketches b ON b.doc_id = d.doc_id AND b.edited)
+SELECT x.doc_id, x.n::BIGINT AS n_chars, sha256(x.e) AS edited_sha256, {hex_of("x.a")} AS fingerprint,
+  {hex_of("x.b")} AS edited_fingerprint, {like("x.a", "x.b")} AS near_edited, {like("x.a", "y.a")} AS near_next
+FROM joined x JOIN joined y ON y.i = x.i % (SELECT count(*) FROM documents) + 1
+"""
+
+
 ORACLE: dict[str, str] = {
+    "op13_fingerprints": _fingerprint_sql(),
+    "op11_filter_audit": _AUDIT,
     "op5_lattice_hash": _VECTORS,
     "op3_ngram_join": _NGRAMS,
     "op6_source_mix": _MIX,
