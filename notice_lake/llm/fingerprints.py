@@ -69,7 +69,8 @@ def shingle_hashes(texts: list[bytes], words: int) -> tuple[np.ndarray, np.ndarr
 def sketch_of(texts: list[bytes], sketch: Sketch) -> list[np.ndarray]:
     """The ``k`` smallest hashes of each text, ascending."""
     values, ends = shingle_hashes(texts, sketch.words)
-    return [np.unique(values[a:e])[: sketch.k] for a, e in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
+    ends = [0, *ends.tolist()]
+    return [np.unique(values[a:e])[: sketch.k] for a, e in zip(ends[:-1], ends[1:], strict=True)]
 
 
 def _arrays(found: list[np.ndarray]) -> pa.Array:

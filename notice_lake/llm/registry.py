@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from notice_lake.llm import filter_audit, fingerprints
+from notice_lake.llm import filter_audit, fingerprints, turn_repair
 from notice_lake.llm.chat_tree import digests, prefix_tree, read_back
+from notice_lake.llm.common import stored
 from notice_lake.llm.lattice import near_vectors
 from notice_lake.llm.mixing import mix_sources
 from notice_lake.llm.ngram_join import near_duplicates
@@ -75,6 +76,12 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(rows, filter_audit.LETTERS, measures={"good_lost": "good", "toxic_lost": "toxic"})
 
 
+def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = _table(spark, sf_dir, "conversations")
+    turns = turn_repair.damaged(conversations)
+    return turn_repair.digests(turns, stored(turn_repair.audits(turns, conversations), "repair-audits"))
+
+
 def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = fingerprints.edited_fingerprints(_table(spark, sf_dir, "documents"))
     own = F.col("sketch")
@@ -103,6 +110,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_toxicity,
         op10_chat_tree,
         op11_filter_audit,
+        op12_turn_repair,
         op13_fingerprints,
     )
 }
@@ -286,7 +294,87 @@ FROM joined x JOIN joined y ON y.i = x.i % (SELECT count(*) FROM documents) + 1
 """
 
 
+#: CRC-32 of an ASCII string, bit by bit; the number is its reversed polynomial.
+_CRC = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split({}, ''), lambda x: ascii(x)::BIGINT)),
+    lambda c, b: list_reduce(list_prepend(xor(c, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+      lambda x, z: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384::BIGINT) ELSE x >> 1 END)), 4294967295::BIGINT)"""
+
+
+def _edit(letter: str, cost: str, after: str) -> str:
+    """``after``, a cost of 8 digits and letters, with an edit before it."""
+    return f"printf('%08d', left({after}, 8)::INTEGER + {cost}) || '{letter}' || substr({after}, 9)"
+
+
+def _taken(state: str) -> str:
+    """Best edit of the current row from a state: delete, keep, or give the role that is waited for."""
+    waits, after = {"e0": ("u", "eu"), "es": ("u", "eu"), "eu": ("a", "ea"), "ea": ("u", "eu")}[state]
+    keeps = f"CASE WHEN NOT gone AND initial = '{waits}' THEN {_edit('K', 'more', after)} ELSE '9' END"
+    system = f", CASE WHEN NOT gone AND initial = 's' THEN {_edit('K', 'more', 'es')} ELSE '9' END" if state == "e0" else ""
+    reroled = f"CASE WHEN NOT gone THEN {_edit('R', '3 + more', after)} ELSE '9' END"
+    return f"least({_edit('D', '4', state)}, {keeps}{system}, {reroled})"
+
+
+def _inserted(state: str, *after: str) -> str:
+    """Best of a state's own edit and up to two insertions before that of the states they lead to."""
+    ways = [state, _edit("I", "3", after[0]), *[_edit("I", "3", f"({_edit('I', '3', x)})") for x in after[1:]]]
+    return f"least({', '.join(ways)})"
+
+
+_REPAIR = f"""
+WITH RECURSIVE damage AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    {_CRC.format("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS fault
+  FROM conversations),
+turns AS (
+  SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+    CASE fault WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(range(CASE fault WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy
+  FROM damage),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS i FROM turns),
+judged AS (
+  SELECT *, left(role, 1) AS initial, NOT regexp_matches(text, '[^\\x20\\x09-\\x0D]') AS blank,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+    NOT regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*\\z') AS cut,
+    lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS previous
+  FROM placed),
+faults AS (
+  SELECT conv_id, max(i) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (blank) AS blank, count(*) FILTER (again AND NOT blank) AS duplicate,
+    count(*) FILTER (cut AND NOT again AND NOT blank) AS truncated,
+    count(*) FILTER (previous || initial NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM judged GROUP BY conv_id),
+ways AS (
+  SELECT conv_id, n + 1 AS i, '00000000' AS e0, '00000006II' AS es, '00000003I' AS eu, '00000000' AS ea FROM faults
+  UNION ALL
+  SELECT conv_id, i, {_inserted("e0", "eu", "ea")}, {_inserted("es", "eu", "ea")}, {_inserted("eu", "ea")}, {_inserted("ea", "eu")}
+  FROM (
+    SELECT w.conv_id, j.i, {_taken("e0")} AS e0, {_taken("es")} AS es, {_taken("eu")} AS eu, {_taken("ea")} AS ea
+    FROM ways w JOIN (SELECT *, blank OR again AS gone, CASE WHEN cut THEN 3 ELSE 0 END AS more FROM judged) j
+    ON j.conv_id IS NOT DISTINCT FROM w.conv_id AND j.i = w.i - 1) x),
+audited AS (
+  SELECT conv_id, left(e0, 8)::BIGINT AS cost, substr(e0, 9) AS audit FROM ways WHERE i = 1),
+edits AS (
+  SELECT conv_id, p, audit[p] AS letter, length(replace(left(audit, p), 'I', '')) AS i,
+    length(replace(left(audit, p), 'D', '')) - 1 - length(replace(audit, 'D', '')) % 2 AS place
+  FROM (SELECT *, unnest(range(1, length(audit) + 1)) AS p FROM audited)),
+lines AS (
+  SELECT e.conv_id, p, CASE WHEN letter = 'K' THEN role WHEN place < 0 THEN 'system' WHEN place % 2 = 0 THEN 'user'
+    ELSE 'assistant' END || ':' || CASE WHEN letter = 'I' THEN '' ELSE text END AS line
+  FROM edits e LEFT JOIN judged j ON j.conv_id IS NOT DISTINCT FROM e.conv_id AND j.i = e.i
+  WHERE letter <> 'D'),
+hashed AS (
+  SELECT conv_id, sha256(string_agg(line, chr(10) ORDER BY p)) AS repaired_sha256 FROM lines GROUP BY conv_id)
+SELECT c.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank,
+  coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+  coalesce(illegal, 0)::BIGINT AS illegal, coalesce(cost, 0)::BIGINT AS cost, coalesce(audit, '') AS audit,
+  coalesce(repaired_sha256, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN faults f ON f.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN audited a ON a.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN hashed h ON h.conv_id IS NOT DISTINCT FROM c.conv_id
+"""
+
 ORACLE: dict[str, str] = {
+    "op12_turn_repair": _REPAIR,
     "op13_fingerprints": _fingerprint_sql(),
     "op11_filter_audit": _AUDIT,
     "op5_lattice_hash": _VECTORS,

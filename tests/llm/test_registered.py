@@ -27,7 +27,7 @@ def test_operator_equals_sql(spark, duck, sf_dir, name):
 
 def test_each_operator_is_registered():
     numbers = sorted(int(n[2:].split("_")[0]) for n in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert {*QUERIES, "pipeline"} <= set(entry_points.queries())
 
 
