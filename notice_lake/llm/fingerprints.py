@@ -165,8 +165,11 @@ class _Ranges:
     #: The first of the parts that a stretch is dealt to; one more entry than stretches.
     parts: np.ndarray
 
-    def part_of(self, doc_id: pa.Array, key: pa.Array, salt: pa.Array) -> np.ndarray:
-        """The part of each row: the last stretch that does not start after it. Copies are dealt by ``salt``."""
+    def place(self, doc_id: pa.Array, key: pa.Array, salt: pa.Array) -> pa.Array:
+        """Of each row the part, in the last stretch that does not start after it; copies are dealt by ``salt``.
+
+        And of rows at the start of a stretch, the first and last part of the stretch before, circularly.
+        """
         none = np.asarray(doc_id.is_null())
         ids = ~np.asarray(doc_id.cast(pa.int64()).fill_null(0))
         keys = np.asarray(key)
@@ -179,15 +182,19 @@ class _Ranges:
             rows = (low == a) & (high == e)
             at[rows] = a - 1 + np.searchsorted(self.keys[a:e], keys[rows], "right")
         width = self.parts[at + 1] - self.parts[at]
-        return self.parts[at] + np.asarray(salt) % width
+        part = self.parts[at] + np.asarray(salt) % width
+        inside = (self.none[at] != none) | (self.keys[at] != keys) | (~none & (self.ids[at] != ids))
+        before = (at - 1) % len(self.ids)
+        low, high = pa.array(self.parts[before], mask=inside), pa.array(self.parts[before + 1] - 1, mask=inside)
+        return pa.StructArray.from_arrays([pa.array(part), low, high], ["part", "low", "high"])
 
 
 def _order() -> list[Column]:
     return [F.col("doc_id").desc_nulls_last(), F.col("key")]
 
 
-def _stretches(rows: DataFrame, range_bytes: int) -> tuple[_Ranges, list[tuple]]:
-    """Stretches of at most about ``range_bytes`` of text, and of each (id, key) at its start, the parts of the stretch before it.
+def _stretches(rows: DataFrame, range_bytes: int) -> _Ranges:
+    """Stretches of at most about ``range_bytes`` of text.
 
     Copies (equal id and text) whose texts are longer together are a stretch of their own, dealt to several parts.
     """
@@ -207,15 +214,12 @@ def _stretches(rows: DataFrame, range_bytes: int) -> tuple[_Ranges, list[tuple]]
     )
     starts.sort(key=lambda r: (r.doc_id is None, -(r.doc_id or 0), r.key))
     parts = np.cumsum([0] + [r.pieces for r in starts])
-    ranges = _Ranges(
+    return _Ranges(
         ~np.array([r.doc_id or 0 for r in starts], np.int64),
         np.array([r.doc_id is None for r in starts], bool),
         np.array([r.key for r in starts], np.int64),
         parts,
     )
-    before_it = [(i - 1) % len(starts) for i in range(len(starts))]
-    heads = [(r.doc_id, r.key, int(parts[j]), int(parts[j + 1]) - 1) for r, j in zip(starts, before_it, strict=True)]
-    return ranges, heads
 
 
 def _edited(rows: pa.Table, *, sketch: Sketch) -> pa.Table:
@@ -263,21 +267,17 @@ def edited_fingerprints(docs: DataFrame, sketch: Sketch = Sketch(), range_bytes:
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("key"))
-    ranges, heads = _stretches(rows, range_bytes)
-
-    @F.arrow_udf("long")
-    def part_of(doc_id: pa.Array, key: pa.Array, salt: pa.Array) -> pa.Array:
-        return pa.array(ranges.part_of(doc_id, key, salt), pa.int64())
-
-    kind = docs.schema["doc_id"].dataType
-    fields = [T.StructField("id", kind), T.StructField("start", T.LongType()), *[T.StructField(c, T.LongType()) for c in ("low", "high")]]
-    starts = docs.sparkSession.createDataFrame(heads, T.StructType(fields))
-    own = rows.withColumn("part", part_of("doc_id", "key", F.monotonically_increasing_id()))
-    lent = (
-        rows.join(starts, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("key") == F.col("start")))
-        .groupBy("doc_id", "key").agg(*[F.any_value(c).alias(c) for c in ("text", "low", "high")])
-        .select("doc_id", "text", "key", F.explode(F.sequence("low", "high")).alias("part"), F.lit(True).alias("lent"))
-    )
+    ranges = _stretches(rows, range_bytes)
+
+    @F.arrow_udf("part: long, low: long, high: long")
+    def place(doc_id: pa.Array, key: pa.Array, salt: pa.Array) -> pa.Array:
+        return ranges.place(doc_id, key, salt)
+
+    placed = rows.withColumn("place", place("doc_id", "key", F.monotonically_increasing_id()))
+    own = placed.select("doc_id", "text", "key", "place.part", F.lit(False).alias("lent"))
+    starts = placed.where("place.low IS NOT NULL").groupBy("doc_id", "key")
+    lent = starts.agg(*[F.any_value(c).alias(c.split(".")[-1]) for c in ("text", "place.low", "place.high")])
+    lent = lent.select("doc_id", "text", "key", F.explode(F.sequence("low", "high")).alias("part"), F.lit(True).alias("lent"))
     schema = T.StructType(
         [
             docs.schema["doc_id"],
@@ -286,7 +286,7 @@ def edited_fingerprints(docs: DataFrame, sketch: Sketch = Sketch(), range_bytes:
             *[T.StructField(c, T.ArrayType(T.LongType())) for c in ("sketch", "edited_sketch", "next_sketch")],
         ]
     )
-    dealt = own.withColumn("lent", F.lit(False)).unionByName(lent)
+    dealt = own.unionByName(lent)
 
     def of_part(rows: pa.Table) -> pa.Table:
         return _edited(rows, sketch=sketch)
