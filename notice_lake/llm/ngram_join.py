@@ -20,8 +20,8 @@ class NgramJoin:
     """``words`` of a shingle; ``percent``: least intersection in hundredths of the union.
 
     ``counted``: how many of four shingles take part in the count of documents by shingle.
-    ``bits`` of the signature that bounds an overlap from above. ``rounds`` of comparing each
-    document with ``leaders`` others, before all candidates that are still apart are compared.
+    ``bits`` of the signature that bounds an overlap from above. In each round a document is compared with up to ``leaders``
+    others, of two out of every ``group`` in a tile.
     """
 
     words: int = 5
@@ -29,8 +29,8 @@ class NgramJoin:
     block_bytes: int = 3_000_000
     counted: int = 3
     bits: int = 4096
-    rounds: int = 2
     leaders: int = 4
+    group: int = 16
 
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -39,6 +39,8 @@ _BLANK = np.zeros(256, bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
 #: Order of a shingle that is not counted, or that one document has.
 _UNCOUNTED, _ALONE = 255, 0
+#: So many prefix shingles before one tell that a pair has met already.
+_JUST_BEFORE = 4
 
 
 def shingles(texts: Texts, words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -209,17 +211,26 @@ def _bound(a: str, b: str) -> Column:
     return F.col(f"{a}.n") - missing
 
 
+def possible(pairs: DataFrame, sets: DataFrame, join: NgramJoin) -> DataFrame:
+    """The pairs ``a``, ``b`` whose signatures allow the needed overlap; of the sets only sizes and signatures move."""
+    small = sets.select("rep", F.struct("n", "bitmap").alias("set"))
+    rows = (
+        pairs.join(small.select(F.col("rep").alias("a"), F.col("set").alias("x")), "a")
+        .join(small.select(F.col("rep").alias("b"), F.col("set").alias("y")), "b")
+    )
+    enough = F.least(_bound("x", "y"), _bound("y", "x")) >= _room(F.col("x.n"), F.col("y.n"), join)
+    return rows.where(enough).select("a", "b")
+
+
 def verified(pairs: DataFrame, sets: DataFrame, join: NgramJoin) -> DataFrame:
-    """The pairs ``a``, ``b`` whose sets are similar enough: first by signatures, then exactly."""
-    packed = sets.select("rep", F.struct("n", "bitmap", "shingles").alias("set"))
+    """The pairs ``a``, ``b`` whose sets are similar enough, exactly."""
+    packed = sets.select("rep", F.struct("n", "shingles").alias("set"))
     rows = (
         pairs.join(packed.select(F.col("rep").alias("a"), F.col("set").alias("x")), "a")
         .join(packed.select(F.col("rep").alias("b"), F.col("set").alias("y")), "b")
     )
     both = F.size(F.array_intersect("x.shingles", "y.shingles"))
-    similar = 100 * both >= join.percent * (F.col("x.n") + F.col("y.n") - both)
-    possible = F.least(_bound("x", "y"), _bound("y", "x")) >= _room(F.col("x.n"), F.col("y.n"), join)
-    return rows.where(F.when(possible, similar).otherwise(False)).select("a", "b")
+    return rows.where(100 * both >= join.percent * (F.col("x.n") + F.col("y.n") - both)).select("a", "b")
 
 
 def near_duplicates(
@@ -233,10 +244,11 @@ def near_duplicates(
     1. Blocks of documents count shingles by exchanging digests through buckets.
     2. Each document gets the prefix of its set in order of that count. Documents with a prefix that
        only they have can have no links and go no further. Equal sets go on as one.
-    3. Sets that share a prefix shingle are candidates, in tiles of similar size. In a few rounds each is
-       compared with the leaders that it meets most (two per tile, other ones in each round) and that
-       it is not connected with; links found connect documents. All candidates that are still apart are
-       then compared within the tiles.
+    3. Sets that share a prefix shingle are candidates, in tiles of similar size. In rounds each is
+       compared with some leaders that it meets most (two per group of a tile, by chance other ones in each round) and that
+       it is not connected with; links found connect documents. Rounds go on until the links that one
+       finds, times the sets of the largest part, are no more than all places: then what is apart from that part is so little
+       that all candidates that are still apart can be compared.
     4. A candidate must have room for the needed overlap after the places of the shared shingle, and
        by the signatures' bit counts; then the sets are intersected exactly.
 
@@ -296,37 +308,63 @@ def _links(sets: DataFrame, join: NgramJoin) -> DataFrame:
         "ngram-places",
     )
     found = None
+    parts = places.select("rep").distinct().select("rep", F.col("rep").alias("part"))
     named = places.withColumn("part", F.col("rep"))
-    for number in range(join.rounds):
-        more = stored(verified(stored(_met(named, number, join), "ngram-met"), sets, join), "ngram-first")
-        if more.isEmpty():
-            break
-        found = more if found is None else found.union(more)
-        parts = components(found)
-        named = stored(
-            places.join(parts, places.rep == parts.node, "left")
-            .select("shingle", "rep", "n", "band", "place", F.coalesce("component", "rep").alias("part")),
-            "ngram-named",
-        )
-    pairs = stored(_apart(named, sets, join), "ngram-pairs")
-    rest = verified(pairs, sets, join)
+    number, count = 0, places.count()
+    links = largest = count
+    while links * largest > count:
+        pairs = stored(possible(stored(_met(named, number, join), "ngram-met"), sets, join), "ngram-possible")
+        more = stored(verified(pairs, sets, join), "ngram-found")
+        links = more.count()
+        if links:
+            found = more if found is None else found.union(more)
+            parts = stored(_joined_parts(parts, more), "ngram-parts")
+            largest = parts.groupBy("part").agg(F.count("*").alias("k")).agg(F.max("k")).first()[0]
+            named = stored(places.join(parts, "rep"), "ngram-named")
+        number += 1
+    rest = verified(stored(_apart(named, sets, join), "ngram-pairs"), sets, join)
     return rest if found is None else found.union(rest)
 
 
+def _joined_parts(parts: DataFrame, links: DataFrame) -> DataFrame:
+    """The part of each set, after new links between parts."""
+    ends = [parts.select(F.col("rep").alias(x), F.col("part").alias(f"part_{x}")) for x in "ab"]
+    between = links.join(ends[0], "a").join(ends[1], "b").select(F.col("part_a").alias("a"), F.col("part_b").alias("b"))
+    merged = components(between)
+    return parts.join(merged, parts.part == merged.node, "left").select("rep", F.coalesce("component", "part").alias("part"))
+
+
+def _in_tiles(named: DataFrame) -> DataFrame:
+    """Sets in the tiles where they meet others: a set of size band k meets those of its own band and of the one below."""
+    return named.withColumn("own", F.col("band")).withColumn("band", F.explode(F.array(F.col("band"), F.col("band") - 1)))
+
+
+def _apart_somewhere(named: DataFrame) -> DataFrame:
+    """Shingles with sets that are not connected."""
+    parts = named.groupBy("shingle").agg(F.min("part").alias("low"), F.max("part").alias("high"))
+    return stored(parts.where("low <> high").select("shingle"), "ngram-apart")
+
+
 def _met(named: DataFrame, number: int, join: NgramJoin) -> DataFrame:
-    """Each document with the leaders it meets most, of those it is not connected with."""
-    order = F.struct(F.xxhash64("rep", F.lit(number)).alias("h"), "rep", "part", "n")
-    tiles = named.groupBy("shingle", "band").agg(
-        F.min(order).alias("low"), F.max(order).alias("high"), F.min("part").alias("p"), F.max("part").alias("q")
-    )
-    leaders = stored(
-        tiles.where("p <> q").select("shingle", "band", F.explode(F.array("low", "high")).alias("x"))
-        .select("shingle", "band", F.col("x.rep").alias("leader"), F.col("x.part").alias("of"), F.col("x.n").alias("size")).distinct(),
-        "ngram-leaders",
+    """Each document with the leaders it meets most, of those it is not connected with.
+
+    Chance deals the members of a tile to groups of about ``join.group`` and makes two of a group its leaders, so each
+    document meets others than the rest of its tile does, and a tile of any size is many groups.
+    """
+    tile = ["shingle", "band"]
+    members = stored(_in_tiles(named.join(_apart_somewhere(named), "shingle")).select(*tile, "rep", "part", "n"), "ngram-members")
+    groups = stored(members.groupBy(*tile).agg(F.ceil(F.count("*") / join.group).alias("groups")), "ngram-groups")
+    chance = F.xxhash64("rep", F.lit(number))
+    dealt = members.join(groups, tile).withColumn("group", F.pmod(chance, F.col("groups")))
+    order = F.struct(F.xxhash64("rep", "shingle", F.lit(number)).alias("h"), "rep", "part", "n")
+    leaders = (
+        dealt.groupBy(*tile, "group").agg(F.min(order).alias("low"), F.max(order).alias("high"))
+        .select(*tile, "group", F.explode(F.array("low", "high")).alias("x"))
+        .select(*tile, "group", F.col("x.rep").alias("leader"), F.col("x.part").alias("of"), F.col("x.n").alias("size")).distinct()
     )
     similar = 100 * F.least("n", "size") >= join.percent * F.greatest("n", "size")
     met = (
-        named.join(leaders, ["shingle", "band"]).where((F.col("part") != F.col("of")) & similar)
+        dealt.join(stored(leaders, "ngram-leaders"), [*tile, "group"]).where((F.col("part") != F.col("of")) & similar)
         .groupBy("rep", "leader").agg(F.count("*").alias("times"))
         .groupBy("rep").agg(F.array_sort(F.collect_list(F.struct((-F.col("times")).alias("k"), "leader"))).alias("all"))
     )
@@ -336,24 +374,25 @@ def _met(named: DataFrame, number: int, join: NgramJoin) -> DataFrame:
 
 
 def _apart(named: DataFrame, sets: DataFrame, join: NgramJoin) -> DataFrame:
-    """All candidates that are not connected and that sizes, places and signatures allow."""
-    shingles_apart = named.groupBy("shingle").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high")
-    rest = named.join(stored(shingles_apart.select("shingle"), "ngram-apart"), "shingle")
-    rest = stored(rest.join(sets.select("rep", "bitmap"), "rep"), "ngram-rest")
-    # A set of size band k meets those of its own band and of the next one.
-    right = rest.withColumn("own", F.col("band")).withColumn("band", F.explode(F.array(F.col("band"), F.col("band") - 1)))
-    x, y = rest.alias("x"), right.alias("y")
+    """All candidates that are not connected and that sizes, places and signatures allow.
+
+    A pair leaves the join where its prefixes begin to share shingles: not where they also share one just before, from where
+    it has left already, as all other conditions are weaker there.
+    """
+    rest = named.join(_apart_somewhere(named), "shingle").join(sets.select("rep", "bitmap", "prefix"), "rep")
+    at = F.array_position("prefix", F.col("shingle")).cast("int")
+    first = F.greatest(at - _JUST_BEFORE, F.lit(1))
+    rest = stored(rest.withColumn("earlier", F.slice("prefix", first, at - first)).drop("prefix"), "ngram-rest")
+    x, y = rest.alias("x"), _in_tiles(rest).alias("y")
     need = _room(F.col("x.n"), F.col("y.n"), join)
-    # Where this is the first prefix shingle that both have, the overlap lies from here on in both.
-    left_room = F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place"))
-    pairs = x.join(
-        y,
-        (F.col("x.shingle") == F.col("y.shingle"))
-        & (F.col("x.band") == F.col("y.band"))
-        & (F.col("x.part") != F.col("y.part"))
-        & ((F.col("y.own") > F.col("x.band")) | (F.col("x.rep") < F.col("y.rep")))
-        & (F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * join.percent)
-        & (left_room >= need)
-        & (F.least(_bound("x", "y"), _bound("y", "x")) >= need),
+    room = F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place"))
+    open_ = (
+        F.when(F.col("x.part") == F.col("y.part"), False)
+        .when((F.col("y.own") == F.col("x.band")) & (F.col("x.rep") > F.col("y.rep")), False)
+        .when(F.least("x.n", "y.n") * 100 < F.greatest("x.n", "y.n") * join.percent, False)
+        .when(room < need, False)
+        .when(F.arrays_overlap("x.earlier", "y.earlier"), False)
+        .otherwise(F.least(_bound("x", "y"), _bound("y", "x")) >= need)
     )
+    pairs = x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.band") == F.col("y.band")) & open_)
     return pairs.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
