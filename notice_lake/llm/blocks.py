@@ -69,36 +69,71 @@ def mixed(values: np.ndarray) -> np.ndarray:
 
 
 def _powers_of(which: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of a base modulo 2^64 (the first) or 2^32, and of its inverse; kept for the next block."""
+    """Powers of a base modulo 2^32, and of its inverse; kept for the next block."""
     if which not in _powers or len(_powers[which][0]) < n:
         both = []
-        for base in (_BASE[which], pow(_BASE[which], -1, 2**64)):
-            kind = (np.uint64, np.uint32)[which]
-            p = np.full(n, base & np.iinfo(kind).max, kind)
+        for base in (_BASE[which], pow(_BASE[which], -1, 2**32)):
+            p = np.full(n, base & 0xFFFFFFFF, np.uint32)
             p[:1] = 1
             both.append(np.multiply.accumulate(p))
         _powers[which] = (both[0], both[1])
     return _powers[which]
 
 
+#: Moduli of ``Rolling``, the largest primes below 2^31.
+_PRIMES = (2_147_483_647, 2_147_483_629)
+
+
+def _prime_powers(which: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of a base modulo a prime, and of its inverse; kept for the next block."""
+    key, prime = len(_BASE) + which, _PRIMES[which]
+    if key not in _powers or len(_powers[key][0]) < n:
+        base = _BASE[which] % prime
+        both = []
+        for factor in (base, pow(base, -1, prime)):
+            p = np.ones(n, np.uint32)
+            done, step = 1, factor
+            while done < n:
+                more = min(done, n - done)
+                p[done : done + more] = p[:more].astype(np.uint64) * np.uint64(step) % np.uint64(prime)
+                done, step = done + more, step * step % prime
+            both.append(p)
+        _powers[key] = (both[0], both[1])
+    return _powers[key]
+
+
 class Rolling:
-    """64-bit digests of any stretches of an array of bytes."""
+    """64-bit digests of any stretches of an array of bytes: polynomials modulo two primes.
+
+    Modulo a power of two, texts can be made that differ and have equal digests whatever the base.
+    """
 
     def __init__(self, data: np.ndarray):
-        up, self._down = _powers_of(0, len(data) + 1)
-        self._sums = np.zeros(len(data) + 1, np.uint64)
-        values = _CODES[0][data]
-        values *= up[: len(data)]
-        np.cumsum(values, out=self._sums[1:])
+        self._sums, self._down = [], []
+        for which, prime in enumerate(_PRIMES):
+            up, down = _prime_powers(which, len(data) + 1)
+            values = (_CODES[which] % np.uint64(prime))[data]
+            values *= up[: len(data)]
+            values %= np.uint64(prime)
+            sums = np.zeros(len(data) + 1, np.uint64)
+            np.cumsum(values, out=sums[1:])
+            self._sums.append(sums)
+            self._down.append(down)
 
     def digest(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        values = self._sums[end] - self._sums[start]
-        values *= self._down[start]
-        return mixed(values)
+        found = np.zeros(len(start), np.uint64)
+        for sums, down, prime in zip(self._sums, self._down, _PRIMES, strict=True):
+            values = sums[end] - sums[start]
+            values %= np.uint64(prime)
+            values *= down[start]
+            values %= np.uint64(prime)
+            found <<= np.uint64(31)
+            found |= values
+        return mixed(found)
 
 
 def short_digests(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """32-bit digests, independent of those of ``Rolling``."""
+    """32-bit digests, independent of those of ``Rolling``; they only choose a bucket."""
     up, down = _powers_of(1, len(data) + 1)
     sums = np.zeros(len(data) + 1, np.uint32)
     values = _CODES[1].astype(np.uint32)[data]

@@ -26,7 +26,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return remove_repeats(_table(spark, sf_dir, "documents")).drop("spans", "kept_text")
+    return remove_repeats(_table(spark, sf_dir, "documents"), kept_text=True).drop("spans")
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -30,10 +30,14 @@ from notice_lake.llm.common import stored
 
 @dataclass(frozen=True)
 class SuffixDedup:
-    """``length``: bytes that make a repeat. ``block_bytes``: text of a block (a longer document is a block of its own)."""
+    """``length``: bytes that make a repeat. ``block_bytes``: text of a block (a longer document is a block of its own).
+
+    ``words``: a run of repeats with fewer words than so many, pieces of words at its ends included, stays.
+    """
 
     length: int = 400
     block_bytes: int = 3_000_000
+    words: int = 0
 
 
 def difference_cover(length: int) -> tuple[int, np.ndarray]:
@@ -191,6 +195,12 @@ def _finish(rows: pa.Table, side: pa.Table, *, dedup: SuffixDedup, buckets: int,
                 edge = np.diff(gone.view(np.int8), prepend=0, append=0)
                 ends = zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist(), strict=True)
                 spans = [{"start": x, "end": y} for x, y in ends]
+                if dedup.words:
+                    spans = [x for x in spans if len(data[x["start"] : x["end"]].tobytes().split()) >= dedup.words]
+                    gone = np.zeros(n, bool)
+                    for x in spans:
+                        gone[x["start"] : x["end"]] = True
+                    kept = data[~gone].tobytes()
             out["n_bytes"].append(n)
             out["n_removed"].append(int(gone.sum()))
             out["n_spans"].append(len(spans))
@@ -214,7 +224,7 @@ def remove_repeats(
     """Removes each byte inside a string of ``length`` bytes that also starts anywhere else.
 
     Texts are UTF-8 bytes; matches never cross documents, overlaps count, and strings are
-    judged on the input. The order of suffixes matters only up to ``length`` bytes and only as to which are
+    judged on the input. With ``words``, runs of such bytes with too few words stay. The order of suffixes matters only up to ``length`` bytes and only as to which are
     equal, so a suffix is named by a digest and names are sorted inside buckets of digests:
 
     1. Suffixes at positions of a difference cover are sampled. Two equal strings

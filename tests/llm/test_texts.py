@@ -101,6 +101,34 @@ def test_suffix_dedup_of_odd_rows(odd_docs, no_docs):
     assert remove_repeats(no_docs).count() == 0
 
 
+def twins():
+    """Two unlike texts whose polynomials modulo 2^64 are equal for every base: the Thue-Morse sequence and its opposite."""
+    bits = [bin(k).count("1") % 2 for k in range(1024)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+def test_unlike_texts_with_equal_polynomials_are_told_apart(spark):
+    one, two = twins()
+    docs = spark.createDataFrame([(1, one), (2, two), (3, one + " and more"), (4, two + " or less")], "doc_id long, text string")
+    found = {r.doc_id: r.component_id for r in near_duplicates(docs.where("doc_id < 3")).collect()}
+    assert found == {1: 1, 2: 2}
+    rows = remove_repeats(docs.where("doc_id < 3"), SuffixDedup(length=1024)).collect()
+    assert [r.n_removed for r in rows] == [0, 0]
+    rows = remove_repeats(docs, SuffixDedup(length=1024)).collect()
+    assert [r.n_removed for r in sorted(rows)] == [1024] * 4
+
+
+def test_short_runs_of_repeats_stay(spark):
+    long, short = " ".join(f"word{k}" for k in range(60)), " ".join(f"s{k}" for k in range(45))
+    texts = [f"one {long} end", f"other {long} stop", f"a {short} b", f"c {short} d"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = sorted(remove_repeats(docs, SuffixDedup(length=100, words=51), kept_text=True).collect())
+    assert [r.n_spans for r in rows] == [1, 1, 0, 0]
+    assert [r.kept_text for r in rows] == ["oneend", "otherstop", texts[2], texts[3]]
+    assert all(hashlib.sha256(r.kept_text.encode()).hexdigest() == r.kept_sha256 for r in rows)
+    assert [r.n_removed for r in remove_repeats(docs, SuffixDedup(length=100)).orderBy("doc_id").collect()] == [len(long) + 2] * 2 + [len(short) + 2] * 2
+
+
 def shingle_set(text):
     words = WORD.findall("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
     if len(words) < 5:
