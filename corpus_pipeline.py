@@ -11,7 +11,7 @@ from notice_lake.llm.common import stored
 from notice_lake.llm.mixing import mix_sources
 from notice_lake.llm.ngram_join import near_duplicates
 from notice_lake.llm.packing import pack
-from notice_lake.llm.suffix_dedup import remove_repeats
+from notice_lake.llm.suffix_dedup import SuffixDedup, remove_repeats
 from notice_lake.llm.toxicity import score_toxicity
 
 #: Columns that all stages but the last take and return; others are dropped by the first.
@@ -28,18 +28,26 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, the one with the smallest id.
 
-    Of rows that share that id, the one with the smallest text stays. Rows without an id stay.
+    A document is an id and a text: unlike texts under one id are documents of their own, as are those without an id, which
+    come after all ids. Of rows equal in id and text one stays.
     """
-    groups = near_duplicates(docs).where("doc_id = component_id").select(F.col("doc_id").alias("_id"))
-    kept = docs.join(stored(groups.distinct(), "first-of-group"), F.col("doc_id") == F.col("_id"), "left_semi")
-    one = kept.groupBy("doc_id").agg(F.min(F.struct(*COLUMNS[1:])).alias("d")).select("doc_id", "d.*")
-    return one.unionByName(docs.where("doc_id IS NULL").select(*COLUMNS))
+    rows = docs.withColumn("_row", F.xxhash64("doc_id", F.coalesce("text", F.lit(""))))
+    groups = near_duplicates(rows, doc_id="_row").withColumnRenamed("doc_id", "_row")
+    ids = stored(rows.select("_row", "doc_id").distinct(), "rows-of-groups")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row"))
+    leads = stored(ids.join(groups.distinct(), "_row").groupBy("component_id").agg(first.alias("lead")).select("lead._row"), "first-of-group")
+    kept = rows.join(leads, "_row", "left_semi").groupBy("_row").agg(F.min(F.struct(*COLUMNS)).alias("d"))
+    return kept.select("d.*")
+
+
+#: What the pipeline removes: passages of over fifty words that occur again, found by their bytes.
+PASSAGES = SuffixDedup(length=150, words=51)
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without strings of 400 bytes and more that occur again in the corpus."""
+    """All documents, without the passages of over fifty words that occur again in the corpus."""
     rows = docs.withColumn("_null", F.col("text").isNull())
-    cut = remove_repeats(rows, keep=("lang", "source", "n_chars", "_null"), kept_text=True)
+    cut = remove_repeats(rows, PASSAGES, keep=("lang", "source", "n_chars", "_null"), kept_text=True)
     return cut.select(
         "doc_id",
         F.when(~F.col("_null"), F.col("kept_text")).alias("text"),
