@@ -617,6 +617,27 @@ ORACLE: dict[str, str] = {
         " AS separation_deg FROM angles",
     ),
     "stream_silver": _with(_SILVER, "SELECT * FROM silver"),
+    "stream_dims_bounded": _with(
+        _GOLD, "SELECT spatial_sk, right_ascension, declination, galactic_coords FROM spatial"
+    ),
+    "stream_deliveries": _with(
+        _DAMAGED,
+        f"SELECT {_DELIVERY}, any_value(kafka_key) AS kafka_key, any_value(kafka_value) AS kafka_value"
+        f" FROM damaged GROUP BY {_DELIVERY}",
+    ),
+    "stream_gaps": _with(
+        _DAMAGED
+        | {
+            "offsets": f"SELECT {_DELIVERY}, min(kafka_timestamp) AS ts, max(kafka_timestamp) AS newest"
+            f" FROM damaged GROUP BY {_DELIVERY}",
+            "followed": "SELECT *, lead(kafka_offset) OVER feed AS following, lead(ts) OVER feed AS opened,"
+            " max(newest) OVER (PARTITION BY kafka_topic, kafka_partition) AS latest FROM offsets"
+            " WINDOW feed AS (PARTITION BY kafka_topic, kafka_partition ORDER BY kafka_offset)",
+        },
+        "SELECT kafka_topic, kafka_partition, kafka_offset + 1 AS gap_start, following - 1 AS gap_end,"
+        " following - kafka_offset - 1 AS missing, opened, opened + INTERVAL 1 DAY < latest AS lost"
+        " FROM followed WHERE following - kafka_offset > 1",
+    ),
     "stream_dims": _with(_GOLD, "SELECT sun_moon_sk, sun_position, moon_position FROM sun_moon"),
     "stream_dim_timing": _with(_GOLD, "SELECT timing_sk, grb_date_raw, grb_time_raw FROM timing"),
     "stream_dim_spatial": _with(

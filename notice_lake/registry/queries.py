@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from notice_lake.functions.keys import surrogate_key
-from notice_lake.operators import checks, quality, sequences
+from notice_lake.operators import checks, intervals, quality, sequences
 from notice_lake.operators.layers import (
     DIMENSIONS,
     bronze,
@@ -38,6 +38,7 @@ from notice_lake.schemas import (
 from notice_lake.sources import synthetic
 from notice_lake.sources.scratch import new_folder, stored
 from notice_lake.sources.tables import read_files
+from notice_lake.streaming import bounded, deliveries
 from notice_lake.streaming.fan_out import read_output, start_fan_out
 from notice_lake.streaming.hops import append_to_files, start_dimension
 
@@ -371,6 +372,37 @@ def _stream_dimension(table: str, *columns: str) -> Query:
     return query
 
 
+def stream_dims_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys and key attributes of a dimension whose stream forgets keys."""
+    folder, table = new_folder(spark, "stream-bounded"), "dim_spatial_coords"
+    parsed = silver(_message_stream(spark, sf_dir))
+    bounded.start_bounded_dimension(parsed, table, folder, f"{folder}/checkpoint", algo=WIDE).awaitTermination()
+    rows = bounded.read_dimension(spark, folder, table, algo=WIDE)
+    return rows.select("spatial_sk", "right_ascension", "declination", "galactic_coords")
+
+
+def _taken_once(spark: SparkSession, sf_dir: str) -> str:
+    """The feed after a bad day, delivered in parts that overlap, through the stream that takes each delivery once."""
+    folder, feed = new_folder(spark, "deliveries"), synthetic.damaged(spark, sf_dir)
+    for some in ("kafka_offset % 3 = 0", "true", "kafka_offset % 2 = 0"):
+        feed.where(some).write.mode("append").parquet(f"{folder}/feed")
+    stream = read_files(spark, f"{folder}/feed", schema=feed.schema, streaming=True, max_files_per_trigger=4)
+    deliveries.start_deliveries(stream, folder, f"{folder}/checkpoint").awaitTermination()
+    return folder
+
+
+def stream_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each offset once, from a feed with copies and with whole parts delivered again."""
+    schema = synthetic.damaged(spark, sf_dir).schema
+    return deliveries.read_messages(spark, _taken_once(spark, sf_dir), schema).select(*DELIVERY_KEY, "kafka_key", "kafka_value")
+
+
+def stream_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The holes that are left when all is delivered, and which of them are given up."""
+    clock = synthetic.damaged(spark, sf_dir).schema["kafka_timestamp"].dataType
+    return intervals.holes(deliveries.read_index(spark, _taken_once(spark, sf_dir), clock), "1 DAY")
+
+
 def stream_hops(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze, silver and fact, one streaming query each, stopped and started again."""
     folder = new_folder(spark, "stream-hops")
@@ -484,6 +516,9 @@ QUERIES: dict[str, Query] = {
     "stream_dim_spatial": _stream_dimension(
         "dim_spatial_coords", "spatial_sk", "right_ascension", "declination", "galactic_coords"
     ),
+    "stream_dims_bounded": stream_dims_bounded,
+    "stream_deliveries": stream_deliveries,
+    "stream_gaps": stream_gaps,
     "stream_hops": stream_hops,
     "stream_quarantine": stream_quarantine,
     "stream_fanout": stream_fanout,

@@ -44,7 +44,7 @@ def last_batch(spark: SparkSession, folder: str) -> int:
     return max((int(n) for n in files.names(spark, f"{folder}/done") if n.isdigit()), default=-1)
 
 
-def _commit(spark: SparkSession, folder: str, batch_id: int) -> None:
+def commit(spark: SparkSession, folder: str, batch_id: int) -> None:
     """Mark a batch as done. Of the markers before only the last stays."""
     before = [int(n) for n in files.names(spark, f"{folder}/done") if n.isdigit()]
     files.mark(spark, f"{folder}/done/{batch_id}")
@@ -72,9 +72,14 @@ def add_new_members(
     notices: DataFrame, folder: str, table: str, batch_id: int, *, algo: str = "hash"
 ) -> None:
     """Append the dimension rows of one batch whose key no earlier batch wrote."""
-    spark, key = notices.sparkSession, DIMENSIONS[table][1]
+    add_new_rows(dimension(notices, table, algo=algo), folder, table, batch_id, algo=algo)
+
+
+def add_new_rows(members: DataFrame, folder: str, table: str, batch_id: int, *, algo: str = "hash") -> None:
+    """Append those of a batch's dimension rows, one per key, whose key no earlier batch wrote."""
+    spark, key = members.sparkSession, DIMENSIONS[table][1]
     target, scratch = f"{folder}/{table}", new_folder(spark, "members")
-    rows = conform(dimension(notices, table, algo=algo), contract(GOLD[table].schema, algo=algo))
+    rows = conform(members, contract(GOLD[table].schema, algo=algo))
     segments.with_bucket(rows, key).write.parquet(scratch)
     try:
         candidates = spark.read.parquet(scratch)
@@ -113,7 +118,7 @@ def write_batch(
     _store(facts, folder, "fact_notices", batch_id)
     for table in DIMENSIONS:
         add_new_members(parsed, folder, table, batch_id, algo=algo)
-    _commit(messages.sparkSession, folder, batch_id)
+    commit(messages.sparkSession, folder, batch_id)
 
 
 def start_fan_out(

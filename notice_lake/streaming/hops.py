@@ -6,7 +6,8 @@ target reprocesses from the start. Both triggers below are micro-batch.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import contextlib
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -29,6 +30,21 @@ def every(interval: str) -> Trigger:
     return {"processingTime": interval}
 
 
+@contextlib.contextmanager
+def rocksdb_state(spark: SparkSession) -> Iterator[None]:
+    """Queries started inside keep their state in RocksDB; the session's own setting comes back.
+
+    A query takes its settings along when it starts.
+    """
+    option = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(option, None)
+    use_rocksdb_state(spark)
+    try:
+        yield
+    finally:
+        spark.conf.unset(option) if before is None else spark.conf.set(option, before)
+
+
 def use_rocksdb_state(spark: SparkSession) -> None:
     """Keep streaming state on executor disk: first-seen keys are never forgotten."""
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
@@ -90,9 +106,9 @@ def start_dimension(
     The key and its key attributes do not depend on the order of arrival. Other attributes are
     those of whichever notice of the key arrived first.
     """
-    use_rocksdb_state(notices.sparkSession)
     rows = stream_dimension(notices, table, algo=algo).select(*columns)
-    return append_to_files(rows, path, checkpoint, trigger=trigger)
+    with rocksdb_state(notices.sparkSession):
+        return append_to_files(rows, path, checkpoint, trigger=trigger)
 
 
 def inspect(df: DataFrame) -> DataFrame:

@@ -186,7 +186,7 @@ def test_readers_take_finished_batches_only(spark, inbox, tmp_path, monkeypatch)
     def stop(*_):
         raise RuntimeError("lost")
 
-    monkeypatch.setattr(fan_out, "_commit", stop)
+    monkeypatch.setattr(fan_out, "commit", stop)
     with pytest.raises(RuntimeError):
         fan_out.write_batch(rows.filter("kafka_offset % 4 = 3"), 3, folder=folder)
     finished = rows.filter("kafka_offset % 4 < 3")
@@ -310,6 +310,14 @@ def test_expectations_are_observed_on_a_stream(spark, inbox, tmp_path):
     assert rows == inbox.batch(spark).count()
 
 
+def test_rocksdb_is_for_the_queries_started_inside(spark, session_conf):
+    name = "spark.sql.streaming.stateStore.providerClass"
+    session_conf(name, "some.other.Provider")
+    with hops.rocksdb_state(spark):
+        assert spark.conf.get(name) == hops.ROCKSDB_PROVIDER
+    assert spark.conf.get(name) == "some.other.Provider"
+
+
 def test_rocksdb_is_set_for_the_session(spark, session_conf):
     name = "spark.sql.streaming.stateStore.providerClass"
     session_conf(name, spark.conf.get(name))
