@@ -146,6 +146,14 @@ def short_digests(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.nd
     return values ^ (values >> np.uint32(13))
 
 
+#: So many blocks share a bucket of digests: what they send it is at most about what one of them works with.
+_PER_BUCKET = 4
+
+
+def buckets_for(n_blocks: int) -> int:
+    return -(-n_blocks // _PER_BUCKET)
+
+
 def share_of(digest: np.ndarray, buckets: int) -> np.ndarray:
     """The bucket of each 32-bit digest: equal ranges of digests."""
     bucket = (digest.astype(np.uint64) * np.uint64(buckets)) >> np.uint64(32)

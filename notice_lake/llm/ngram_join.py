@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from notice_lake.llm.blocks import Rolling, Texts, block_of, in_blocks, mixed, row_key
+from notice_lake.llm.blocks import Rolling, Texts, block_of, buckets_for, in_blocks, mixed, row_key
 from notice_lake.llm.common import components, stored
 
 
@@ -26,7 +26,7 @@ class NgramJoin:
 
     words: int = 5
     percent: int = 75
-    block_bytes: int = 3_000_000
+    block_bytes: int = 2_000_000
     counted: int = 3
     bits: int = 4096
     leaders: int = 4
@@ -263,13 +263,13 @@ def near_duplicates(
     dealt = in_blocks(docs, doc_id, text, n).groupBy("block")
 
     def send(rows: pa.Table) -> pa.Table:
-        return _send(rows, join=join, buckets=n)
+        return _send(rows, join=join, buckets=buckets_for(n))
 
     sent = dealt.applyInArrow(send, _SENT)
     answers = sent.groupBy("bucket").applyInArrow(_count, _ANSWER)
     all_sets = stored(
         dealt.cogroup(answers.groupBy("block")).applyInArrow(
-            partial(_sets, join=join, buckets=n), f"doc_id {kind}, key long, {_SETS}"
+            partial(_sets, join=join, buckets=buckets_for(n)), f"doc_id {kind}, key long, {_SETS}"
         ),
         "ngram-sets",
     )

@@ -20,6 +20,7 @@ from notice_lake.llm.blocks import (
     Texts,
     ask,
     block_of,
+    buckets_for,
     in_blocks,
     row_key,
     share_of,
@@ -36,7 +37,7 @@ class SuffixDedup:
     """
 
     length: int = 400
-    block_bytes: int = 3_000_000
+    block_bytes: int = 2_000_000
     words: int = 0
 
 
@@ -277,7 +278,7 @@ def remove_repeats(
     )
     deal = in_blocks(docs, doc_id, text, n, keep).groupBy("block")
     for step, kind in _KINDS.items():
-        send = partial(_send, dedup=dedup, buckets=n, upto=step)
+        send = partial(_send, dedup=dedup, buckets=buckets_for(n), upto=step)
         answers = ask(deal.cogroup(side.groupBy("block")).applyInArrow(send, SENT), kind)
         side = side.union(
             answers.select(
@@ -290,5 +291,5 @@ def remove_repeats(
         [f"doc_id {kinds[doc_id]}", "n_bytes long, n_removed long, n_spans long, kept_sha256 string", "spans array<struct<start: long, end: long>>, kept_text string"]
         + [f"`{c}` {kinds[c]}" for c in keep]
     )
-    finish = partial(_finish, dedup=dedup, buckets=n, keep=keep, kept_text=kept_text)
+    finish = partial(_finish, dedup=dedup, buckets=buckets_for(n), keep=keep, kept_text=kept_text)
     return deal.cogroup(side.groupBy("block")).applyInArrow(finish, schema)
