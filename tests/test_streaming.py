@@ -100,8 +100,11 @@ def test_state_store_dimension_remembers_keys_over_a_restart(
     for name in ("round1", "round2"):
         inbox.deliver(name)
         parsed = silver(inbox.stream(spark))
-        run(hops.start_dimension(parsed, "dim_spatial_coords", out, checkpoint, algo=ALGO))
-        assert spark.conf.get(provider) == hops.ROCKSDB_PROVIDER
+        before = spark.conf.get(provider)
+        query = run(hops.start_dimension(parsed, "dim_spatial_coords", out, checkpoint, algo=ALGO))
+        assert spark.conf.get(provider) == before
+        states = [state for p in query.recentProgress for state in json.loads(p.json)["stateOperators"]]
+        assert states and all(any(m.startswith("rocksdb") for m in state["customMetrics"]) for state in states)
     found = spark.read.parquet(out).select("spatial_sk")
     expected = dimension(silver(inbox.batch(spark)), "dim_spatial_coords", algo=ALGO)
     assert same_rows(found, expected.select("spatial_sk"))
