@@ -29,7 +29,7 @@ from notice_lake.schemas import BRONZE, GOLD, SILVER, contract
 from notice_lake.sources import files
 from notice_lake.sources.scratch import new_folder
 from notice_lake.sources.tables import conform
-from notice_lake.streaming import segments
+from notice_lake.streaming import maintained, segments
 from notice_lake.streaming.hops import AVAILABLE_NOW, Trigger, for_each_batch
 
 _BATCH = "batch_id"
@@ -62,6 +62,15 @@ def read_output(spark: SparkSession, folder: str, table: str, *, algo: str = "ha
     return spark.read.parquet(f"{folder}/{table}").filter(F.col(_BATCH) <= done).drop(_BATCH)
 
 
+def read_report(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A report over all batches that are done, of which there must be one, made from partial aggregates alone."""
+    report = maintained.REPORTS[name]
+    done = last_batch(spark, folder)
+    if done < 0:
+        raise ValueError(f"no batch of {folder} is done")
+    return report.finish(maintained.read(spark, f"{folder}/reports/{name}", report, done + 1))
+
+
 def _store(df: DataFrame, folder: str, table: str, batch_id: int) -> DataFrame:
     path = batch_folder(folder, table, batch_id)
     df.write.mode("overwrite").parquet(path)
@@ -101,6 +110,7 @@ def write_batch(
     folder: str,
     algo: str = "hash",
     quarantine: bool = False,
+    keep_reports: bool = False,
 ) -> None:
     """All outputs of one micro-batch, each by its contract. Safe to repeat with the same batch id."""
     clock = messages.schema["kafka_timestamp"].dataType
@@ -115,9 +125,13 @@ def write_batch(
     facts = conform(
         fact(parsed, algo=algo), contract(GOLD["fact_notices"].schema, algo=algo, clock=clock)
     )
-    _store(facts, folder, "fact_notices", batch_id)
+    facts = _store(facts, folder, "fact_notices", batch_id)
     for table in DIMENSIONS:
         add_new_members(parsed, folder, table, batch_id, algo=algo)
+    if keep_reports:
+        written = {"bronze": raw, "silver": parsed, "fact_notices": facts}
+        for name, report in maintained.REPORTS.items():
+            maintained.add(written[report.table], f"{folder}/reports/{name}", report, batch_id)
     commit(messages.sparkSession, folder, batch_id)
 
 
@@ -128,13 +142,16 @@ def start_fan_out(
     *,
     algo: str = "hash",
     quarantine: bool = False,
+    keep_reports: bool = False,
     trigger: Trigger = AVAILABLE_NOW,
 ) -> StreamingQuery:
     """Run ``write_batch`` over a bronze stream. A new checkpoint needs an empty folder.
 
     With ``quarantine`` silver keeps every row and says why it is suspect; suspect
     rows are copied to ``quarantine``, with their text as delivered, normalised text and
-    rescued entries, and stay out of fact and dimensions.
+    rescued entries, and stay out of fact, dimensions and reports on silver.
+
+    With ``keep_reports`` each batch also adds to the reports of ``maintained``; ``read_report`` reads them.
     """
-    write = partial(write_batch, folder=folder, algo=algo, quarantine=quarantine)
+    write = partial(write_batch, folder=folder, algo=algo, quarantine=quarantine, keep_reports=keep_reports)
     return for_each_batch(messages, write, checkpoint, trigger=trigger)

@@ -35,7 +35,17 @@ def covering(batches: int, width: int = WIDTH) -> list[tuple[int, int]]:
     return found
 
 
-def _folder(folder: str, level: int, first: int) -> str:
+def completed(batch: int, width: int = WIDTH) -> list[tuple[int, int, list[tuple[int, int]]]]:
+    """The segments that are complete after batch ``batch``, lowest level first, each with the segments it is made of."""
+    found, level = [], 1
+    while (batch + 1) % width**level == 0:
+        first = batch + 1 - width**level
+        found.append((level, first, [(level - 1, first + k * width ** (level - 1)) for k in range(width)]))
+        level += 1
+    return found
+
+
+def place(folder: str, level: int, first: int) -> str:
     return f"{folder}/level={level}/first={first}"
 
 
@@ -55,7 +65,7 @@ def read(
     stored = schema if BUCKET in schema.names else T.StructType([*schema, T.StructField(BUCKET, T.IntegerType())])
     parts = []
     for level, first in covering(batches):
-        rows = spark.read.schema(stored if level else schema).parquet(_folder(folder, level, first))
+        rows = spark.read.schema(stored if level else schema).parquet(place(folder, level, first))
         parts.append(rows if level else with_bucket(rows, key))
     if not parts:
         return spark.createDataFrame([], schema)
@@ -67,21 +77,15 @@ def read(
 
 def write(rows: DataFrame, folder: str, batch: int) -> None:
     """The new rows of a batch. Repeating a batch replaces them."""
-    rows.write.mode("overwrite").parquet(_folder(folder, 0, batch))
+    rows.write.mode("overwrite").parquet(place(folder, 0, batch))
 
 
 def merge(spark: SparkSession, folder: str, schema: T.StructType, key: str, batch: int, width: int = WIDTH) -> None:
     """After batch ``batch``: the segments that are complete now."""
-    level = 1
-    while (batch + 1) % width**level == 0:
-        first = batch + 1 - width**level
-        parts = [
-            spark.read.schema(schema).parquet(_folder(folder, level - 1, first + k * width ** (level - 1)))
-            for k in range(width)
-        ]
-        rows = with_bucket(reduce(DataFrame.unionByName, parts), key)
+    for level, first, parts in completed(batch, width):
+        rows = [spark.read.schema(schema).parquet(place(folder, *part)) for part in parts]
+        rows = with_bucket(reduce(DataFrame.unionByName, rows), key)
         (
             rows.repartition(BUCKET).write.mode("overwrite").partitionBy(BUCKET)
-            .parquet(_folder(folder, level, first))
+            .parquet(place(folder, level, first))
         )
-        level += 1
