@@ -7,7 +7,7 @@ with the SQL of their batch result.
 
 from __future__ import annotations
 
-from notice_lake.registry.queries import SKY_POINT
+from notice_lake.registry.queries import NEAR_DEG, SKY_POINT
 from notice_lake.schemas import NOTICE_FIELDS, SPATIAL_KEY, SUN_MOON_KEY, TIMING_KEY
 from notice_lake.sources.synthetic import DAMAGED, IRREGULAR, NOTICES, SHAPED
 
@@ -616,6 +616,39 @@ ORACLE: dict[str, str] = {
         "pow(sin((d2 - d1) / 2), 2) + cos(d1) * cos(d2) * pow(sin((a2 - a1) / 2), 2))))), 6)"
         " AS separation_deg FROM angles",
     ),
+    "near_positions": _with(
+        _SILVER
+        | _TYPED
+        | {
+            "positions": "SELECT ra_deg, dec_deg, count(*) AS notices, radians(ra_deg) AS a, radians(dec_deg) AS d"
+            " FROM typed WHERE ra_deg >= 0 AND ra_deg < 360 AND abs(dec_deg) <= 90 GROUP BY ra_deg, dec_deg",
+            "pairs": "SELECT p.ra_deg, p.dec_deg, p.notices, q.ra_deg AS near_ra_deg, q.dec_deg AS near_dec_deg,"
+            " q.notices AS near_notices, degrees(2 * asin(least(1.0, sqrt(pow(sin((q.d - p.d) / 2), 2)"
+            " + cos(p.d) * cos(q.d) * pow(sin((q.a - p.a) / 2), 2))))) AS separation"
+            " FROM positions p JOIN positions q ON (p.ra_deg, p.dec_deg) < (q.ra_deg, q.dec_deg)",
+        },
+        "SELECT * EXCLUDE (separation), round(separation, 6) AS separation_deg"
+        f" FROM pairs WHERE separation <= {NEAR_DEG}",
+    ),
+    "stream_lag": "SELECT CAST(NULL AS VARCHAR) AS kafka_topic, CAST(NULL AS INTEGER) AS kafka_partition,"
+    " count(*) AS rows_read, CAST(0 AS BIGINT) AS lag FROM events",
+    "stream_null_shares": _with(
+        _IRREGULAR
+        | {
+            "line": "SELECT max(kafka_timestamp) AS newest FROM irregular_silver WHERE kafka_offset % 3 <> 0",
+            "hours": "SELECT *, date_trunc('hour', kafka_timestamp) AS hour FROM irregular_silver",
+            "judged": "SELECT *, hour::TIMESTAMP AS window_start, kafka_offset % 3 = 0 AND hour + INTERVAL 2 HOUR <="
+            " (SELECT newest FROM line) AS too_late FROM hours",
+            "counted": "SELECT window_start, count(*) FILTER (NOT too_late) AS total, count(*) FILTER (too_late) AS late,"
+            " window_start + INTERVAL 2 HOUR <= (SELECT max(kafka_timestamp) FROM irregular_silver) AS closed, "
+            + ", ".join(f"count({n}) FILTER (NOT too_late) AS {n}" for n in NOTICE_FIELDS)
+            + " FROM judged GROUP BY window_start",
+            "fields": f"UNPIVOT counted ON {', '.join(NOTICE_FIELDS)} INTO NAME field VALUE present",
+        },
+        "SELECT window_start, field, total, total - present AS missing,"
+        " round(100.0 * (total - present) / nullif(total, 0), 4) AS null_pct, late, closed FROM fields",
+    ),
+    "stream_guarded": _with(_IRREGULAR, _report(_NOTICE_CHECKS, "irregular_silver")),
     "stream_silver": _with(_SILVER, "SELECT * FROM silver"),
     "stream_dims_bounded": _with(
         _GOLD, "SELECT spatial_sk, right_ascension, declination, galactic_coords FROM spatial"
@@ -647,3 +680,5 @@ ORACLE: dict[str, str] = {
     "stream_fanout": _with(_GOLD, _CONTEXT),
     "stream_fanout_timing": _with(_GOLD, "SELECT * FROM timing"),
 }
+# Reports kept by a stream equal those made from all rows.
+ORACLE |= {f"stream_{name}": ORACLE[report] for name, report in (("accuracy", "accuracy_by_algorithm"), ("parse_quality", "parse_quality"))}

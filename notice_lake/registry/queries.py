@@ -21,6 +21,7 @@ from notice_lake.operators.layers import (
     silver,
     stream_dimension,
 )
+from notice_lake.operators.near import near_positions
 from notice_lake.operators.typed import sky_separation, typed_notice
 from notice_lake.plans import reports
 from notice_lake.schemas import (
@@ -38,8 +39,8 @@ from notice_lake.schemas import (
 from notice_lake.sources import synthetic
 from notice_lake.sources.scratch import new_folder, stored
 from notice_lake.sources.tables import read_files
-from notice_lake.streaming import bounded, deliveries
-from notice_lake.streaming.fan_out import read_output, start_fan_out
+from notice_lake.streaming import bounded, deliveries, guard, null_shares, progress
+from notice_lake.streaming.fan_out import read_output, read_report, start_fan_out
 from notice_lake.streaming.hops import append_to_files, start_dimension
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,6 +50,9 @@ WIDE = "sha256"
 # Fixed value: the sky point of the separation query (J2000 degrees).
 SKY_POINT = (266.405, -28.936)
 
+# Positions at most so many degrees apart are near each other.
+NEAR_DEG = 7.3
+
 
 def _notices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver(synthetic.notices(spark, sf_dir))
@@ -345,6 +349,12 @@ def fact_own_sun_moon(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select(*DELIVERY_KEY, "sun_moon_sk", "first_sun_moon_sk")
 
 
+def positions_near(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of positions near each other, with the number of notices of each."""
+    near = near_positions(typed_notice(_notices(spark, sf_dir)), NEAR_DEG)
+    return near.withColumn("separation_deg", F.round("separation_deg", 6))
+
+
 def _message_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return synthetic.notices_from(synthetic.events_stream(spark, sf_dir))
 
@@ -461,6 +471,58 @@ def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_entry_lines(read_output(spark, folder, "quarantine"))
 
 
+def _kept_report(name: str) -> Query:
+    """A report from the partial aggregates of a fan-out."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        folder = new_folder(spark, "stream-reports")
+        messages = _message_stream(spark, sf_dir)
+        start_fan_out(messages, folder, f"{folder}/checkpoint", algo=WIDE, keep_reports=True).awaitTermination()
+        return read_report(spark, folder, name)
+
+    return query
+
+
+def stream_null_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Null shares per hour of an irregular feed, a third of which comes when all else was there: most of it too late."""
+    folder, feed = new_folder(spark, "stream-null-shares"), synthetic.irregular(spark, sf_dir)
+    for some in ("kafka_offset % 3 <> 0", "kafka_offset % 3 = 0"):
+        feed.where(some).write.mode("append").parquet(f"{folder}/feed")
+        stream = read_files(spark, f"{folder}/feed", schema=feed.schema, streaming=True)
+        null_shares.start_null_shares(silver(stream), folder, f"{folder}/checkpoint").awaitTermination()
+    windows = null_shares.read_windows(spark, folder).select("window_start", "late", "closed")
+    return null_shares.read_null_shares(spark, folder).join(windows, "window_start")
+
+
+def stream_guarded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Breaches that a stream counted while it wrote its rows; no share is at its limit."""
+    folder = new_folder(spark, "stream-guarded")
+    parsed = silver(synthetic.irregular_from(synthetic.events_stream(spark, sf_dir)))
+    guard.start_guarded(
+        parsed,
+        folder,
+        f"{folder}/checkpoint",
+        expectations=quality.NOTICE_EXPECTATIONS,
+        limits=guard.Limits({name: 0.9 for name in quality.NOTICE_EXPECTATIONS}),
+        action="drop",
+    ).awaitTermination()
+    counts = guard.read_breaches(spark, folder).where("done").groupBy("expectation")
+    return counts.agg(F.sum(F.col("row_count") - F.col("failed")).alias("passed"), F.sum("failed").alias("failed"))
+
+
+def stream_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the stream of messages reported: rows read, and files it had left to read."""
+    folder = new_folder(spark, "stream-lag")
+    query = append_to_files(_message_stream(spark, sf_dir), f"{folder}/bronze", f"{folder}/checkpoint")
+    query.awaitTermination()
+    log = progress.ProgressLog(spark, f"{folder}/log")
+    log.catch_up(query)
+    triggers = progress.read_triggers(spark, log.folder)
+    rows = triggers.groupBy("query_id", "source").agg(F.sum("rows").alias("rows_read"))
+    lag = progress.live_lag(progress.offsets(triggers))
+    return lag.join(rows, ["query_id", "source"]).select("kafka_topic", "kafka_partition", "rows_read", "lag")
+
+
 QUERIES: dict[str, Query] = {
     "bronze_projection": bronze_projection,
     "silver_notices": _notices,
@@ -506,6 +568,7 @@ QUERIES: dict[str, Query] = {
     "accepted_notices": accepted_notices,
     "typed_notices": typed_notices,
     "sky_separations": sky_separations,
+    "near_positions": positions_near,
     "stream_silver": stream_silver,
     "stream_dims": _stream_dimension(
         "dim_sun_moon_coords", "sun_moon_sk", "sun_position", "moon_position"
@@ -519,6 +582,11 @@ QUERIES: dict[str, Query] = {
     "stream_dims_bounded": stream_dims_bounded,
     "stream_deliveries": stream_deliveries,
     "stream_gaps": stream_gaps,
+    "stream_lag": stream_lag,
+    "stream_null_shares": stream_null_shares,
+    "stream_guarded": stream_guarded,
+    "stream_accuracy": _kept_report("accuracy_by_algorithm"),
+    "stream_parse_quality": _kept_report("parse_quality"),
     "stream_hops": stream_hops,
     "stream_quarantine": stream_quarantine,
     "stream_fanout": stream_fanout,

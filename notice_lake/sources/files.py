@@ -25,6 +25,19 @@ def mark(spark: SparkSession, path: str) -> None:
     files.create(place, True).close()
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, replaced as a whole: readers see the old one or the new one. Names with a dot first are not read."""
+    files, place = _place(spark, path)
+    _, hidden = _place(spark, f"{path.rpartition('/')[0]}/.{path.rpartition('/')[2]}")
+    out = files.create(hidden, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    files.delete(place, False)
+    files.rename(hidden, place)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     files, place = _place(spark, path)
     files.delete(place, True)
