@@ -42,6 +42,14 @@ def parts(url: Column) -> tuple[Column, Column]:
     return F.coalesce(ascii_lower(host), F.lit("")), F.coalesce(path, F.lit(""))
 
 
+def whole(url: Column) -> Column:
+    """The URL with its host in lower case, from scheme to fragment; any other text as it stands, null as empty."""
+    begin = F.instr(url, "://") + 3
+    host = parts(url)[0]
+    lowered = F.concat(F.substring(url, F.lit(1), begin - 1), host, F.substring(url, begin + F.length(host), F.length(url)))
+    return F.coalesce(F.when(F.instr(url, "://") > 0, lowered).otherwise(url), F.lit(""))
+
+
 def by_rules(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
     """The longest rule that fits, written as host and path, and its verdict; null if none fits."""
     rule, verdict = F.lit(None).cast("string"), F.lit(None).cast("string")
@@ -54,10 +62,14 @@ def by_rules(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
 def grams(texts: DataFrame, order: int) -> DataFrame:
     """Every character of ``text`` with the ``order`` characters before it, as rows ``gram``."""
     padded = F.concat(F.lit(_START * order), "text", F.lit(_END))
+    # The characters are made once per text, as the one element of an outer array; each gram takes its few.
     each = F.transform(
-        F.sequence(F.lit(1), F.length("text") + 1), lambda i: F.substring(padded, i, F.lit(order + 1))
+        F.array(F.split(padded, "")),
+        lambda chars: F.transform(
+            F.sequence(F.lit(1), F.size(chars) - order), lambda i: F.array_join(F.slice(chars, i, order + 1), "")
+        ),
     )
-    return texts.withColumn("gram", F.explode(each)).drop("text")
+    return texts.withColumn("gram", F.explode(F.flatten(each))).drop("text")
 
 
 def ratios(counts: DataFrame, wanted: DataFrame, model: UrlModel) -> DataFrame:
@@ -104,8 +116,8 @@ def ratios(counts: DataFrame, wanted: DataFrame, model: UrlModel) -> DataFrame:
 def threshold(scores: DataFrame) -> float:
     """The score that splits judged URLs best, by the mean of the two classes' shares judged right.
 
-    From a histogram of at most 401 steps; the middle of the best steps. 0 if a class
-    is missing.
+    From a histogram of at most 401 steps; the middle of the best steps. 0, which allows what scores alike for both
+    classes, if a class is missing or no step is better than one verdict for all.
     """
     step = F.least(F.greatest(F.round(F.col("score") * 20), F.lit(-200)), F.lit(200)).cast("int")
     found = {
@@ -127,6 +139,8 @@ def threshold(scores: DataFrame) -> float:
             at.append(k)
         a, b = found.get(k, (0, 0))
         kept, dropped = kept - a, dropped + b
+    if best < 1 + 1e-9:
+        return 0.0
     return (at[len(at) // 2] - 0.5) / 20
 
 
@@ -139,7 +153,8 @@ def filter_urls(
 ) -> DataFrame:
     """Verdict on each URL: that of the longest rule that fits, else of two language models.
 
-    The models learn from all distinct URLs (host and path) that rules allow and block;
+    The models read whole URLs, scheme, query string and fragment included; rules read host and path. They learn from
+    all distinct URLs that rules allow and block;
     one in ``model.fold`` of these is left out of the counts and calibrates the
     threshold. A URL's score is the mean over its characters of the log ratio of
     the two probabilities. Ratios are whole millionths, so sums do not depend on their order.
@@ -147,17 +162,19 @@ def filter_urls(
     The number of different grams is bounded by the alphabet to the power of ``order + 1``;
     they are joined by shuffles, never broadcast by hint. A URL that many pages share is scored once.
 
-    Null URLs and URLs without ``://`` have an empty host and path and are scored as the empty
-    text. Equal rows give equal rows. An empty table gives an empty result. Where the
+    Null URLs and URLs without ``://`` have an empty host and path; the first are scored as the empty text, the others as
+    they stand. Equal rows give equal rows. An empty table gives an empty result. Where the
     rules judge no URL at all, all scores are 0 and the verdict is ``allow``. Other input
     columns are not looked at.
     """
     host, path = parts(F.col(f"`{url}`"))
-    rows = pages.select(F.col(f"`{page_id}`").alias("page_id"), host.alias("host"), path.alias("path"))
+    text = whole(F.col(f"`{url}`")).alias("text")
+    rows = pages.select(F.col(f"`{page_id}`").alias("page_id"), host.alias("host"), path.alias("path"), text)
     rule, verdict = by_rules(F.col("host"), F.col("path"), rules)
-    rows = stored(rows.withColumns({"rule": rule, "ruled": verdict}), "urls")
+    # Grams carry a digest of their URL, not the URL: a long one would be as many copies of itself.
+    rows = stored(rows.withColumns({"rule": rule, "ruled": verdict, "id": F.sha2("text", 256)}), "urls")
     texts = stored(
-        rows.select(F.concat("host", "path").alias("text"), "ruled").distinct()
+        rows.select("text", "id", "ruled").distinct()
         .withColumn("held", F.pmod(F.crc32(F.col("text").cast("binary")), F.lit(model.fold)) == 0),
         "url-texts",
     )
@@ -172,17 +189,16 @@ def filter_urls(
     )
     table = stored(ratios(each.where("yes + no > 0"), each.select("gram"), model), "url-ratios")
     scored = stored(
-        grams(texts.withColumn("id", F.col("text")), model.order).join(table, "gram")
+        grams(texts, model.order).join(table, "gram")
         .groupBy("id", "ruled", "held")
         .agg((F.sum("ratio") / F.count("*") / 1e6).alias("score")),
         "url-scores",
     )
     cut = threshold(scored.where("held AND ruled IS NOT NULL").select("score", (F.col("ruled") == "allow").alias("allowed")))
-    scores = scored.groupBy(F.col("id").alias("text")).agg(F.first("score").alias("score"))
-    scores = stored(scores, "url-by-text")
+    scores = stored(scored.select("id", "score"), "url-by-text")
     by_model = F.when(F.col("score") >= cut, "allow").otherwise("block")
     return (
-        rows.withColumn("text", F.concat("host", "path")).join(scores, "text", "left")
+        rows.join(scores, "id", "left")
         .select(
             "page_id", "host", "path", "rule",
             F.coalesce("ruled", by_model).alias("verdict"),
