@@ -7,7 +7,7 @@ with the SQL of their batch result.
 
 from __future__ import annotations
 
-from notice_lake.registry.queries import NEAR_DEG, SKY_POINT
+from notice_lake.registry.queries import NEAR_DEG, SHORT_KEYS, SKY_POINT
 from notice_lake.schemas import NOTICE_FIELDS, SPATIAL_KEY, SUN_MOON_KEY, TIMING_KEY
 from notice_lake.sources.synthetic import DAMAGED, IRREGULAR, NOTICES, SHAPED
 
@@ -630,6 +630,47 @@ ORACLE: dict[str, str] = {
         "SELECT * EXCLUDE (separation), round(separation, 6) AS separation_deg"
         f" FROM pairs WHERE separation <= {NEAR_DEG}",
     ),
+    "rescued_schema": _with(
+        _IRREGULAR
+        | _RESCUED
+        | {
+            "kinds": f"SELECT {_DELIVERY}, label, regexp_full_match(value, '-?(0|[1-9][0-9]*)') AS whole FROM rescued",
+        },
+        "SELECT label, count(*) AS value_count, count(DISTINCT (kafka_topic, kafka_partition, kafka_offset)) AS message_count,"
+        " CASE WHEN bool_and(whole) THEN 'BIGINT' WHEN bool_or(whole) THEN 'VARIANT' ELSE 'STRING' END AS value_type"
+        " FROM kinds GROUP BY label",
+    ),
+    "rescued_typed": _with(
+        _IRREGULAR | _RESCUED,
+        f"SELECT {_DELIVERY}, CAST(any_value(r.value) FILTER (r.label = 'BACKGROUND') AS BIGINT) AS background,"
+        " any_value(r.value) FILTER (r.label = 'FOO_BAR') AS foo_bar, any_value(r.value) FILTER (r.label = 'ODD_ONE') AS odd_one"
+        f" FROM irregular LEFT JOIN rescued r USING ({_DELIVERY}) GROUP BY {_DELIVERY}",
+    ),
+    "bucketed_fact_with_timing": _with(
+        _GOLD,
+        "SELECT f.trigger_num, f.record_num, t.grb_date_raw, t.grb_time_raw, f.grb_error_deg,"
+        " f.loc_algorithm FROM fact f LEFT JOIN timing t ON f.timing_sk = t.timing_sk",
+    ),
+    "stream_orphans": _with(
+        _TORN
+        | {
+            "members": f"SELECT {_TIMING_SK}, min(kafka_timestamp) AS seen FROM damaged_silver GROUP BY ALL",
+            "line": "SELECT least((SELECT max(kafka_timestamp) FROM fact), (SELECT max(seen) FROM members))"
+            " - INTERVAL 10 MINUTE AS watermark",
+        },
+        "SELECT timing_sk AS key_value, count(*) AS child_rows, min(kafka_timestamp) AS first_timestamp,"
+        " max(kafka_timestamp) AS latest_timestamp FROM fact WHERE timing_sk NOT IN (SELECT timing_sk FROM members)"
+        " AND kafka_timestamp + INTERVAL 1 HOUR < (SELECT watermark FROM line) GROUP BY timing_sk",
+    ),
+    "stream_collisions": _with(
+        _MURMUR
+        | {
+            "keyed": f"SELECT CAST(((h.timing_sk % {SHORT_KEYS}) + {SHORT_KEYS}) % {SHORT_KEYS} AS INTEGER) AS timing_sk,"
+            f" s.GRB_DATE, s.GRB_TIME, count(*) AS n FROM silver s JOIN hashed h USING ({_DELIVERY}) GROUP BY ALL"
+        },
+        "SELECT timing_sk, count(*) AS variants, CAST(sum(n) AS BIGINT) AS row_count"
+        " FROM keyed GROUP BY timing_sk HAVING count(*) > 1",
+    ),
     "stream_lag": "SELECT CAST(NULL AS VARCHAR) AS kafka_topic, CAST(NULL AS INTEGER) AS kafka_partition,"
     " count(*) AS rows_read, CAST(0 AS BIGINT) AS lag FROM events",
     "stream_null_shares": _with(

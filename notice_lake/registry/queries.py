@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from notice_lake.functions.keys import surrogate_key
-from notice_lake.operators import checks, intervals, quality, sequences
+from notice_lake.operators import checks, intervals, quality, rescued, sequences
 from notice_lake.operators.layers import (
     DIMENSIONS,
     bronze,
@@ -36,10 +36,10 @@ from notice_lake.schemas import (
     TIMING_KEY,
     contract,
 )
-from notice_lake.sources import synthetic
+from notice_lake.sources import bucketed, synthetic
 from notice_lake.sources.scratch import new_folder, stored
 from notice_lake.sources.tables import read_files
-from notice_lake.streaming import bounded, deliveries, guard, null_shares, progress
+from notice_lake.streaming import bounded, collisions, deliveries, guard, null_shares, orphans, progress
 from notice_lake.streaming.fan_out import read_output, read_report, start_fan_out
 from notice_lake.streaming.hops import append_to_files, start_dimension
 
@@ -50,6 +50,12 @@ WIDE = "sha256"
 # Fixed value: the sky point of the separation query (J2000 degrees).
 SKY_POINT = (266.405, -28.936)
 
+# A key short enough that test tables have collisions.
+SHORT_KEYS = 65536
+
+# Rescued labels as typed columns.
+RESCUED_COLUMNS = {"background": ("BACKGROUND", "bigint"), "foo_bar": ("FOO_BAR", "string"), "odd_one": ("ODD_ONE", "string")}
+
 # Positions at most so many degrees apart are near each other.
 NEAR_DEG = 7.3
 
@@ -355,6 +361,30 @@ def positions_near(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.withColumn("separation_deg", F.round("separation_deg", 6))
 
 
+def _rescued_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What no column holds, stored as VARIANT values."""
+    return stored(rescued.variant_entries(silver(synthetic.irregular(spark, sf_dir), rescued=True)), "rescued")
+
+
+def rescued_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rescued.discovered(_rescued_entries(spark, sf_dir))
+
+
+def rescued_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rescued.typed_columns(_rescued_entries(spark, sf_dir), RESCUED_COLUMNS).select(*DELIVERY_KEY, *RESCUED_COLUMNS)
+
+
+def bucketed_fact_with_timing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fact and timing stored by buckets of their key and joined bucket by bucket."""
+    parsed = _stored(synthetic.notices(spark, sf_dir), *_TIMING, "TRIGGER_NUM", "RECORD_NUM", "GRB_ERROR", "LOC_ALGORITHM")
+    columns = ["trigger_num", "record_num", *DELIVERY_KEY, "timing_sk", "grb_error_deg", "loc_algorithm"]
+    facts = stored(fact(parsed, algo=WIDE, columns=columns), "fact")
+    pair = bucketed.write_pair(facts, dimension(parsed, "dim_event_timing", algo=WIDE), "timing_sk")
+    return bucketed.joined(spark, pair).select(
+        "trigger_num", "record_num", "grb_date_raw", "grb_time_raw", "grb_error_deg", "loc_algorithm"
+    )
+
+
 def _message_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return synthetic.notices_from(synthetic.events_stream(spark, sf_dir))
 
@@ -510,6 +540,38 @@ def stream_guarded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.agg(F.sum(F.col("row_count") - F.col("failed")).alias("passed"), F.sum("failed").alias("failed"))
 
 
+def stream_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Timing keys of all messages that the timing dimension of the damaged feed does not have, as far as the watermark has come."""
+    folder, parsed = new_folder(spark, "stream-orphans"), silver(synthetic.damaged(spark, sf_dir))
+    members = DIMENSIONS["dim_event_timing"][0](parsed, algo=WIDE, carry=("kafka_timestamp",))
+    members = members.groupBy("timing_sk").agg(F.min("kafka_timestamp").alias("kafka_timestamp"))
+    members.write.parquet(f"{folder}/members")
+    parents = read_files(spark, f"{folder}/members", schema=members.schema, streaming=True)
+    facts = fact(silver(_message_stream(spark, sf_dir)), algo=WIDE, columns=[*DELIVERY_KEY, "kafka_timestamp", "timing_sk"])
+
+    def known(session: SparkSession) -> DataFrame:
+        return session.read.parquet(f"{folder}/members").select("timing_sk")
+
+    orphans.start_orphans(
+        facts, parents, "timing_sk", "timing_sk", folder, f"{folder}/checkpoint", known=known
+    ).awaitTermination()
+    return orphans.read_orphans(spark, folder)
+
+
+def stream_collisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Collisions of a short timing key, from digests that a stream kept."""
+    folder = new_folder(spark, "stream-collisions")
+
+    def short(messages: DataFrame) -> DataFrame:
+        return silver(messages).withColumn("timing_sk", F.pmod(surrogate_key(*TIMING_KEY), F.lit(SHORT_KEYS)))
+
+    collisions.start_collisions(
+        short(_message_stream(spark, sf_dir)), folder, f"{folder}/checkpoint", key="timing_sk", natural=TIMING_KEY
+    ).awaitTermination()
+    parsed = short(synthetic.notices(spark, sf_dir))
+    return collisions.read_collisions(spark, folder, parsed, key="timing_sk", natural=TIMING_KEY)
+
+
 def stream_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the stream of messages reported: rows read, and files it had left to read."""
     folder = new_folder(spark, "stream-lag")
@@ -569,6 +631,9 @@ QUERIES: dict[str, Query] = {
     "typed_notices": typed_notices,
     "sky_separations": sky_separations,
     "near_positions": positions_near,
+    "rescued_schema": rescued_schema,
+    "rescued_typed": rescued_typed,
+    "bucketed_fact_with_timing": bucketed_fact_with_timing,
     "stream_silver": stream_silver,
     "stream_dims": _stream_dimension(
         "dim_sun_moon_coords", "sun_moon_sk", "sun_position", "moon_position"
@@ -583,6 +648,8 @@ QUERIES: dict[str, Query] = {
     "stream_deliveries": stream_deliveries,
     "stream_gaps": stream_gaps,
     "stream_lag": stream_lag,
+    "stream_orphans": stream_orphans,
+    "stream_collisions": stream_collisions,
     "stream_null_shares": stream_null_shares,
     "stream_guarded": stream_guarded,
     "stream_accuracy": _kept_report("accuracy_by_algorithm"),
