@@ -1,8 +1,13 @@
-"""Toxicity: a linear classifier that is penalised when swapped identity terms change a score."""
+"""Toxicity: a linear classifier that is penalised when a change of identity terms changes a score.
+
+Pairs come from the labelled sentences: one that names a group is paired with itself naming another, a neutral one that
+names none with itself mentioning one. What the penalty sees is the features in which the two differ.
+"""
 
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -14,19 +19,55 @@ from pyspark.sql import functions as F
 
 from notice_lake.llm.blocks import Rolling, Texts, mixed
 
-#: Terms of a group are swapped for one another.
-IDENTITY_TERMS = (
-    ("women", "men"),
-    ("woman", "man"),
-    ("girls", "boys"),
-    ("muslims", "christians", "jews", "hindus", "buddhists", "atheists"),
-    ("muslim", "christian", "jewish", "hindu", "buddhist", "atheist"),
-    ("black", "white", "asian", "latino"),
-    ("gay", "straight", "lesbian", "bisexual"),
-    ("immigrants", "natives"),
-    ("disabled", "abled"),
-    ("old", "young"),
-)
+#: Terms of a group are swapped for one another. By language; a spelling stands in one group only.
+IDENTITY_TERMS_BY_LANGUAGE = {
+    "en": (
+        ("women", "men"),
+        ("woman", "man"),
+        ("girls", "boys"),
+        ("muslims", "christians", "jews", "hindus", "buddhists", "atheists"),
+        ("muslim", "christian", "jewish", "hindu", "buddhist", "atheist"),
+        ("black", "white", "asian", "latino"),
+        ("gay", "straight", "lesbian", "bisexual"),
+        ("immigrants", "natives"),
+        ("disabled", "abled"),
+        ("old", "young"),
+    ),
+    "de": (
+        ("frauen", "männer"),
+        ("frau", "mann"),
+        ("mädchen", "jungen"),
+        ("muslime", "christen", "juden", "buddhisten", "atheisten"),
+        ("schwarze", "weiße", "asiaten"),
+        ("schwule", "lesben", "heterosexuelle"),
+        ("einwanderer", "einheimische"),
+        ("behinderte", "nichtbehinderte"),
+        ("alte", "junge"),
+    ),
+    "fr": (
+        ("femmes", "hommes"),
+        ("femme", "homme"),
+        ("filles", "garçons"),
+        ("musulmans", "chrétiens", "juifs", "hindous", "bouddhistes", "athées"),
+        ("noirs", "blancs", "asiatiques"),
+        ("homosexuels", "hétérosexuels", "lesbiennes"),
+        ("immigrés", "autochtones"),
+        ("handicapés", "valides"),
+        ("vieux", "jeunes"),
+    ),
+    "es": (
+        ("mujeres", "hombres"),
+        ("mujer", "hombre"),
+        ("niñas", "niños"),
+        ("musulmanes", "cristianos", "judíos", "hindúes", "budistas", "ateos"),
+        ("negros", "blancos", "asiáticos"),
+        ("homosexuales", "heterosexuales", "lesbianas"),
+        ("inmigrantes", "nativos"),
+        ("discapacitados", "capacitados"),
+        ("viejos", "jóvenes"),
+    ),
+}
+IDENTITY_TERMS = tuple(group for groups in IDENTITY_TERMS_BY_LANGUAGE.values() for group in groups)
 
 
 @dataclass(frozen=True)
@@ -34,7 +75,8 @@ class Toxicity:
     """``sample_rows`` bounds the labelled rows that the fit sees, ``features`` their features.
 
     ``fold``: rows whose id has CRC-32 divisible by it teach nothing. ``fairness`` weighs the
-    squared change of a score when identity terms are swapped, ``ridge`` the squared weights.
+    squared change of a score when identity terms are swapped or, with ``mentions``, when a neutral sentence without
+    any mentions a group; ``ridge`` weighs the squared weights.
     ``levels``: how often a feature must occur for its further levels, and how often per byte of text.
     """
 
@@ -49,6 +91,7 @@ class Toxicity:
     steps: int = 300
     slice_bytes: int = 2_000_000
     identity_terms: tuple[tuple[str, ...], ...] = IDENTITY_TERMS
+    mentions: bool = True
 
 
 @dataclass
@@ -57,6 +100,7 @@ class Model:
     feature: np.ndarray
     weight: np.ndarray
     options: Toxicity = field(default_factory=Toxicity)
+    pairs: int = 0
 
 
 _LETTER = np.zeros(256, bool)
@@ -111,6 +155,12 @@ def swap(text: str, groups: tuple[tuple[str, ...], ...]) -> str:
     return pattern.sub(lambda m: following[m[0].lower()], text)
 
 
+def mention(text: str, groups: tuple[tuple[str, ...], ...]) -> str:
+    """The text with one identity term after it, chosen by a checksum of the text."""
+    terms = [t for g in groups for t in g]
+    return f"{text} {terms[zlib.crc32(text.encode()) % len(terms)]}" if terms else text
+
+
 def _levels(texts: Texts, owner: np.ndarray, found: np.ndarray, options: Toxicity) -> tuple[np.ndarray, np.ndarray]:
     """Distinct (text, feature) pairs, of one to three levels each.
 
@@ -130,11 +180,11 @@ def _levels(texts: Texts, owner: np.ndarray, found: np.ndarray, options: Toxicit
     return owner[order], np.concatenate([f for _, f in out])[order]
 
 
-def fit(rows: list[tuple[int, list[int], list[int] | None]], chosen: list[int], options: Toxicity) -> Model:
+def fit(rows: list[tuple[int, list[int], list[int] | None, list[int] | None]], chosen: list[int], options: Toxicity) -> Model:
     """Weights by gradient descent with momentum and per-weight steps (Adam).
 
-    Each row has a label, the places of its features in ``chosen``, and those of its
-    swapped text or None if it has no identity term.
+    Each row has a label, the places of its features in ``chosen``, and those that its
+    counterfactual text loses and gains, or None twice if it has none.
     """
     n, k = len(rows), len(chosen)
     label = np.array([r[0] for r in rows], float)
@@ -146,9 +196,9 @@ def fit(rows: list[tuple[int, list[int], list[int] | None]], chosen: list[int],
     row = np.concatenate([np.full(len(r[1]), i) for i, r in enumerate(rows)]).astype(np.int64)
     col = np.concatenate([np.asarray(r[1], np.int64) for r in rows])
     swapped = [(i, r) for i, r in enumerate(rows) if r[2] is not None]
-    pair = np.array([j for j, (_, r) in enumerate(swapped) for _ in (*r[1], *r[2])], np.int64)
-    pair_col = np.array([c for _, r in swapped for c in (*r[1], *r[2])], np.int64)
-    sign = np.array([s for _, r in swapped for s in (*[1.0] * len(r[1]), *[-1.0] * len(r[2]))])
+    pair = np.array([j for j, (_, r) in enumerate(swapped) for _ in (*r[2], *r[3])], np.int64)
+    pair_col = np.array([c for _, r in swapped for c in (*r[2], *r[3])], np.int64)
+    sign = np.array([s for _, r in swapped for s in (*[1.0] * len(r[2]), *[-1.0] * len(r[3]))])
     mean, square = np.zeros(k + 1), np.zeros(k + 1)
     for step in range(1, options.steps + 1):
         z = bias + np.bincount(row, weight[col], n)
@@ -164,7 +214,19 @@ def fit(rows: list[tuple[int, list[int], list[int] | None]], chosen: list[int],
         move = 0.1 * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.999**step)) + 1e-8)
         weight -= move[:-1]
         bias -= float(move[-1])
-    return Model(bias, np.array(chosen, np.int64), weight, options)
+    return Model(bias, np.array(chosen, np.int64), weight, options, len(swapped))
+
+
+def _counterfactuals(part: pa.RecordBatch, with_term: np.ndarray, options: Toxicity) -> dict[int, str]:
+    """By row the text that should score the same: terms swapped, or a group mentioned in a neutral text without any."""
+    some, out = set(with_term.tolist()), {}
+    neutral = part["_toxic"].to_numpy() == 0
+    for i in range(len(part)):
+        if i in some:
+            out[i] = swap(part["text"][i].as_py(), options.identity_terms)
+        elif options.mentions and options.identity_terms and neutral[i]:
+            out[i] = mention(part["text"][i].as_py(), options.identity_terms)
+    return out
 
 
 def held_out(doc_id: Column, fold: int) -> Column:
@@ -177,7 +239,7 @@ def train(docs: DataFrame, labels: DataFrame, options: Toxicity, doc_id: str, te
     """Fits the classifier on at most ``sample_rows`` labelled rows, in order of a hash of the id.
 
     Their number bounds the broadcast of ids and what the driver collects: per row the
-    chosen features, of which there are at most ``features``. An id with several labels counts as toxic
+    chosen features, of which there are at most ``features``, and those in which its counterfactual differs. An id with several labels counts as toxic
     if one of them is; null labels do not count.
     """
     sample = (
@@ -229,17 +291,20 @@ def train(docs: DataFrame, labels: DataFrame, options: Toxicity, doc_id: str, te
                 texts = _text_array(part["text"])
                 own = chosen_of(texts)
                 owner, words = features(texts, plain)
-                with_term = np.unique(owner[np.isin(words, term_words)])
-                new = [swap(part["text"][int(i)].as_py(), options.identity_terms) for i in with_term]
-                other: list = [None] * len(own)
-                for i, f in zip(with_term, chosen_of(_text_array(pa.array(new, pa.string()))) if new else [], strict=True):
-                    other[int(i)] = f
+                other = _counterfactuals(part, np.unique(owner[np.isin(words, term_words)]), options)
+                found = chosen_of(_text_array(pa.array(list(other.values()), pa.string()))) if other else []
+                lost: list = [None] * len(own)
+                gained: list = [None] * len(own)
+                for i, new in zip(other, found, strict=True):
+                    lost[i], gained[i] = np.setdiff1d(own[i], new), np.setdiff1d(new, own[i])
                 kind = pa.list_(pa.int32())
-                yield pa.RecordBatch.from_arrays([part["_toxic"], pa.array(own, kind), pa.array(other, kind)], ["label", "own", "swapped"])
+                columns = [part["_toxic"], *(pa.array(c, kind) for c in (own, lost, gained))]
+                yield pa.RecordBatch.from_arrays(columns, ["label", "own", "lost", "gained"])
 
-    described = taught.mapInArrow(describe, "label int, own array<int>, swapped array<int>").collect()
-    rows = [(r[0], list(r[1]), None if r[2] is None else list(r[2])) for r in described]
-    rows.sort(key=lambda r: (r[0], r[1], r[2] is not None, r[2] or []))
+    schema = "label int, own array<int>, lost array<int>, gained array<int>"
+    described = taught.mapInArrow(describe, schema).collect()
+    rows = [(r[0], list(r[1]), r[2], r[3]) for r in described]
+    rows.sort(key=lambda r: (r[0], r[1], r[2] is not None, r[2] or [], r[3] or []))
     return fit(rows, chosen, options)
 
 

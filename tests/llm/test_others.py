@@ -11,6 +11,7 @@ import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from notice_lake.llm import toxicity, wrapper
 from notice_lake.llm.chat_tree import digests, escaped, prefix_tree, read_back, unescaped
@@ -339,6 +340,60 @@ def test_swapped_terms_change_scores_less_with_the_penalty(spark):
     assert swap("Old men and WOMEN", Toxicity().identity_terms) == "young women and men"
 
 
+def shifts(model):
+    """Change of the log-odds by each identity term, of its features at level 0."""
+    options, weight = model.options, dict(zip(model.feature.tolist(), model.weight.tolist()))
+    out = {}
+    for term in (t for g in options.identity_terms for t in g):
+        texts = toxicity._text_array(toxicity.pa.array([term]))
+        found = set(toxicity.features(texts, options)[1].tolist())
+        out[term] = sum(weight.get(f, 0.0) for f in found)
+    return out
+
+
+def test_penalty_acts_on_the_given_table(spark):
+    sf = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    free, bound = (toxicity.train(docs, labels, Toxicity(fairness=f), "doc_id", "text") for f in (0.0, 1.0))
+    taught = labels.where(~toxicity.held_out(F.col("doc_id"), 5)).join(docs, "doc_id").select("toxic", "text").collect()
+    naming = [r for r in taught if r.toxic and swap(r.text or "", bound.options.identity_terms) != (r.text or "")]
+    assert free.pairs == bound.pairs == sum(r.toxic == 0 for r in taught) + len(naming)
+    worst = [max(abs(x) for x in shifts(m).values()) for m in (free, bound)]
+    assert worst[0] > 0.3 and worst[1] < 0.05 * worst[0]
+
+
+def test_neutral_mentions_are_not_toxic(spark):
+    """An insult that begins like a group's name teaches nothing against the group, and stays an insult."""
+    rng = random.Random(7)
+    words = ["table", "walks", "green", "river", "stone", "lamp", "sky", "door"]
+    rows = []
+    for k in range(600):
+        text = [rng.choice(words) for _ in range(12)]
+        if k % 3 == 0:
+            text[rng.randrange(12)] = rng.choice(["lesbxx", "lesbyy", "lesbzz"])
+        rows.append((k, " ".join(text)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    marks = spark.createDataFrame([(k, int(k % 3 == 0)) for k, _ in rows], "doc_id long, toxic int")
+    tests = spark.createDataFrame(
+        [(1000, "table walks lesbian river sky"), (1001, "green lesben lamp door"), (1002, "table lesbxx river sky")],
+        "doc_id long, text string",
+    )
+    verdicts = {}
+    for name, options in {"off": Toxicity(fairness=0.0), "on": Toxicity(fairness=30.0)}.items():
+        both = docs.union(tests)
+        verdicts[name] = {r.doc_id: r.predicted for r in score_toxicity(both, marks, options).where("doc_id >= 1000").collect()}
+    assert verdicts["off"] == {1000: 1, 1001: 1, 1002: 1}
+    assert verdicts["on"] == {1000: 0, 1001: 0, 1002: 1}
+    assert toxicity.train(docs, marks, Toxicity(mentions=False), "doc_id", "text").pairs == 0
+    assert toxicity.mention("x", ()) == "x" and toxicity.mention("", (("a",),)) == " a"
+
+
+def test_identity_terms_stand_in_one_group():
+    terms = [t for g in toxicity.IDENTITY_TERMS for t in g]
+    assert len(terms) == len(set(terms)) and all(t == t.lower() for t in terms)
+
+
 def test_toxicity_of_odd_rows(spark, odd_docs, no_docs):
     some = spark.createDataFrame([(4, 0), (4, None), (7, 1), (7, 0), (None, 1), (8, 5)], "doc_id long, toxic int")
     rows = score_toxicity(odd_docs, some, keep=("lang",)).collect()
