@@ -89,7 +89,7 @@ def add_new_rows(members: DataFrame, folder: str, table: str, batch_id: int, *,
     spark, key = members.sparkSession, DIMENSIONS[table][1]
     target, scratch = f"{folder}/{table}", new_folder(spark, "members")
     rows = conform(members, contract(GOLD[table].schema, algo=algo))
-    segments.with_bucket(rows, key).write.parquet(scratch)
+    segments.with_bucket(rows, key, segments.top_level(batch_id)).write.parquet(scratch)
     try:
         candidates = spark.read.parquet(scratch)
         # At most as many rows as there are buckets.

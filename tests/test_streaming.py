@@ -178,6 +178,28 @@ def test_folders_read_per_batch_stay_few_over_many_batches(spark, inbox, tmp_pat
     assert same_rows(found.select(key), expected)
 
 
+def test_buckets_grow_with_the_level_and_look_ups_find_every_key(spark, tmp_path):
+    folder, schema = str(tmp_path / "seg"), spark.createDataFrame([], "k bigint, v string").schema
+    for batch in range(65):
+        rows = spark.range(batch * 40, batch * 40 + 40, 1, 1).selectExpr("id AS k", "string(id) AS v")
+        segments.write(rows, folder, batch)
+        segments.merge(spark, folder, schema, "k", batch)
+    assert segments.covering(65) == [(2, 0), (0, 64)]
+    for level, parts in ((1, 32), (2, 64)):
+        found = spark.read.parquet(segments.place(folder, level, 0))
+        assert found.agg({segments.BUCKET: "max"}).first()[0] == parts - 1
+    for batches in (3, 8, 65):
+        whole = segments.read(spark, folder, schema, "k", batches)
+        assert sorted(r["k"] for r in whole.collect()) == list(range(batches * 40))
+        asked = spark.createDataFrame([(k, "") for k in (0, 7, 41, batches * 40 - 1)], schema)
+        buckets = segments.with_bucket(asked, "k", segments.top_level(batches))
+        touched = [r[0] for r in buckets.select(segments.BUCKET).distinct().collect()]
+        near = segments.read(spark, folder, schema, "k", batches, touched)
+        assert near.columns == ["k", "v"]
+        seen = {r["k"] for r in near.collect()}
+        assert {0, 7, 41, batches * 40 - 1} <= seen and len(seen) < 0.4 * batches * 40
+
+
 def test_readers_take_finished_batches_only(spark, inbox, tmp_path, monkeypatch):
     inbox.deliver("round1")
     rows, folder = inbox.batch(spark), str(tmp_path / "out")
