@@ -285,13 +285,17 @@ def train(docs: DataFrame, labels: DataFrame, options: Toxicity, doc_id: str, te
         owner, at = owner[at >= 0], at[at >= 0]
         return np.split(at, np.searchsorted(owner, np.arange(1, len(texts.sizes))))
 
+    def naming(texts: Texts) -> np.ndarray:
+        owner, words = features(texts, plain)
+        return np.unique(owner[np.isin(words, term_words)])
+
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in _slices(batch, "text", options.slice_bytes):
+            for part in _slices(batch, "text", options.slice_bytes // 2):
                 texts = _text_array(part["text"])
                 own = chosen_of(texts)
-                owner, words = features(texts, plain)
-                other = _counterfactuals(part, np.unique(owner[np.isin(words, term_words)]), options)
+                other = _counterfactuals(part, naming(texts), options)
+                del texts
                 found = chosen_of(_text_array(pa.array(list(other.values()), pa.string()))) if other else []
                 lost: list = [None] * len(own)
                 gained: list = [None] * len(own)
