@@ -6,14 +6,16 @@ import hashlib
 import random
 import re
 
+import pyarrow as pa
 import pytest
 
+from notice_lake.llm.blocks import answer
 from notice_lake.llm.common import components
 from notice_lake.llm.mixing import Mix, mix_sources
 from notice_lake.llm.ngram_join import NgramJoin, near_duplicates
 from notice_lake.llm.packing import Packing, boundaries, pack
 from notice_lake.llm.quality_rules import estimate, measures, posterior, quality
-from notice_lake.llm.suffix_dedup import SuffixDedup, difference_cover, remove_repeats
+from notice_lake.llm.suffix_dedup import _KINDS, SuffixDedup, _send, difference_cover, remove_repeats
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -90,6 +92,27 @@ def test_suffix_dedup(spark, length):
         assert found == repeats(texts, length)
 
 
+def test_a_block_sends_the_same_in_any_order_of_its_rows():
+    """The shuffle may hand over the rows of a block in another order at each step; answers go by place."""
+    dedup = SuffixDedup(length=30)
+    kinds = {"step": pa.int32(), "key": pa.int64(), "first": pa.int8(), "bucket": pa.int32(), "shared": pa.binary(), "lead": pa.binary()}
+    for seed in range(20):
+        rng = random.Random(seed)
+        source = "".join(rng.choice("ab") for _ in range(300))
+        texts = [source[k : k + rng.randrange(30, 120)] for k in (rng.randrange(200) for _ in range(24))]
+        blocks = [pa.table({"block": [b] * 12, "key": range(12), "doc_id": range(12), "text": texts[b::2]}) for b in (0, 1)]
+        sides = [pa.schema(kinds).empty_table()] * 2
+        for upto, kind in _KINDS.items():
+            sent = [
+                [_send(rows.take(list(order)), side, dedup=dedup, buckets=1, upto=upto) for order in (range(12), range(11, -1, -1))]
+                for rows, side in zip(blocks, sides)
+            ]
+            assert all(one.equals(other) for one, other in sent)
+            for found in answer(pa.concat_tables([one for one, _ in sent]), kind).to_pylist():
+                new = {"step": upto, "key": None, "first": None} | {c: found[c] for c in ("bucket", "shared", "lead")}
+                sides[found["block"]] = pa.concat_tables([sides[found["block"]], pa.Table.from_pylist([new], sides[0].schema)])
+
+
 def test_suffix_dedup_of_odd_rows(odd_docs, no_docs):
     rows = remove_repeats(odd_docs, keep=("lang",), kept_text=True).collect()
     assert len(rows) == odd_docs.count()
