@@ -6,9 +6,10 @@ import pytest
 from messages import executed_of, optimized_of
 from pyspark.sql import functions as F
 
-from notice_lake.operators import checks, sequences
+from notice_lake.operators import checks, intervals, sequences
 from notice_lake.operators.first_seen import first_seen
 from notice_lake.operators.layers import dimension, fact, silver
+from notice_lake.operators.typed import typed_notice
 from notice_lake.plans import reports
 from notice_lake.schemas import ARRIVAL_ORDER
 from notice_lake.registry.queries import QUERIES
@@ -77,6 +78,39 @@ def test_snowflake_join_shuffles_the_fact_once(stored, session_conf):
     assert plan.count("rangepartitioning") == 1
 
 
+def test_narrow_events_are_dealt_before_they_become_texts(spark, sf_dir, tmp_path, session_conf):
+    """A file of one row group is one task; its texts are made in as many as the session shuffles to."""
+    session_conf("spark.sql.adaptive.enabled", "false")
+    session_conf("spark.sql.shuffle.partitions", "5")
+    synthetic.events(spark, sf_dir).coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    rows = notices(spark, str(tmp_path)).groupBy(F.spark_partition_id()).agg(F.count("kafka_value").alias("n")).collect()
+    assert len(rows) == 5 and max(r.n for r in rows) < 2 * min(r.n for r in rows)
+    streamed = synthetic.notices_from(synthetic.events_stream(spark, sf_dir))
+    assert "RepartitionByExpression" in streamed._jdf.queryExecution().analyzed().toString()
+
+
+def test_typed_columns_stay_out_of_one_whole_stage_method(stored):
+    """A projection with a higher-order function is compiled in several methods."""
+    plan = executed_of(typed_notice(stored["silver"]))
+    assert re.search(r"^(\+- |   )*Project .*transform\(array\(GRB_RA", plan, re.M)
+
+
+def test_values_are_made_for_lost_segments_only(stored):
+    plan = optimized_of(silver(stored["bronze"], rescued=True).select("rescued_fields"))
+    assert plan.index("transform(filter(sequence(") > 0 and "array_except(" in plan
+
+
+def test_blocks_of_offsets_take_no_texts(spark):
+    """The window that finds undelivered offsets sorts keys; texts come by one shuffle of their own."""
+    schema = "kafka_key string, kafka_value string, kafka_topic string, kafka_partition int, kafka_offset long, kafka_timestamp timestamp"
+    rows = spark.createDataFrame([("k", "v", "t", 0, 1, None)], schema)
+    index = spark.createDataFrame([], intervals.index_schema(rows.schema["kafka_timestamp"].dataType))
+    plan = optimized_of(intervals.undelivered(rows, index))
+    lines = plan.splitlines()
+    window = next(i for i, line in enumerate(lines) if "Window [max(" in line)
+    assert not any("kafka_value" in line for line in lines[window : window + 4])
+
+
 def scans(df):
     return len(re.findall(r"FileScan", executed_of(df).split("== Initial Plan ==")[0]))
 
