@@ -83,18 +83,29 @@ def holes(index: DataFrame, patience: str) -> DataFrame:
     )
 
 
+#: The partition as columns without NULL, so that a group by them and a join on them go by one shuffle.
+_PLACE = tuple(f"{mark}{c}" for c in _PARTITION for mark in ("_", "_no_"))
+
+
+def _placed(rows: DataFrame) -> DataFrame:
+    topic, partition = _PARTITION
+    values = {f"_{topic}": F.coalesce(topic, F.lit("")), f"_{partition}": F.coalesce(partition, F.lit(0))}
+    return rows.withColumns(values | {f"_no_{c}": F.col(c).isNull() for c in _PARTITION})
+
+
 def undelivered(messages: DataFrame, index: DataFrame, *, block_bits: int = BLOCK_BITS) -> DataFrame:
     """Messages whose offset is in no interval of the index, each once.
 
     Of several copies the earliest is taken, then the one with the least key and value; they are combined before any shuffle. The index is cut
     to the offsets of the messages, and to blocks. In a block a running maximum over starts of intervals and messages says
     up to where offsets are delivered, so a message meets no interval but the last one before it, however many there are.
+    Blocks take the keys of messages only. Texts are shuffled once, by key, and the keys found come to them.
     Messages without an offset cannot be recognised; all of them are returned.
     """
     others = [c for c in messages.columns if c not in DELIVERY_KEY]
     first = F.min(F.struct("kafka_timestamp", *[c for c in others if c != "kafka_timestamp"]))
     known = messages.where(F.col(_POSITION).isNotNull())
-    once = known.groupBy(*DELIVERY_KEY).agg(first.alias("_first")).select(*DELIVERY_KEY, *[F.col(f"_first.{c}").alias(c) for c in others])
+    once = _placed(known).groupBy(*_PLACE, _POSITION).agg(first.alias("_first"))
     span = known.groupBy(*_PARTITION).agg(F.min(_POSITION).alias("_low"), F.max(_POSITION).alias("_high"))
     same = [index[c].eqNullSafe(span[c]) for c in _PARTITION]
     cut = index.join(span, same).where("last >= _low AND first <= _high").select(
@@ -107,8 +118,12 @@ def undelivered(messages: DataFrame, index: DataFrame, *, block_bits: int = BLOC
         F.greatest(F.col("first"), F.shiftleft("_block", block_bits)).alias(_POSITION),
         F.col("last").alias("_until"),
     )
-    rows = once.withColumn("_block", F.shiftright(_POSITION, block_bits)).withColumn("_message", F.lit(True))
+    keys = known.select(*DELIVERY_KEY).distinct()
+    rows = keys.withColumn("_block", F.shiftright(_POSITION, block_bits)).withColumn("_message", F.lit(True))
     both = rows.unionByName(pieces, allowMissingColumns=True)
     up_to = Window.partitionBy(*_PARTITION, "_block").orderBy(_POSITION, F.col("_message").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
     open_ = both.withColumn("_reach", F.max("_until").over(up_to)).where(f"_message AND coalesce(_reach < {_POSITION}, true)")
-    return open_.select(*messages.columns).unionByName(messages.where(F.col(_POSITION).isNull()))
+    named = {c: F.when(~F.col(f"_no_{c}"), F.col(f"_{c}")).alias(c) for c in _PARTITION}
+    named |= {_POSITION: F.col(_POSITION)} | {c: F.col(f"_first.{c}").alias(c) for c in others}
+    fresh = once.join(_placed(open_).select(*_PLACE, _POSITION), [*_PLACE, _POSITION], "left_semi")
+    return fresh.select(*[named[c] for c in messages.columns]).unionByName(messages.where(F.col(_POSITION).isNull()))
