@@ -95,6 +95,13 @@ def test_typed_columns_stay_out_of_one_whole_stage_method(stored):
     assert re.search(r"^(\+- |   )*Project .*transform\(array\(GRB_RA", plan, re.M)
 
 
+def test_line_ends_are_replaced_where_there_are_some(stored):
+    """A text without a carriage return and a segment of one line are only searched."""
+    plan = optimized_of(silver(stored["bronze"]).select("GRB_RA"))
+    assert re.search(r"CASE WHEN Contains\(replace\(kafka_value[^\r]*\r\) THEN rtrim\(", plan)
+    assert re.search(r"CASE WHEN Contains\([^\n]*\n\) THEN replace\(", plan)
+
+
 def test_values_are_made_for_lost_segments_only(stored):
     plan = optimized_of(silver(stored["bronze"], rescued=True).select("rescued_fields"))
     assert plan.index("transform(filter(sequence(") > 0 and "array_except(" in plan
