@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from notice_lake.llm.blocks import Rolling, Texts, block_of, buckets_for, in_blocks, mixed, row_key
-from notice_lake.llm.common import components, stored
+from notice_lake.llm.common import components, stored, stored_alone
+from notice_lake.sources import scratch
 
 
 @dataclass(frozen=True)
@@ -267,12 +268,13 @@ def near_duplicates(
 
     sent = dealt.applyInArrow(send, _SENT)
     answers = sent.groupBy("bucket").applyInArrow(_count, _ANSWER)
-    all_sets = stored(
-        dealt.cogroup(answers.groupBy("block")).applyInArrow(
-            partial(_sets, join=join, buckets=buckets_for(n)), f"doc_id {kind}, key long, {_SETS}"
-        ),
-        "ngram-sets",
-    )
+    with scratch.made_inside() as whole:
+        all_sets = stored(
+            dealt.cogroup(answers.groupBy("block")).applyInArrow(
+                partial(_sets, join=join, buckets=buckets_for(n)), f"doc_id {kind}, key long, {_SETS}"
+            ),
+            "ngram-sets",
+        )
     digest = ["n_shingles", "sum_digest", "mix_digest"]
     classes = stored(
         all_sets.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy(*digest)
@@ -285,21 +287,24 @@ def near_duplicates(
         .select("rep", F.col("n_shingles").alias("n"), "prefix", "place", "bitmap", "shingles"),
         "ngram-leads",
     )
-    links = stored(_links(sets, join), "ngram-links")
+    # The sets that can have links are written once more by now; of the others only names stay.
+    named = stored(all_sets.select("doc_id", *digest), "ngram-documents")
+    scratch.remove(docs.sparkSession, whole)
+    links = stored_alone(lambda: _links(sets, join), "ngram-links")
     merged = stored(
-        all_sets.where("doc_id IS NOT NULL").join(classes.where("copies > 1").select(*digest, "rep"), digest)
+        named.where("doc_id IS NOT NULL").join(classes.where("copies > 1").select(*digest, "rep"), digest)
         .select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).where("a <> b"),
         "ngram-copies",
     )
     groups = components(links.union(merged))
-    rows = all_sets.select("doc_id", "n_shingles")
+    rows = named.select("doc_id", "n_shingles")
     return rows.join(groups, rows.doc_id == groups.node, "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")
     )
 
 
 def _links(sets: DataFrame, join: NgramJoin) -> DataFrame:
-    """Links that connect what all links connect."""
+    """Links that connect what all links connect. Tables of a round go when the next has made its own."""
     step = math.log(100 / join.percent)
     band = F.floor(F.log(F.col("n").cast("double")) / F.lit(step)).cast("int")
     places = stored(
@@ -312,20 +317,29 @@ def _links(sets: DataFrame, join: NgramJoin) -> DataFrame:
     named = places.withColumn("part", F.col("rep"))
     number, count = 0, places.count()
     links = largest = count
+    outdated: list[str] = []
     while links * largest > count:
-        pairs = stored(possible(stored(_met(named, number, join), "ngram-met"), sets, join), "ngram-possible")
-        more = stored(verified(pairs, sets, join), "ngram-found")
+        more = stored_alone(lambda: _found(named, sets, number, join), "ngram-found")
         links = more.count()
         if links:
             found = more if found is None else found.union(more)
-            parts = stored(_joined_parts(parts, more), "ngram-parts")
+            with scratch.made_inside() as folders:
+                parts = stored_alone(lambda: _joined_parts(parts, more), "ngram-parts")
+                named = stored(places.join(parts, "rep"), "ngram-named")
+            scratch.remove(sets.sparkSession, outdated)
+            outdated = folders
             largest = parts.groupBy("part").agg(F.count("*").alias("k")).agg(F.max("k")).first()[0]
-            named = stored(places.join(parts, "rep"), "ngram-named")
         number += 1
-    rest = verified(stored(_apart(named, sets, join), "ngram-pairs"), sets, join)
+    rest = verified(stored_alone(lambda: _apart(named, sets, join), "ngram-pairs"), sets, join)
     return rest if found is None else found.union(rest)
 
 
+def _found(named: DataFrame, sets: DataFrame, number: int, join: NgramJoin) -> DataFrame:
+    """Links among documents and the leaders that they meet in a round."""
+    pairs = stored(possible(stored(_met(named, number, join), "ngram-met"), sets, join), "ngram-possible")
+    return verified(pairs, sets, join)
+
+
 def _joined_parts(parts: DataFrame, links: DataFrame) -> DataFrame:
     """The part of each set, after new links between parts."""
     ends = [parts.select(F.col("rep").alias(x), F.col("part").alias(f"part_{x}")) for x in "ab"]

@@ -16,6 +16,7 @@ from notice_lake.llm.ngram_join import NgramJoin, near_duplicates
 from notice_lake.llm.packing import Packing, boundaries, pack
 from notice_lake.llm.quality_rules import estimate, measures, posterior, quality
 from notice_lake.llm.suffix_dedup import _KINDS, SuffixDedup, _send, difference_cover, remove_repeats
+from notice_lake.sources import files, scratch
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -196,6 +197,18 @@ def test_ngram_join_of_odd_rows(odd_docs, no_docs):
     assert near_duplicates(no_docs).count() == 0
 
 
+def test_spent_tables_of_the_join_are_deleted(spark):
+    """While candidates are compared, the sets are stored once; tables of the rounds go."""
+    words = [[f"w{k}" for k in range(i % 7, i % 7 + 40)] + [f"only{i}"] for i in range(30)]
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(words)], "doc_id long, text string")
+    folder = scratch.shared_folder(spark)
+    before = set(files.names(spark, folder))
+    rows = near_duplicates(docs).collect()
+    left = {name.rpartition("-")[0] for name in set(files.names(spark, folder)) - before}
+    assert len(rows) == 30 and any(r.doc_id != r.component_id for r in rows)
+    assert left >= {"ngram-leads", "ngram-links"} and not left & {"ngram-sets", "ngram-members", "ngram-found", "ngram-rest"}
+
+
 def plain_measures(text):
     text = text or ""
     words = WORD.findall(text)
