@@ -8,7 +8,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from notice_lake.llm.blocks import Rolling, Texts, block_of, buckets_for, in_blocks, mixed, row_key
@@ -267,7 +267,9 @@ def near_duplicates(
         return _send(rows, join=join, buckets=buckets_for(n))
 
     sent = dealt.applyInArrow(send, _SENT)
-    answers = sent.groupBy("bucket").applyInArrow(_count, _ANSWER)
+    # Stored, so that what the blocks send is gone before their sets are there; texts are shuffled once more for that.
+    with scratch.made_inside() as spent:
+        answers = stored(sent.groupBy("bucket").applyInArrow(_count, _ANSWER), "ngram-orders")
     with scratch.made_inside() as whole:
         all_sets = stored(
             dealt.cogroup(answers.groupBy("block")).applyInArrow(
@@ -275,6 +277,7 @@ def near_duplicates(
             ),
             "ngram-sets",
         )
+    scratch.remove(docs.sparkSession, spent)
     digest = ["n_shingles", "sum_digest", "mix_digest"]
     classes = stored(
         all_sets.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy(*digest)
@@ -307,26 +310,28 @@ def _links(sets: DataFrame, join: NgramJoin) -> DataFrame:
     """Links that connect what all links connect. Tables of a round go when the next has made its own."""
     step = math.log(100 / join.percent)
     band = F.floor(F.log(F.col("n").cast("double")) / F.lit(step)).cast("int")
-    places = stored(
-        sets.select("rep", "n", band.alias("band"), F.explode(F.arrays_zip("prefix", "place")).alias("p"))
-        .select("rep", "n", "band", F.col("p.prefix").alias("shingle"), F.col("p.place").alias("place")),
-        "ngram-places",
-    )
+    with scratch.made_inside() as outdated:
+        places = stored(
+            sets.select("rep", "n", band.alias("band"), F.explode(F.arrays_zip("prefix", "place")).alias("p"))
+            .select("rep", "n", "band", F.col("p.prefix").alias("shingle"), F.col("p.place").alias("place")),
+            "ngram-places",
+        )
     found = None
     parts = places.select("rep").distinct().select("rep", F.col("rep").alias("part"))
     named = places.withColumn("part", F.col("rep"))
     number, count = 0, places.count()
     links = largest = count
-    outdated: list[str] = []
     while links * largest > count:
-        more = stored_alone(lambda: _found(named, sets, number, join), "ngram-found")
+        with scratch.made_inside() as used:
+            live = stored_alone(lambda: _live(named), "ngram-live")
+        more = stored_alone(lambda: _found(live, sets, number, join), "ngram-found")
         links = more.count()
         if links:
             found = more if found is None else found.union(more)
             with scratch.made_inside() as folders:
                 parts = stored_alone(lambda: _joined_parts(parts, more), "ngram-parts")
-                named = stored(places.join(parts, "rep"), "ngram-named")
-            scratch.remove(sets.sparkSession, outdated)
+                named = stored(live.drop("part").join(parts, "rep"), "ngram-named")
+            scratch.remove(sets.sparkSession, outdated + used)
             outdated = folders
             largest = parts.groupBy("part").agg(F.count("*").alias("k")).agg(F.max("k")).first()[0]
         number += 1
@@ -334,9 +339,9 @@ def _links(sets: DataFrame, join: NgramJoin) -> DataFrame:
     return rest if found is None else found.union(rest)
 
 
-def _found(named: DataFrame, sets: DataFrame, number: int, join: NgramJoin) -> DataFrame:
+def _found(live: DataFrame, sets: DataFrame, number: int, join: NgramJoin) -> DataFrame:
     """Links among documents and the leaders that they meet in a round."""
-    pairs = stored(possible(stored(_met(named, number, join), "ngram-met"), sets, join), "ngram-possible")
+    pairs = stored(possible(stored(_met(live, number, join), "ngram-met"), sets, join), "ngram-possible")
     return verified(pairs, sets, join)
 
 
@@ -353,32 +358,34 @@ def _in_tiles(named: DataFrame) -> DataFrame:
     return named.withColumn("own", F.col("band")).withColumn("band", F.explode(F.array(F.col("band"), F.col("band") - 1)))
 
 
-def _apart_somewhere(named: DataFrame) -> DataFrame:
-    """Shingles with sets that are not connected."""
+def _live(named: DataFrame) -> DataFrame:
+    """Places at shingles with sets that are not connected. Parts only grow, so other places do not count in later rounds either."""
     parts = named.groupBy("shingle").agg(F.min("part").alias("low"), F.max("part").alias("high"))
-    return stored(parts.where("low <> high").select("shingle"), "ngram-apart")
+    return named.join(stored(parts.where("low <> high").select("shingle"), "ngram-apart"), "shingle")
 
 
-def _met(named: DataFrame, number: int, join: NgramJoin) -> DataFrame:
+def _met(live: DataFrame, number: int, join: NgramJoin) -> DataFrame:
     """Each document with the leaders it meets most, of those it is not connected with.
 
     Chance deals the members of a tile to groups of about ``join.group`` and makes two of a group its leaders, so each
     document meets others than the rest of its tile does, and a tile of any size is many groups.
     """
     tile = ["shingle", "band"]
-    members = stored(_in_tiles(named.join(_apart_somewhere(named), "shingle")).select(*tile, "rep", "part", "n"), "ngram-members")
+    members = _in_tiles(live).select(*tile, "rep", "part", "n")
     groups = stored(members.groupBy(*tile).agg(F.ceil(F.count("*") / join.group).alias("groups")), "ngram-groups")
     chance = F.xxhash64("rep", F.lit(number))
-    dealt = members.join(groups, tile).withColumn("group", F.pmod(chance, F.col("groups")))
+    # Dealt by group as well: a tile that many sets are in would stay one task.
+    dealt = members.join(groups, tile).withColumn("group", F.pmod(chance, F.col("groups"))).repartition(*tile, "group")
     order = F.struct(F.xxhash64("rep", "shingle", F.lit(number)).alias("h"), "rep", "part", "n")
-    leaders = (
-        dealt.groupBy(*tile, "group").agg(F.min(order).alias("low"), F.max(order).alias("high"))
-        .select(*tile, "group", F.explode(F.array("low", "high")).alias("x"))
-        .select(*tile, "group", F.col("x.rep").alias("leader"), F.col("x.part").alias("of"), F.col("x.n").alias("size")).distinct()
+    group = Window.partitionBy(*tile, "group")
+    leaders = dealt.withColumns({"low": F.min(order).over(group), "high": F.max(order).over(group)})
+    each = (
+        leaders.select("rep", "part", "n", F.explode(F.array_distinct(F.array("low", "high"))).alias("x"))
+        .select("rep", "part", "n", F.col("x.rep").alias("leader"), F.col("x.part").alias("of"), F.col("x.n").alias("size"))
     )
     similar = 100 * F.least("n", "size") >= join.percent * F.greatest("n", "size")
     met = (
-        dealt.join(stored(leaders, "ngram-leaders"), [*tile, "group"]).where((F.col("part") != F.col("of")) & similar)
+        each.where((F.col("part") != F.col("of")) & similar)
         .groupBy("rep", "leader").agg(F.count("*").alias("times"))
         .groupBy("rep").agg(F.array_sort(F.collect_list(F.struct((-F.col("times")).alias("k"), "leader"))).alias("all"))
     )
@@ -391,9 +398,10 @@ def _apart(named: DataFrame, sets: DataFrame, join: NgramJoin) -> DataFrame:
     """All candidates that are not connected and that sizes, places and signatures allow.
 
     A pair leaves the join where its prefixes begin to share shingles: not where they also share one just before, from where
-    it has left already, as all other conditions are weaker there.
+    it has left already, as all other conditions are weaker there. Signatures, which are far longer than a place, move once for
+    each set and pair, and not with every place.
     """
-    rest = named.join(_apart_somewhere(named), "shingle").join(sets.select("rep", "bitmap", "prefix"), "rep")
+    rest = _live(named).join(sets.select("rep", "prefix"), "rep").where(F.array_contains("prefix", F.col("shingle")))
     at = F.array_position("prefix", F.col("shingle")).cast("int")
     first = F.greatest(at - _JUST_BEFORE, F.lit(1))
     rest = stored(rest.withColumn("earlier", F.slice("prefix", first, at - first)).drop("prefix"), "ngram-rest")
@@ -405,8 +413,8 @@ def _apart(named: DataFrame, sets: DataFrame, join: NgramJoin) -> DataFrame:
         .when((F.col("y.own") == F.col("x.band")) & (F.col("x.rep") > F.col("y.rep")), False)
         .when(F.least("x.n", "y.n") * 100 < F.greatest("x.n", "y.n") * join.percent, False)
         .when(room < need, False)
-        .when(F.arrays_overlap("x.earlier", "y.earlier"), False)
-        .otherwise(F.least(_bound("x", "y"), _bound("y", "x")) >= need)
+        .otherwise(~F.arrays_overlap("x.earlier", "y.earlier"))
     )
     pairs = x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.band") == F.col("y.band")) & open_)
-    return pairs.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
+    met = stored(pairs.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct(), "ngram-met")
+    return possible(met, sets, join)

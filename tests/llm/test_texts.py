@@ -3,14 +3,19 @@
 from __future__ import annotations
 
 import hashlib
+import os
 import random
 import re
+import tempfile
+import time
 
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
+from notice_lake.llm import ngram_join
 from notice_lake.llm.blocks import answer
-from notice_lake.llm.common import components
+from notice_lake.llm.common import components, stored
 from notice_lake.llm.mixing import Mix, mix_sources
 from notice_lake.llm.ngram_join import NgramJoin, near_duplicates
 from notice_lake.llm.packing import Packing, boundaries, pack
@@ -209,6 +214,64 @@ def test_spent_tables_of_the_join_are_deleted(spark):
     assert left >= {"ngram-leads", "ngram-links"} and not left & {"ngram-sets", "ngram-members", "ngram-found", "ngram-rest"}
 
 
+def shuffle_files(folder):
+    return {name for _, _, found in os.walk(folder) for name in found if name.startswith("shuffle_")}
+
+
+def test_a_stored_table_leaves_no_shuffle_files(spark):
+    folder = spark.sparkContext.getConf().get("spark.local.dir", None) or os.environ.get("SPARK_LOCAL_DIRS") or tempfile.gettempdir()
+    before = shuffle_files(folder)
+    option = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    setting = spark.conf.get(option, None)
+    table = stored(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "counted")
+    assert sorted(tuple(r) for r in table.collect()) == [(k, 143 if k < 6 else 142) for k in range(7)]
+    end = time.monotonic() + 10  # files are deleted by messages to the executors
+    while (left := shuffle_files(folder) - before) and time.monotonic() < end:
+        time.sleep(0.2)
+    assert not left and spark.conf.get(option, None) == setting
+
+
+def test_rounds_of_the_join_take_up_unsettled_places_only(spark, monkeypatch):
+    """Signatures do not move with every place, and places of connected sets are not looked at again."""
+    made: dict[str, list] = {}
+
+    def noted(df, name):
+        table = stored(df, name)
+        made.setdefault(name, []).append((set(table.columns), table.count()))
+        return table
+
+    monkeypatch.setattr(ngram_join, "stored", noted)
+    words = [[f"g{i % 3}w{k}" for k in range(i % 7, i % 7 + 40)] + [f"only{i}"] for i in range(60)]
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(words)], "doc_id long, text string")
+    rows = near_duplicates(docs).collect()
+    sets = [shingle_set(" ".join(w)) for w in words]
+    links = [(a, b) for a in range(60) for b in range(a) if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])]
+    low = smallest(range(60), links)
+    assert {r.doc_id: r.component_id for r in rows} == low and len(set(low.values())) < 60
+    assert all("bitmap" not in columns for columns, _ in made["ngram-rest"])
+    sizes = [n for _, n in made["ngram-named"]]
+    assert sizes and max(sizes) <= made["ngram-places"][0][1] and made["ngram-rest"][0][1] < made["ngram-places"][0][1]
+
+
+def test_unlike_texts_under_one_id_are_linked_by_each(spark):
+    """An id with several texts has the links of all; also where its texts are apart from others at the end of the rounds."""
+    rng = random.Random(8)
+    vocabulary = [f"w{k}" for k in range(30)]
+    rows = []
+    for i in range(120):
+        words = [rng.choice(vocabulary) for _ in range(rng.randrange(20, 60))] if i % 3 == 0 else list(rows[-1][1])
+        for _ in range(rng.randrange(3)):
+            words[rng.randrange(len(words))] = rng.choice(vocabulary)
+        rows.append((rng.randrange(70), words))
+    docs = [(k, " ".join(w)) for k, w in rows]
+    for percent in (75, 40):
+        sets = [(k, shingle_set(t)) for k, t in docs]
+        links = [(a, b) for a, x in sets for b, y in sets if a != b and 100 * len(x & y) >= percent * len(x | y)]
+        low = smallest({k for k, _ in docs}, links)
+        found = near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), NgramJoin(percent=percent)).collect()
+        assert len(found) == 120 and {(r.doc_id, r.component_id) for r in found} == set(low.items())
+
+
 def plain_measures(text):
     text = text or ""
     words = WORD.findall(text)
