@@ -398,10 +398,10 @@ def _apart(named: DataFrame, sets: DataFrame, join: NgramJoin) -> DataFrame:
     """All candidates that are not connected and that sizes, places and signatures allow.
 
     A pair leaves the join where its prefixes begin to share shingles: not where they also share one just before, from where
-    it has left already, as all other conditions are weaker there. Signatures, which are far longer than a place, move once for
-    each set and pair, and not with every place.
+    it has left already, as all other conditions are weaker there. Signatures move with the places: without them, or folded to the
+    size of the sets, a text that many sets have in part makes pairs by the square of their number.
     """
-    rest = _live(named).join(sets.select("rep", "prefix"), "rep").where(F.array_contains("prefix", F.col("shingle")))
+    rest = _live(named).join(sets.select("rep", "bitmap", "prefix"), "rep").where(F.array_contains("prefix", F.col("shingle")))
     at = F.array_position("prefix", F.col("shingle")).cast("int")
     first = F.greatest(at - _JUST_BEFORE, F.lit(1))
     rest = stored(rest.withColumn("earlier", F.slice("prefix", first, at - first)).drop("prefix"), "ngram-rest")
@@ -413,8 +413,8 @@ def _apart(named: DataFrame, sets: DataFrame, join: NgramJoin) -> DataFrame:
         .when((F.col("y.own") == F.col("x.band")) & (F.col("x.rep") > F.col("y.rep")), False)
         .when(F.least("x.n", "y.n") * 100 < F.greatest("x.n", "y.n") * join.percent, False)
         .when(room < need, False)
-        .otherwise(~F.arrays_overlap("x.earlier", "y.earlier"))
+        .when(F.arrays_overlap("x.earlier", "y.earlier"), False)
+        .otherwise(F.least(_bound("x", "y"), _bound("y", "x")) >= need)
     )
     pairs = x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.band") == F.col("y.band")) & open_)
-    met = stored(pairs.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct(), "ngram-met")
-    return possible(met, sets, join)
+    return pairs.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
