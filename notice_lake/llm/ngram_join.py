@@ -293,21 +293,41 @@ def near_duplicates(
     # The sets that can have links are written once more by now; of the others only names stay.
     named = stored(all_sets.select("doc_id", *digest), "ngram-documents")
     scratch.remove(docs.sparkSession, whole)
-    links = stored_alone(lambda: _links(sets, join), "ngram-links")
-    merged = stored(
-        named.where("doc_id IS NOT NULL").join(classes.where("copies > 1").select(*digest, "rep"), digest)
+    # An id with unlike sets is one document; only such ids link classes besides the sets.
+    spread = F.lit(False)
+    for c in digest:
+        spread = spread | (F.min(c) != F.max(c))
+    several = stored(
+        named.where("doc_id IS NOT NULL").groupBy("doc_id").agg(spread.alias("unlike")).where("unlike").select("doc_id"),
+        "ngram-several",
+    )
+    same = stored(
+        named.join(several, "doc_id").join(classes.select(*digest, "rep"), digest)
         .select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).where("a <> b"),
-        "ngram-copies",
+        "ngram-same",
+    )
+    links = stored_alone(lambda: _links(sets, same, join), "ngram-links")
+    ids = stored(
+        links.join(several.select(F.col("doc_id").alias("rep")), "rep", "left_semi")
+        .select(F.col("rep").alias("doc_id"), F.col("part").alias("of_id")),
+        "ngram-ids",
     )
-    groups = components(links.union(merged))
-    rows = named.select("doc_id", "n_shingles")
-    return rows.join(groups, rows.doc_id == groups.node, "left").select(
-        "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")
+    # Of a class without copies and links the result is the id itself.
+    groups = (
+        classes.join(links, "rep", "left")
+        .select(*digest, "rep", "copies", F.coalesce("part", "rep").alias("of_set"))
+        .where("copies > 1 OR of_set <> rep").drop("rep", "copies")
     )
+    rows = named.join(groups, digest, "left").join(ids, "doc_id", "left")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("of_id", "of_set", "doc_id"))
+    return rows.select("doc_id", "n_shingles", component.alias("component_id"))
 
 
-def _links(sets: DataFrame, join: NgramJoin) -> DataFrame:
-    """Links that connect what all links connect. Tables of a round go when the next has made its own."""
+def _links(sets: DataFrame, same: DataFrame, join: NgramJoin) -> DataFrame:
+    """Each set ``rep`` that has links, and the smallest that all links and ``same`` connect it with, ``part``.
+
+    Tables of a round go when the next has made its own.
+    """
     step = math.log(100 / join.percent)
     band = F.floor(F.log(F.col("n").cast("double")) / F.lit(step)).cast("int")
     with scratch.made_inside() as outdated:
@@ -316,41 +336,46 @@ def _links(sets: DataFrame, join: NgramJoin) -> DataFrame:
             .select("rep", "n", "band", F.col("p.prefix").alias("shingle"), F.col("p.place").alias("place")),
             "ngram-places",
         )
-    found = None
-    parts = places.select("rep").distinct().select("rep", F.col("rep").alias("part"))
+    parts = None
     named = places.withColumn("part", F.col("rep"))
     number, count = 0, places.count()
     links = largest = count
     while links * largest > count:
         with scratch.made_inside() as used:
             live = stored_alone(lambda: _live(named), "ngram-live")
-        more = stored_alone(lambda: _found(live, sets, number, join), "ngram-found")
+            more = stored_alone(lambda: _found(live, sets, number, join), "ngram-found")
         links = more.count()
         if links:
-            found = more if found is None else found.union(more)
             with scratch.made_inside() as folders:
                 parts = stored_alone(lambda: _joined_parts(parts, more), "ngram-parts")
-                named = stored(live.drop("part").join(parts, "rep"), "ngram-named")
+                moved = live.withColumnRenamed("part", "old").join(parts, "rep", "left")
+                named = stored(moved.withColumn("part", F.coalesce("part", "old")).drop("old", "among"), "ngram-named")
             scratch.remove(sets.sparkSession, outdated + used)
             outdated = folders
             largest = parts.groupBy("part").agg(F.count("*").alias("k")).agg(F.max("k")).first()[0]
         number += 1
     rest = verified(stored_alone(lambda: _apart(named, sets, join), "ngram-pairs"), sets, join)
-    return rest if found is None else found.union(rest)
+    return _joined_parts(parts, rest.union(same))
 
 
 def _found(live: DataFrame, sets: DataFrame, number: int, join: NgramJoin) -> DataFrame:
-    """Links among documents and the leaders that they meet in a round."""
-    pairs = stored(possible(stored(_met(live, number, join), "ngram-met"), sets, join), "ngram-possible")
-    return verified(pairs, sets, join)
+    """Links among documents and the leaders that they meet in a round; leaders that meet each other are linked twice."""
+    return verified(stored(possible(_met(live, number, join), sets, join), "ngram-possible"), sets, join)
 
 
-def _joined_parts(parts: DataFrame, links: DataFrame) -> DataFrame:
-    """The part of each set, after new links between parts."""
-    ends = [parts.select(F.col("rep").alias(x), F.col("part").alias(f"part_{x}")) for x in "ab"]
-    between = links.join(ends[0], "a").join(ends[1], "b").select(F.col("part_a").alias("a"), F.col("part_b").alias("b"))
-    merged = components(between)
-    return parts.join(merged, parts.part == merged.node, "left").select("rep", F.coalesce("component", "part").alias("part"))
+def _joined_parts(parts: DataFrame | None, links: DataFrame) -> DataFrame:
+    """The part of each set that has links, after new links; ``parts`` has those of the sets that had some before."""
+    if parts is None:
+        return components(links).select(F.col("node").alias("rep"), F.col("component").alias("part"))
+    between = links
+    for x in "ab":
+        ends = parts.select(F.col("rep").alias(x), F.col("part").alias(f"part_{x}"))
+        between = between.join(ends, x, "left").withColumn(f"part_{x}", F.coalesce(f"part_{x}", x))
+    merged = components(between.select(F.col("part_a").alias("a"), F.col("part_b").alias("b")).distinct())
+    old = parts.join(merged, parts.part == merged.node, "left").select("rep", F.coalesce("component", "part").alias("part"))
+    # A set without links until now is a part of its own.
+    new = merged.join(parts, merged.node == parts.rep, "left_anti")
+    return old.union(new.select("node", "component"))
 
 
 def _in_tiles(named: DataFrame) -> DataFrame:
@@ -359,39 +384,39 @@ def _in_tiles(named: DataFrame) -> DataFrame:
 
 
 def _live(named: DataFrame) -> DataFrame:
-    """Places at shingles with sets that are not connected. Parts only grow, so other places do not count in later rounds either."""
-    parts = named.groupBy("shingle").agg(F.min("part").alias("low"), F.max("part").alias("high"))
-    return named.join(stored(parts.where("low <> high").select("shingle"), "ngram-apart"), "shingle")
+    """Places at shingles with sets that are not connected, and ``among`` how many. Parts only grow, so other places do not count in later rounds either."""
+    parts = named.groupBy("shingle").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.count("*").alias("among"))
+    return named.join(stored(parts.where("low <> high").select("shingle", "among"), "ngram-apart"), "shingle")
 
 
 def _met(live: DataFrame, number: int, join: NgramJoin) -> DataFrame:
-    """Each document with the leaders it meets most, of those it is not connected with.
+    """Each document ``a`` with the leaders ``b`` it meets most, of those it is not connected with.
 
-    Chance deals the members of a tile to groups of about ``join.group`` and makes two of a group its leaders, so each
-    document meets others than the rest of its tile does, and a tile of any size is many groups.
+    Chance deals the members of a tile to groups of ``join.group`` at most, on average, and makes two of a group its leaders, so each
+    document meets others than the rest of its tile does, and a tile of any size is many groups. A tile has as many groups as
+    the places of its shingle fill, so its own members need no count.
     """
     tile = ["shingle", "band"]
-    members = _in_tiles(live).select(*tile, "rep", "part", "n")
-    groups = stored(members.groupBy(*tile).agg(F.ceil(F.count("*") / join.group).alias("groups")), "ngram-groups")
     chance = F.xxhash64("rep", F.lit(number))
+    group = F.pmod(chance, F.ceil(F.col("among") / join.group)).alias("group")
     # Dealt by group as well: a tile that many sets are in would stay one task.
-    dealt = members.join(groups, tile).withColumn("group", F.pmod(chance, F.col("groups"))).repartition(*tile, "group")
+    dealt = _in_tiles(live).select(*tile, "rep", "part", "n", group).repartition(*tile, "group")
     order = F.struct(F.xxhash64("rep", "shingle", F.lit(number)).alias("h"), "rep", "part", "n")
-    group = Window.partitionBy(*tile, "group")
-    leaders = dealt.withColumns({"low": F.min(order).over(group), "high": F.max(order).over(group)})
+    within = Window.partitionBy(*tile, "group")
+    leaders = dealt.withColumns({"low": F.min(order).over(within), "high": F.max(order).over(within)})
     each = (
         leaders.select("rep", "part", "n", F.explode(F.array_distinct(F.array("low", "high"))).alias("x"))
         .select("rep", "part", "n", F.col("x.rep").alias("leader"), F.col("x.part").alias("of"), F.col("x.n").alias("size"))
     )
     similar = 100 * F.least("n", "size") >= join.percent * F.greatest("n", "size")
+    # Dealt once, by the document, for both counts and the join that follows: it has few rows, by its own prefix.
     met = (
-        each.where((F.col("part") != F.col("of")) & similar)
+        each.where((F.col("part") != F.col("of")) & similar).select("rep", "leader").repartition("rep")
         .groupBy("rep", "leader").agg(F.count("*").alias("times"))
         .groupBy("rep").agg(F.array_sort(F.collect_list(F.struct((-F.col("times")).alias("k"), "leader"))).alias("all"))
     )
     most = F.slice(F.transform("all", lambda x: x.leader), 1, join.leaders)
-    pairs = met.select("rep", F.explode(most).alias("leader"))
-    return pairs.select(F.least("rep", "leader").alias("a"), F.greatest("rep", "leader").alias("b")).distinct()
+    return met.select(F.col("rep").alias("a"), F.explode(most).alias("b"))
 
 
 def _apart(named: DataFrame, sets: DataFrame, join: NgramJoin) -> DataFrame:

@@ -13,7 +13,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from notice_lake.llm import ngram_join
+from notice_lake.llm import common, ngram_join
 from notice_lake.llm.blocks import answer
 from notice_lake.llm.common import components, stored
 from notice_lake.llm.mixing import Mix, mix_sources
@@ -411,3 +411,39 @@ def test_packing(spark, odd_docs, no_docs):
     assert pack(odd_docs).count() == odd_docs.count() and pack(no_docs).count() == 0
     sized = spark.createDataFrame([(1, 10), (2, None), (3, -4)], "doc_id long, n long")
     assert sorted(r.n_tokens for r in pack(sized, tokens="n").collect()) == [0, 0, 10]
+
+
+def test_copies_and_links_of_earlier_rounds_are_not_connected_again(spark, monkeypatch):
+    """Whole copies are one set; what a round has linked goes on as parts, so steps at the end take up new links only."""
+    connected, steps = [], []
+
+    def noted(df, name):
+        table = stored(df, name)
+        steps.append(name)
+        if name == "links":
+            connected.append(table.count())
+        return table
+
+    monkeypatch.setattr(common, "stored", noted)
+    monkeypatch.setattr(ngram_join, "stored", noted)
+    near = [" ".join([f"w{k}" for k in range(60)] + [f"end{i}"]) for i in range(20)]
+    texts = near + near[:1] * 150 + [" ".join(f"other{i}x{k}" for k in range(30)) for i in range(10)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r.component_id for r in near_duplicates(docs).collect()}
+    assert found == {k: 0 if k < 170 else k for k in range(180)}
+    assert connected and max(connected) < 150
+    assert not {"ngram-copies", "ngram-groups", "ngram-met"} & set(steps)
+
+
+def test_rows_of_one_id_have_one_component(spark):
+    """Also rows without words, copies of other texts, rows without an id, and ids that only another id's texts connect."""
+    rng = random.Random(12)
+    base = [" ".join(f"t{k}x{i}" for i in range(30)) for k in range(6)]
+    for seed in range(3):
+        rows = [(rng.choice([None, *range(25)]), rng.choice([None, "", "  ", *base, *(f"{t} {rng.randrange(3)}" for t in base)])) for _ in range(60)]
+        sets = [(k, shingle_set(t)) for k, t in rows if k is not None]
+        links = [(a, b) for a, x in sets for b, y in sets if a != b and x and y and 100 * len(x & y) >= 75 * len(x | y)]
+        low = smallest({k for k, _ in sets}, links)
+        found = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+        want = sorted((k if k is not None else -1, len(shingle_set(t)), low.get(k, -1)) for k, t in rows)
+        assert sorted((-1 if r.doc_id is None else r.doc_id, r.n_shingles, -1 if r.component_id is None else r.component_id) for r in found) == want, seed
